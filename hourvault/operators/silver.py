@@ -100,8 +100,8 @@ def flatten(bronze: DataFrame) -> DataFrame:
     return flat.withColumns(missing) if missing else flat
 
 
-def silver_events(flat: DataFrame) -> DataFrame:
-    """Event fact: one row per event."""
+def silver_events(flat: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Event fact: one row per event; `keep` adds expressions such as partition columns."""
     return flat.select(
         "event_id",
         "event_hash",
@@ -116,17 +116,18 @@ def silver_events(flat: DataFrame) -> DataFrame:
         F.coalesce("public", F.lit(True)).alias("public"),
         F.col("file_hour").alias("hour_bucket"),
         "processed_at",
+        *[F.expr(k) for k in keep or []],
     )
 
 
-def payload_details(flat: DataFrame) -> DataFrame:
+def payload_details(flat: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Payload columns, each filled only for the event types that define it."""
     def rule(name: str) -> Column:
         source, types = PAYLOAD_RULES[name]
         value = F.col(f"p_{source}")
         return (value if types is None else F.when(F.col("event_type").isin(types), value)).alias(name)
 
-    return flat.select("event_id", "event_type", *[rule(n) for n in PAYLOAD_RULES])
+    return flat.select("event_id", "event_type", *[rule(n) for n in PAYLOAD_RULES], *[F.expr(k) for k in keep or []])
 
 
 def actor_sightings(flat: DataFrame) -> DataFrame:

@@ -29,8 +29,15 @@ def within_span(target: DataFrame, source: DataFrame, column: str) -> DataFrame:
 
 
 def one_per_key(source: DataFrame, key: str) -> DataFrame:
-    """Drop repeated copies of a fact row; copies of one key are equal, so any of them serves."""
-    return source.dropDuplicates([key])
+    """Drop repeated copies of a row; copies of one key are equal, so any of them serves.
+
+    Repeated keys are found on the key column alone, so only their rows are
+    shuffled whole, with all but one copy per task dropped before the shuffle.
+    Rows with a key of their own pass through. NULL keys are kept.
+    """
+    repeated = source.groupBy(key).agg(F.count("*").alias("_copies")).filter("_copies > 1").select(key)
+    once = source.join(repeated, key, "left_anti")
+    return once.unionByName(source.join(repeated, key, "left_semi").dropDuplicates([key]))
 
 
 def merge_facts(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,8 @@ from hourvault.functions.names import plain_path
 ARCHIVE_GLOB = "*.json.gz"
 
 
-def read_lines(spark: SparkSession, path: str | list[str], skip_corrupt: bool = False, partitions: int | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], skip_corrupt: bool = False,
+               partitions: int | None = None, glob: str = ARCHIVE_GLOB) -> DataFrame:
     """Every line below `path` with its file.
 
     A gzip file is one task, so an archive of many hourly files is already
@@ -18,7 +19,7 @@ def read_lines(spark: SparkSession, path: str | list[str], skip_corrupt: bool =
     cores. `skip_corrupt` leaves unreadable files out; compare with
     `storage.list_files` to find them.
     """
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", ARCHIVE_GLOB)
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     if skip_corrupt:
         reader = reader.option("ignoreCorruptFiles", True)
     lines = reader.text(path).select(

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from hourvault.operators.bronze import upper_case_columns
 from hourvault.operators.silver import enforce_schema
 from hourvault.schemas import GOLD
+from hourvault.sources.tables import has_files
+
+CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def write_bronze(bronze: DataFrame, path: str, mode: str = "append", rebalance: bool = False) -> None:
@@ -31,7 +34,7 @@ def write_silver(table: DataFrame, path: str, columns: dict[str, str], fmt: str
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("timestampNTZFormat", CSV_TIME).csv(path)
     elif fmt == "parquet":
         writer.option("compression", "snappy").parquet(path)
     else:
@@ -42,7 +45,10 @@ def write_gold(table: DataFrame, path: str, run_date: str, fmt: str = "parquet")
     """A gold table under its run date; a rerun of the same date replaces that date only."""
     writer = table.withColumn("run_date", F.lit(run_date)).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy("run_date")
-    writer.option("header", True).csv(path) if fmt == "csv" else writer.parquet(path)
+    if fmt == "csv":
+        writer.option("header", True).option("timestampNTZFormat", CSV_TIME).csv(path)
+    else:
+        writer.parquet(path)
 
 
 def append_warehouse_rows(df: DataFrame, path: str) -> None:
@@ -72,10 +78,15 @@ def load_gold_tables(spark: SparkSession, source_of: Callable[[str], str], targe
     """Load each gold table and go on after a failure: one row per table with success, rows and error."""
     results = []
     for name in tables or list(GOLD):
+        source, rows, error = source_of(name), 0, None
         try:
-            results.append((name, True, load_table(spark, source_of(name), target_of(name), GOLD[name]), None))
+            if has_files(spark, source):
+                rows = load_table(spark, source, target_of(name), GOLD[name])
+            else:
+                error = "PATH_NOT_FOUND"
         except PySparkException as problem:
-            results.append((name, False, 0, problem.getCondition() or type(problem).__name__))
+            error = problem.getCondition() or type(problem).__name__
+        results.append((name, error is None, rows, error))
     return spark.createDataFrame(results, "table_name string, success boolean, rows bigint, error string")
 
 

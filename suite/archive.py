@@ -103,7 +103,7 @@ def bronze_partitions(spark, sf_dir):
 
 
 @query("bronze_mixed_formats", """
-SELECT kind AS event_type, count(*) AS rows, sum(event_id) AS id_sum FROM ev
+SELECT kind AS event_type, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM ev
 WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1""")
 def bronze_mixed_formats(spark, sf_dir):
     parquet, csv = shared_dir(spark, "bronze-parquet"), shared_dir(spark, "bronze-csv")

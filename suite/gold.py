@@ -165,13 +165,13 @@ def repository_popularity(spark, sf_dir):
 
 
 @query("time_based_activity", """
-SELECT hour(ts) AS hour_of_day, CAST(ts AS DATE) AS date, count(*) AS event_count FROM ev GROUP BY 1, 2""")
+SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day, CAST(ts AS DATE) AS date, count(*) AS event_count FROM ev GROUP BY 1, 2""")
 def time_based_activity(spark, sf_dir):
     return reports.time_based_activity(events(spark, sf_dir))
 
 
 @query("busy_hours", """
-SELECT hour(ts) AS hour_of_day, count(*) AS event_count FROM ev GROUP BY 1""")
+SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day, count(*) AS event_count FROM ev GROUP BY 1""")
 def busy_hours(spark, sf_dir):
     return reports.busy_hours(events(spark, sf_dir))
 
@@ -267,7 +267,7 @@ def registry_list(spark, sf_dir):
 
 
 @query("partition_counts", """
-SELECT year(ts) AS year, month(ts) AS month, day(ts) AS day, count(*) AS rows FROM ev GROUP BY ALL""")
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day, count(*) AS rows FROM ev GROUP BY ALL""")
 def counts_of_partitions(spark, sf_dir):
     dated = events(spark, sf_dir).select(F.year("created_at").alias("year"), F.month("created_at").alias("month"), F.day("created_at").alias("day"))
     return partition_counts(dated, ["year", "month", "day"])

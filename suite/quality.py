@@ -36,20 +36,20 @@ ERRORS_SQL = """
 """
 
 
-@query("field_errors", ERRORS_SQL + "SELECT * FROM errors -- ev")
+@query("field_errors", ERRORS_SQL + "SELECT * FROM errors")
 def field_errors(spark, sf_dir):
     return q.field_errors(_parsed(spark, sf_dir, "no_actor"), REQUIRED, TYPES)
 
 
-@query("required_fields", ERRORS_SQL + "SELECT field, count(*) AS events FROM errors WHERE problem = 'missing' GROUP BY 1 -- ev")
+@query("required_fields", ERRORS_SQL + "SELECT field, count(*) AS events FROM errors WHERE problem = 'missing' GROUP BY 1")
 def required_fields(spark, sf_dir):
     return q.field_errors(_parsed(spark, sf_dir, "no_actor"), REQUIRED, {}).groupBy("field").agg(F.count("*").alias("events"))
 
 
 @query("capped_errors", ERRORS_SQL + """
-SELECT file_path, line_id, field, problem, expected, found, error_number, greatest(total - 20, 0) AS omitted FROM (
+SELECT file_path, line_id, field, problem, expected, found, CAST(error_number AS INTEGER) AS error_number, greatest(total - 20, 0) AS omitted FROM (
   SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY line_id, field, problem) AS error_number,
-         count(*) OVER (PARTITION BY file_path) AS total FROM errors) WHERE error_number <= 20 -- ev""")
+         count(*) OVER (PARTITION BY file_path) AS total FROM errors) WHERE error_number <= 20""")
 def capped_errors(spark, sf_dir):
     errors = q.field_errors(_parsed(spark, sf_dir, "no_actor"), REQUIRED, TYPES)
     return q.capped_errors(errors, ["line_id", "field", "problem"])
@@ -85,7 +85,7 @@ def _report(spark, sf_dir):
     return q.file_status(parse_lines(lines), _files(spark, sf_dir))
 
 
-@query("file_status", STATUS_SQL + "SELECT * FROM report -- ev")
+@query("file_status", STATUS_SQL + "SELECT * FROM report")
 def file_status(spark, sf_dir):
     return _report(spark, sf_dir)
 
@@ -103,14 +103,14 @@ def file_status_with_rules(spark, sf_dir):
 SELECT count(*) AS total_files, count(*) FILTER (status = 'valid') AS valid_files, count(*) FILTER (status <> 'valid') AS invalid_files,
        count(*) FILTER (is_small) AS warnings, CAST(sum(bad_lines) + count(*) FILTER (NOT readable) AS BIGINT) AS errors,
        CASE WHEN sum(bad_lines) + count(*) FILTER (NOT readable) > 0 THEN 'error' WHEN bool_or(is_small) THEN 'warning' ELSE 'success' END AS status
-FROM report -- ev""")
+FROM report""")
 def overall_status(spark, sf_dir):
     return q.overall_status(_report(spark, sf_dir))
 
 
 @query("quality_metrics", STATUS_SQL + """
 SELECT min(size_bytes) AS min_bytes, max(size_bytes) AS max_bytes, round(avg(size_bytes), 4) AS avg_bytes,
-       round(avg(CASE WHEN status = 'valid' THEN 1.0::DOUBLE ELSE 0 END) * 100, 4) AS validation_rate FROM report -- ev""")
+       round(avg(CASE WHEN status = 'valid' THEN 1.0::DOUBLE ELSE 0 END) * 100, 4) AS validation_rate FROM report""")
 def quality_metrics(spark, sf_dir):
     return q.quality_metrics(_report(spark, sf_dir))
 
@@ -140,7 +140,7 @@ expected AS (SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR
 """
 
 
-@query("missing_hours", COVERAGE_SQL + "SELECT hour FROM expected EXCEPT SELECT hour FROM found -- ev")
+@query("missing_hours", COVERAGE_SQL + "SELECT hour FROM expected EXCEPT SELECT hour FROM found")
 def missing_hours(spark, sf_dir):
     return q.missing_hours(q.found_hours(archive_lines(spark, sf_dir, "gaps")))
 
@@ -148,13 +148,13 @@ def missing_hours(spark, sf_dir):
 @query("temporal_coverage", COVERAGE_SQL + """
 SELECT min(f.hour) AS start_time, max(f.hour) AS end_time, count(*) AS expected_hours, count(f.hour) AS found_hours,
        count(*) - count(f.hour) AS missing_hours, round(count(f.hour) * 100 / count(*), 4) AS coverage_percentage
-FROM expected e LEFT JOIN found f ON e.hour = f.hour -- ev""")
+FROM expected e LEFT JOIN found f ON e.hour = f.hour""")
 def temporal_coverage(spark, sf_dir):
     return q.temporal_coverage(q.found_hours(archive_lines(spark, sf_dir, "gaps")))
 
 
 @query("duplicate_ids", """
-SELECT id AS value, 2 AS occurrences FROM ev WHERE event_id % 20 = 0""")
+SELECT id AS value, CAST(2 AS BIGINT) AS occurrences FROM ev WHERE event_id % 20 = 0""")
 def duplicate_ids(spark, sf_dir):
     return q.duplicate_values(bronze(spark, sf_dir, "repeated"), "event_id")
 
@@ -167,7 +167,7 @@ def null_counts(spark, sf_dir):
 
 
 @query("column_tests_pass", """
-SELECT count(*) * 0 + 29 AS tests, 0 AS failures FROM ev""")
+SELECT count(*) * 0 + 29 AS tests, CAST(0 AS BIGINT) AS failures FROM ev""")
 def column_tests_pass(spark, sf_dir):
     silver = silver_tables(flat(spark, sf_dir))
     gold = gold_tables(silver["events"], silver["actors"], silver["repositories"], silver["organizations"])

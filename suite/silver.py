@@ -25,7 +25,7 @@ def reparsed_events(spark, sf_dir):
 
 
 @query("events_without_raw", """
-SELECT id AS event_id, user_id AS actor_id, CASE WHEN kind = 'PushEvent' THEN event_id % 20 END AS push_size, NULL AS org_login FROM ev""")
+SELECT id AS event_id, user_id AS actor_id, CASE WHEN kind = 'PushEvent' THEN event_id % 20 END AS push_size, CAST(NULL AS VARCHAR) AS org_login FROM ev""")
 def events_without_raw(spark, sf_dir):
     rows = flatten(bronze(spark, sf_dir).drop("raw_data"))
     return rows.select("event_id", "actor_id", F.when(F.col("event_type") == "PushEvent", F.col("p_size")).alias("push_size"), "org_login")
@@ -108,7 +108,7 @@ def repository_dimension_latest(spark, sf_dir):
 
 
 @query("silver_organizations", """
-SELECT org AS org_id, max(org_name) AS org_login, NULL AS org_url, NULL AS avatar_url, NULL AS description,
+SELECT org AS org_id, max(org_name) AS org_login, CAST(NULL AS VARCHAR) AS org_url, CAST(NULL AS VARCHAR) AS avatar_url, CAST(NULL AS VARCHAR) AS description,
        min(ts) AS first_seen_at, max(ts) AS last_seen_at FROM ev WHERE org IS NOT NULL GROUP BY 1""")
 def organization_dimension(spark, sf_dir):
     return silver_organizations(flat(spark, sf_dir))
@@ -121,7 +121,7 @@ def enforced_schema(spark, sf_dir):
 
 
 @query("enforced_schema_strict", """
-SELECT id AS event_id, NULL AS org_id, TRY_CAST(login AS BIGINT) AS actor_login FROM ev""")
+SELECT id AS event_id, CAST(NULL AS BIGINT) AS org_id, TRY_CAST(login AS BIGINT) AS actor_login FROM ev""")
 def enforced_schema_strict(spark, sf_dir):
     return enforce_schema(bronze(spark, sf_dir), {"event_id": "string", "org_id": "bigint", "actor_login": "bigint"}, strict=True)
 
@@ -210,8 +210,8 @@ def safe_parse(spark, sf_dir):
 
 
 @query("typed_leaves", """
-SELECT event_id, k AS repo_id, NULL AS repo_name_as_number, CAST(k AS VARCHAR) AS repo_id_as_text,
-       CASE WHEN event_id % 10 = 0 THEN NULL ELSE is_public END AS public, NULL AS absent FROM ev""")
+SELECT event_id, k AS repo_id, CAST(NULL AS BIGINT) AS repo_name_as_number, CAST(k AS VARCHAR) AS repo_id_as_text,
+       CASE WHEN event_id % 10 = 0 THEN NULL ELSE is_public END AS public, CAST(NULL AS VARCHAR) AS absent FROM ev""")
 def typed_leaves(spark, sf_dir):
     return parse_lines(archive_lines(spark, sf_dir)).select(
         F.col("line_id").alias("event_id"), leaf("event", "$.repo.id", "bigint").alias("repo_id"),
@@ -233,7 +233,7 @@ def json_types(spark, sf_dir):
 
 
 @query("object_guard", """
-SELECT count(*) FILTER (event_id % 50 <> 0) AS actor_objects, count(org) AS org_objects, 0 AS id_objects FROM ev""")
+SELECT count(*) FILTER (event_id % 50 <> 0) AS actor_objects, count(org) AS org_objects, CAST(0 AS BIGINT) AS id_objects FROM ev""")
 def object_guard(spark, sf_dir):
     def objects(path):
         return F.count_if(is_object(F.try_variant_get("event", path, "variant")))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_NAME_TIME = r"(?:^|/)(\d{4})-(\d{1,2})-(\d{1,2})(?:-(\d{1,2}))?\.[^/]*$"
+DATED_NAME = r"^\d{4}-\d{1,2}-\d{1,2}(-\d{1,2})?\."
 PATH_DATE = r"/((?:20[0-2]\d|2030))/(\d{1,2})/(\d{1,2})(?:/|$)"
 MAX_RANGE_DAYS = 7
 
@@ -22,28 +22,38 @@ def hour_of(ts: str | Column) -> Column:
     return F.date_trunc("hour", ts).cast("timestamp_ntz")
 
 
+def _name_parts(path: str | Column) -> list[Column]:
+    """Year, month, day and hour of the file name; empty text where there are fewer."""
+    stem = F.split_part(F.substring_index(path, "/", -1), F.lit("."), F.lit(1))
+    return [F.split_part(stem, F.lit("-"), F.lit(i)) for i in range(1, 5)]
+
+
+def _has_date(path: str | Column) -> Column:
+    return F.substring_index(path, "/", -1).rlike(DATED_NAME)
+
+
+def _iso_date(year: Column, month: Column, day: Column) -> Column:
+    return F.concat(year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"))
+
+
 def file_date(path: str | Column) -> Column:
     """yyyy-MM-dd from the file name, else from year/month/day folders, else today."""
-    return F.coalesce(*(_date_from(path, p) for p in (FILE_NAME_TIME, PATH_DATE)), F.current_date().cast("string"))
+    folders = [F.regexp_extract(path, PATH_DATE, i) for i in (1, 2, 3)]
+    return F.coalesce(F.when(_has_date(path), _iso_date(*_name_parts(path)[:3])),
+                      F.when(folders[0] != "", _iso_date(*folders)), F.current_date().cast("string"))
 
 
 def file_hour(path: str | Column) -> Column:
     """Two-digit hour from the file name, 00 when it has none."""
-    hour = F.regexp_extract(path, FILE_NAME_TIME, 4)
-    return F.when(hour == "", "00").otherwise(F.lpad(hour, 2, "0"))
+    hour = _name_parts(path)[3]
+    return F.when(_has_date(path) & (hour != ""), F.lpad(hour, 2, "0")).otherwise("00")
 
 
 def file_time(path: str | Column) -> Column:
     """The archive hour of a file name as a timestamp; NULL when the name holds no valid hour."""
-    parts = [F.regexp_extract(path, FILE_NAME_TIME, i) for i in range(1, 5)]
-    text = F.concat(parts[0], F.lit("-"), F.lpad(parts[1], 2, "0"), F.lit("-"), F.lpad(parts[2], 2, "0"),
-                    F.lit(" "), F.lpad(parts[3], 2, "0"), F.lit(":00:00"))
-    return F.when(parts[3] != "", F.try_to_timestamp(text).cast("timestamp_ntz"))
-
-
-def _date_from(path: str | Column, pattern: str) -> Column:
-    year, month, day = (F.regexp_extract(path, pattern, i) for i in (1, 2, 3))
-    return F.when(year != "", F.concat(year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0")))
+    *date, hour = _name_parts(path)
+    text = F.concat(_iso_date(*date), F.lit(" "), F.lpad(hour, 2, "0"), F.lit(":00:00"))
+    return F.when(_has_date(path) & (hour != ""), F.try_to_timestamp(text).cast("timestamp_ntz"))
 
 
 def archive_name(hour: str | Column) -> Column:

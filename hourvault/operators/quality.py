@@ -54,8 +54,12 @@ def _field(name: str) -> Column:
 
 
 def field_errors(parsed: DataFrame, required: list[str], types: dict[str, str]) -> DataFrame:
-    """One row per broken field rule: a required field that is absent or a value of another JSON type."""
-    checks = [F.when(json_type(_field(n)).isNull(), F.struct(
+    """One row per broken field rule: a required field that is absent or a value of another JSON type.
+
+    Rules that hold are dropped behind the generator, in the same stage: a
+    lambda over the array of rules would leave generated code.
+    """
+    checks = [F.when(_field(n).isNull(), F.struct(
         F.lit(n).alias("field"), F.lit("missing").alias("problem"),
         F.lit(None).cast("string").alias("expected"), F.lit(None).cast("string").alias("found"))) for n in required]
     for name, expected in types.items():
@@ -65,7 +69,7 @@ def field_errors(parsed: DataFrame, required: list[str], types: dict[str, str])
             F.lit(expected).alias("expected"), found.alias("found"))))
     kept = [c for c in parsed.columns if c not in ("event", "value")]
     return parsed.filter(F.col("event").isNotNull()).select(
-        *kept, F.explode(F.array_compact(F.array(*checks))).alias("e")).select(*kept, "e.*")
+        *kept, F.explode(F.array(*checks)).alias("e")).filter(F.col("e").isNotNull()).select(*kept, "e.*")
 
 
 def capped_errors(errors: DataFrame, order: list[str], n: int = MAX_ERRORS_SHOWN) -> DataFrame:

@@ -41,14 +41,14 @@ def snapshot(spark, store):
 
 
 def test_two_increments_equal_one_build(spark, tmp_path):
-    source = write_archive(spark, tmp_path / "raw", "early")
+    source = write_archive(spark, tmp_path / "raw", "early", hours=15)
     store = medallion.run(spark, source, str(tmp_path / "two"), "2024-02-01")
     first = spark.read.parquet(store.gold("event_type_metrics")).agg(F.sum("count")).first()[0]
-    write_archive(spark, tmp_path / "raw", "late")
+    write_archive(spark, tmp_path / "raw", "late", hours=15)
     medallion.run(spark, source, str(tmp_path / "two"), "2024-02-01")
     whole = medallion.run(spark, source, str(tmp_path / "one"), "2024-02-01")
     two, one = snapshot(spark, store), snapshot(spark, whole)
-    assert first < 1000 and len(one["events"]) == 1000
+    assert 0 < first < len(one["events"])
     for name in one:
         assert two[name] == one[name], name
     assert medallion.load_silver(spark, store) is False
@@ -57,8 +57,8 @@ def test_two_increments_equal_one_build(spark, tmp_path):
 
 
 def test_repeated_and_broken_lines(spark, tmp_path):
-    source = write_archive(spark, tmp_path / "raw", "repeated", hours=40)
-    write_archive(spark, tmp_path / "raw2", "corrupt", hours=40)
+    source = write_archive(spark, tmp_path / "raw", "repeated", hours=12)
+    write_archive(spark, tmp_path / "raw2", "corrupt", hours=12)
     store = medallion.run(spark, source, str(tmp_path / "store"), "2024-02-01")
     events = store.read_fact(spark, "events")
     assert events.count() == events.select("event_id").distinct().count()

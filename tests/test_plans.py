@@ -2,10 +2,11 @@
 
 import pytest
 
+import __spark_entry__ as entry
 from hourvault.operators import gold, quality, silver
 from hourvault.operators.bronze import bronze_events, parse_lines
 from hourvault.operators.gold import latest_per_key
-from suite.base import QUERIES, archive_lines, flat
+from suite.base import archive_lines, flat
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITES = ("stream", "registry", "gold_", "bronze_mixed", "bronze_part", "layer_", "silver_csv", "warehouse", "run_record",
@@ -25,9 +26,9 @@ def stored(spark, tmp_path_factory):
     return {n: spark.read.parquet(str(root / n)) for n in ("lines", "bronze", "flat")}
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.startswith(WRITES)])
+@pytest.mark.parametrize("name", [n for n in sorted(entry.queries()) if not n.startswith(WRITES)])
 def test_no_products_and_no_python(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
+    text = plan(entry.queries()[name](spark, SF_DIR))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
         assert word not in text
 

@@ -53,79 +53,82 @@ def _field(name: str) -> Column:
     return F.try_variant_get("event", f"$['{name}']", "variant")
 
 
-def field_errors(parsed: DataFrame, required: list[str], types: dict[str, str]) -> DataFrame:
-    """One row per broken field rule: a required field that is absent or a value of another JSON type.
+def checked_lines(parsed: DataFrame, required: list[str] | None = None, types: dict[str, str] | None = None) -> DataFrame:
+    """One narrow row per line with all that the file checks need.
 
-    Rules that hold are dropped behind the generator, in the same stage: a
-    lambda over the array of rules would leave generated code.
+    The raw text is read and parsed for this frame alone: store it once and
+    every check below is a scan of a few small columns. `errors` holds one
+    entry per rule, NULL for a rule that holds.
     """
-    checks = [F.when(_field(n).isNull(), F.struct(
-        F.lit(n).alias("field"), F.lit("missing").alias("problem"),
-        F.lit(None).cast("string").alias("expected"), F.lit(None).cast("string").alias("found"))) for n in required]
-    for name, expected in types.items():
+    def entity(name: str) -> Column:
+        return F.when(is_object(F.try_variant_get("event", f"$.{name}", "variant")), leaf("event", f"$.{name}.id", "bigint"))
+
+    nothing = F.lit(None).cast("string")
+    rules = [F.when(_field(n).isNull(), F.struct(
+        F.lit(n).alias("field"), F.lit("missing").alias("problem"), nothing.alias("expected"), nothing.alias("found")))
+        for n in required or []]
+    for name, expected in (types or {}).items():
         found = json_type(_field(name))
-        checks.append(F.when(found != expected, F.struct(
+        rules.append(F.when(found != expected, F.struct(
             F.lit(name).alias("field"), F.lit("type").alias("problem"),
             F.lit(expected).alias("expected"), found.alias("found"))))
-    kept = [c for c in parsed.columns if c not in ("event", "value")]
-    return parsed.filter(F.col("event").isNotNull()).select(
-        *kept, F.explode(F.array(*checks)).alias("e")).filter(F.col("e").isNotNull()).select(*kept, "e.*")
+    is_broken = F.col("event").isNull()
+    broken_rules = sum((r.isNotNull().cast("int") for r in rules), F.lit(0))
+    kind = "array<struct<field:string,problem:string,expected:string,found:string>>"
+    return parsed.select(
+        *[c for c in ("file_path", "line_id") if c in parsed.columns], is_broken.alias("is_broken"),
+        leaf("event", "$.type", "string").alias("event_type"), entity("actor").alias("actor_id"), entity("repo").alias("repo_id"),
+        F.when(is_broken, 0).otherwise(broken_rules).alias("error_count"),
+        F.when(~is_broken, F.array(*rules).cast(kind)).alias("errors"))
+
 
+def field_errors(checked: DataFrame) -> DataFrame:
+    """One row per broken field rule: a required field that is absent or a value of another JSON type."""
+    kept = [c for c in ("file_path", "line_id") if c in checked.columns]
+    return checked.filter("error_count > 0").select(*kept, F.explode("errors").alias("e")).filter(
+        F.col("e").isNotNull()).select(*kept, "e.*")
 
-def capped_errors(errors: DataFrame, order: list[str], n: int = MAX_ERRORS_SHOWN) -> DataFrame:
+
+def capped_errors(checked: DataFrame, n: int = MAX_ERRORS_SHOWN) -> DataFrame:
     """The first n errors of each file with the number that the report leaves out.
 
     Totals come from a counting aggregate and the shown rows from a rank limit,
     so a file with very many errors never gathers in one task.
     """
-    totals = errors.groupBy("file_path").agg(F.count("*").alias("_total"))
-    ranked = errors.withColumn("error_number", F.row_number().over(W.partitionBy("file_path").orderBy(*order)))
-    shown = ranked.filter(F.col("error_number") <= n)
+    totals = checked.groupBy("file_path").agg(F.sum("error_count").alias("_total"))
+    order = W.partitionBy("file_path").orderBy("line_id", "field", "problem")
+    shown = field_errors(checked).withColumn("error_number", F.row_number().over(order)).filter(F.col("error_number") <= n)
     omitted = F.greatest(F.col("_total") - F.lit(n), F.lit(0)).cast("bigint")
     return shown.join(totals, "file_path").withColumn("omitted", omitted).drop("_total")
 
 
-def file_uniques(parsed: DataFrame) -> DataFrame:
+def file_uniques(checked: DataFrame) -> DataFrame:
     """Events and distinct actors, repositories and types per file.
 
     Reduced to one row per (file, type, actor, repository) first, so the
     distinct counts neither multiply the input nor gather a large file.
     """
-    def entity(name: str) -> Column:
-        return F.when(is_object(F.try_variant_get("event", f"$.{name}", "variant")), leaf("event", f"$.{name}.id", "bigint"))
-
-    seen = parsed.filter(F.col("event").isNotNull()).select(
-        "file_path", leaf("event", "$.type", "string").alias("event_type"),
-        entity("actor").alias("actor_id"), entity("repo").alias("repo_id"))
-    groups = seen.groupBy("file_path", "event_type", "actor_id", "repo_id").agg(F.count("*").alias("n"))
+    groups = checked.filter("NOT is_broken").groupBy("file_path", "event_type", "actor_id", "repo_id").agg(F.count("*").alias("n"))
     return groups.groupBy("file_path").agg(
         F.sum("n").alias("events"), F.countDistinct("actor_id").alias("unique_actors"),
         F.countDistinct("repo_id").alias("unique_repos"), F.countDistinct("event_type").alias("unique_types"))
 
 
-def file_event_types(parsed: DataFrame) -> DataFrame:
+def file_event_types(checked: DataFrame) -> DataFrame:
     """Events per file and type."""
-    return parsed.filter(F.col("event").isNotNull()).groupBy(
-        "file_path", leaf("event", "$.type", "string").alias("event_type")).agg(F.count("*").alias("event_count"))
+    return checked.filter("NOT is_broken").groupBy("file_path", "event_type").agg(F.count("*").alias("event_count"))
 
 
-def file_status(parsed: DataFrame, files: DataFrame, errors: DataFrame | None = None,
-                min_bytes: int = MIN_FILE_BYTES) -> DataFrame:
+def file_status(checked: DataFrame, files: DataFrame, min_bytes: int = MIN_FILE_BYTES) -> DataFrame:
     """Status of every listed file: error for unreadable, broken or rule-breaking content, warning for a small file.
 
     `files` lists file_path and size_bytes of everything present; a file in
     it without a single line read could not be opened.
     """
-    lines = parsed.groupBy("file_path").agg(
-        F.count("*").alias("lines"), F.count_if(F.col("event").isNull()).alias("bad_lines"))
-    report = files.select("file_path", "size_bytes").join(lines, "file_path", "left")
-    if errors is None:
-        report = report.withColumn("field_errors", F.lit(0).cast("bigint"))
-    else:
-        counts = errors.groupBy("file_path").agg(F.count("*").alias("field_errors"))
-        report = report.join(counts, "file_path", "left")
+    lines = checked.groupBy("file_path").agg(
+        F.count("*").alias("lines"), F.count_if("is_broken").alias("bad_lines"), F.sum("error_count").alias("field_errors"))
     zero = F.lit(0).cast("bigint")
-    report = report.select(
+    report = files.select("file_path", "size_bytes").join(lines, "file_path", "left").select(
         "file_path", "size_bytes", F.coalesce("lines", zero).alias("lines"),
         F.coalesce("bad_lines", zero).alias("bad_lines"), F.coalesce("field_errors", zero).alias("field_errors"),
         F.col("lines").isNotNull().alias("readable"), (F.col("size_bytes") < min_bytes).alias("is_small"))
@@ -156,9 +159,9 @@ def quality_metrics(report: DataFrame) -> DataFrame:
         F.round(F.avg((F.col("status") == "valid").cast("double")) * 100, 4).alias("validation_rate"))
 
 
-def error_rate_gate(parsed: DataFrame, threshold: float = MAX_ERROR_RATE) -> DataFrame:
+def error_rate_gate(checked: DataFrame, threshold: float = MAX_ERROR_RATE) -> DataFrame:
     """One row: lines, broken lines, their share and whether it stays within the threshold."""
-    counted = parsed.agg(F.count("*").alias("lines"), F.count_if(F.col("event").isNull()).alias("bad_lines"))
+    counted = checked.agg(F.count("*").alias("lines"), F.count_if("is_broken").alias("bad_lines"))
     rate = F.when(F.col("lines") > 0, F.col("bad_lines") / F.col("lines")).otherwise(F.lit(0.0))
     return counted.select("lines", "bad_lines", F.round(rate, 6).alias("error_rate"), (rate <= threshold).alias("passed"))
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hourvault.functions.names import is_bot, owner_of, short_name_of
 from hourvault.functions.times import hour_of
 from hourvault.operators.gold import actor_metrics, entity_metrics
 
+BROADCAST_KEYS = 100_000
+
 
 def daily_activity(events: DataFrame) -> DataFrame:
     """Events and users per day and type."""
@@ -16,11 +19,17 @@ def daily_activity(events: DataFrame) -> DataFrame:
         F.count("*").alias("event_count"), F.countDistinct("actor_id").alias("user_count"))
 
 
+def rows_of(dimension: DataFrame, winners: DataFrame, key: str, n: int) -> DataFrame:
+    """Dimension rows of at most n winners. A short list of keys is sent to the scan, so the dimension is not shuffled."""
+    keys = winners.select(key)
+    return dimension.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, key, "left_semi")
+
+
 def top_repositories(events: DataFrame, repositories: DataFrame, n: int = 10) -> DataFrame:
     """The n busiest repositories; equal counts are ranked by id. Names are looked up for the winners only."""
     top = (entity_metrics(events, "repo_id", "actor_id", "unique_contributors")
            .orderBy(F.col("total_events").desc(), F.col("repo_id")).limit(n))
-    return top.join(repositories.select("repo_id", "repo_name"), "repo_id", "left").select(
+    return top.join(rows_of(repositories, top, "repo_id", n), "repo_id", "left").select(
         "repo_id", "repo_name", owner_of("repo_name").alias("owner"),
         short_name_of("repo_name").alias("repo_short_name"),
         F.col("total_events").alias("event_count"), "unique_contributors",
@@ -66,7 +75,7 @@ def influential_users(events: DataFrame, actors: DataFrame, n: int = 10) -> Data
     """The n most active accounts that are no bots; bots are dropped before counting."""
     people = events.filter(~is_bot("actor_login"))
     top = actor_metrics(people).orderBy(F.col("total_events").desc(), F.col("actor_id")).limit(n)
-    return top.join(actors.select("actor_id", "actor_login"), "actor_id", "left").select(
+    return top.join(rows_of(actors.select("actor_id", "actor_login"), top, "actor_id", n), "actor_id", "left").select(
         "actor_id", "actor_login", "total_events", "unique_repos").orderBy(F.col("total_events").desc(), "actor_id")
 
 
@@ -74,9 +83,9 @@ def contribution_by_type(events: DataFrame) -> DataFrame:
     """Events per account and type, with the share in the account's total. Bots are left out."""
     per_type = events.filter(F.col("actor_id").isNotNull() & ~is_bot("actor_login")).groupBy("actor_id", "event_type").agg(
         F.count("*").alias("event_count"))
-    totals = per_type.groupBy("actor_id").agg(F.sum("event_count").alias("total"))
-    return per_type.join(totals, "actor_id").select(
-        "actor_id", "event_type", "event_count", F.round(F.col("event_count") / F.col("total"), 6).alias("share"))
+    # After counting, an account has at most one row per event type, so its window stays small.
+    total = F.sum("event_count").over(W.partitionBy("actor_id"))
+    return per_type.select("actor_id", "event_type", "event_count", F.round(F.col("event_count") / total, 6).alias("share"))
 
 
 def language_activity(events: DataFrame, repositories: DataFrame) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hourvault.operators.bronze import parse_lines
 from hourvault.operators.quality import (
-    capped_errors, field_errors, file_event_types, file_status, file_uniques, first_lines, found_hours,
+    capped_errors, checked_lines, file_event_types, file_status, file_uniques, first_lines, found_hours,
     missing_hours, overall_status, quality_metrics, temporal_coverage, with_line_numbers)
+from hourvault.session import shared_dir
 from hourvault.sources.archive import ARCHIVE_GLOB, read_lines
 from hourvault.sources.sinks import write_report
 from hourvault.sources.storage import list_files
@@ -24,22 +25,26 @@ def read_rules(spark: SparkSession, path: str) -> tuple[list[str], dict[str, str
 
 def validate(spark: SparkSession, source: str, required: list[str] | None = None, types: dict[str, str] | None = None,
              sample: int | None = None) -> dict[str, DataFrame]:
-    """Frames of the report. All lines are checked unless `sample` limits each file to its first lines."""
+    """Frames of the report. All lines are checked unless `sample` limits each file to its first lines.
+
+    The archive is read and parsed once; the frames come from the stored checks.
+    """
     files = list_files(spark, source, ARCHIVE_GLOB)
     lines = with_line_numbers(read_lines(spark, source, skip_corrupt=True))
-    parsed = parse_lines(first_lines(lines, sample) if sample else lines)
-    errors = field_errors(parsed.drop("size_bytes"), required or [], types or {}) if required or types else None
-    report = file_status(parsed, files, errors)
+    stored = shared_dir(spark, "checked")
+    checked_lines(parse_lines(first_lines(lines, sample) if sample else lines), required, types).write.parquet(stored)
+    checked = spark.read.parquet(stored)
+    report = file_status(checked, files)
     frames = {
-        "files": report.join(file_uniques(parsed), "file_path", "left"),
-        "event_types": file_event_types(parsed),
+        "files": report.join(file_uniques(checked), "file_path", "left"),
+        "event_types": file_event_types(checked),
         "coverage": temporal_coverage(found_hours(files)),
         "missing_hours": missing_hours(found_hours(files)),
         "summary": overall_status(report),
         "metrics": quality_metrics(report),
     }
-    if errors is not None:
-        frames["errors"] = capped_errors(errors, ["line_id", "field", "problem"])
+    if required or types:
+        frames["errors"] = capped_errors(checked)
     return frames
 
 

@@ -37,10 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str, name: str) -> DataFrame:
     """Small files hold fewer splits than there are cores: deal their rows out. Larger input passes as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    context = df.sparkSession.sparkContext
+    place = (context.applicationId, name)
+    if place not in _SPLITS:
+        _SPLITS[place] = df.rdd.getNumPartitions()
+    return df.repartition(context.defaultParallelism, key) if _SPLITS[place] < context.defaultParallelism else df
+
+
+_SPLITS: dict[tuple[str, str], int] = {}
 
 
 def _text(value) -> Column:
@@ -49,7 +55,7 @@ def _text(value) -> Column:
 
 def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table with the number in `props` as `k` and the archive event type as `kind`."""
-    events = spread(table(spark, sf_dir, "events"), "event_id").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    events = spread(table(spark, sf_dir, "events"), "event_id", sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     odd = F.col("k") % 2 == 1
     kind = (F.when(F.col("event_type") == "click", "PushEvent").when(F.col("event_type") == "view", "WatchEvent")
             .when(F.col("event_type") == "purchase", "PullRequestEvent")

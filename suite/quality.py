@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from hourvault.operators import quality as q
 from hourvault.operators.bronze import parse_lines
 from hourvault.operators.gold import gold_tables
-from hourvault.operators.silver import silver_tables, union_all
+from hourvault.operators.silver import silver_tables
 from hourvault.sources.archive import ingest_manifest
-from suite.base import archive_events, archive_lines, bronze, events, flat, query
+from suite.base import archive_lines, bronze, events, flat, query
 
 # Rules that hold for part of the documents only, so that every kind of error occurs.
 REQUIRED = ["id", "actor", "org", "public"]
@@ -20,6 +20,10 @@ def _parsed(spark, sf_dir, variant="plain"):
     return parse_lines(archive_lines(spark, sf_dir, variant))
 
 
+def _checked(spark, sf_dir, variant="plain", required=None, types=None):
+    return q.checked_lines(_parsed(spark, sf_dir, variant), required, types)
+
+
 def _files(spark, sf_dir, variant="plain"):
     """Listing of the archive files with a size that stands for the stored bytes."""
     lines = archive_lines(spark, sf_dir, variant)
@@ -38,12 +42,12 @@ ERRORS_SQL = """
 
 @query("field_errors", ERRORS_SQL + "SELECT * FROM errors")
 def field_errors(spark, sf_dir):
-    return q.field_errors(_parsed(spark, sf_dir, "no_actor"), REQUIRED, TYPES)
+    return q.field_errors(_checked(spark, sf_dir, "no_actor", REQUIRED, TYPES))
 
 
 @query("required_fields", ERRORS_SQL + "SELECT field, count(*) AS events FROM errors WHERE problem = 'missing' GROUP BY 1")
 def required_fields(spark, sf_dir):
-    return q.field_errors(_parsed(spark, sf_dir, "no_actor"), REQUIRED, {}).groupBy("field").agg(F.count("*").alias("events"))
+    return q.field_errors(_checked(spark, sf_dir, "no_actor", REQUIRED)).groupBy("field").agg(F.count("*").alias("events"))
 
 
 @query("capped_errors", ERRORS_SQL + """
@@ -51,21 +55,20 @@ SELECT file_path, line_id, field, problem, expected, found, CAST(error_number AS
   SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY line_id, field, problem) AS error_number,
          count(*) OVER (PARTITION BY file_path) AS total FROM errors) WHERE error_number <= 20""")
 def capped_errors(spark, sf_dir):
-    errors = q.field_errors(_parsed(spark, sf_dir, "no_actor"), REQUIRED, TYPES)
-    return q.capped_errors(errors, ["line_id", "field", "problem"])
+    return q.capped_errors(_checked(spark, sf_dir, "no_actor", REQUIRED, TYPES))
 
 
 @query("file_uniques", """
 SELECT file_path, count(*) AS events, count(DISTINCT CASE WHEN event_id % 50 <> 0 THEN user_id END) AS unique_actors,
        count(DISTINCT k) AS unique_repos, count(DISTINCT kind) AS unique_types FROM ev GROUP BY 1""")
 def file_uniques(spark, sf_dir):
-    return q.file_uniques(_parsed(spark, sf_dir, "no_actor"))
+    return q.file_uniques(_checked(spark, sf_dir, "no_actor"))
 
 
 @query("file_event_types", """
 SELECT file_path, kind AS event_type, count(*) AS event_count FROM ev GROUP BY 1, 2""")
 def file_event_types(spark, sf_dir):
-    return q.file_event_types(_parsed(spark, sf_dir))
+    return q.file_event_types(_checked(spark, sf_dir))
 
 
 STATUS_SQL = """
@@ -82,7 +85,7 @@ report AS (
 def _report(spark, sf_dir):
     """Status of all files when the files of hour 23 cannot be opened."""
     lines = archive_lines(spark, sf_dir, "corrupt").filter(~F.col("file_path").endswith("-23.json.gz"))
-    return q.file_status(parse_lines(lines), _files(spark, sf_dir))
+    return q.file_status(q.checked_lines(parse_lines(lines)), _files(spark, sf_dir))
 
 
 @query("file_status", STATUS_SQL + "SELECT * FROM report")
@@ -94,9 +97,8 @@ def file_status(spark, sf_dir):
 SELECT file_path, count(*) FILTER (event_id % 10 = 0) AS field_errors, CASE WHEN count(*) FILTER (event_id % 10 = 0) > 0 THEN 'error'
        WHEN count(*) < 10 THEN 'warning' ELSE 'valid' END AS status FROM ev GROUP BY 1""")
 def file_status_with_rules(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    errors = q.field_errors(parsed, ["public"], {"id": "string"})
-    return q.file_status(parsed, _files(spark, sf_dir), errors).select("file_path", "field_errors", "status")
+    checked = _checked(spark, sf_dir, required=["public"], types={"id": "string"})
+    return q.file_status(checked, _files(spark, sf_dir)).select("file_path", "field_errors", "status")
 
 
 @query("overall_status", STATUS_SQL + """
@@ -119,7 +121,7 @@ def quality_metrics(spark, sf_dir):
 SELECT count(*) AS lines, count(*) FILTER (event_id % 97 = 0) AS bad_lines, round(count(*) FILTER (event_id % 97 = 0) / count(*), 6) AS error_rate,
        count(*) FILTER (event_id % 97 = 0) / count(*) <= 0.05 AS passed FROM ev""")
 def error_rate_gate(spark, sf_dir):
-    return q.error_rate_gate(_parsed(spark, sf_dir, "corrupt"))
+    return q.error_rate_gate(_checked(spark, sf_dir, "corrupt"))
 
 
 @query("first_lines", """
@@ -191,7 +193,7 @@ def column_tests_fail(spark, sf_dir):
 SELECT kind AS event_type, count(*) AS files, CAST(sum(n) AS BIGINT) AS events, max(n) AS most_per_file FROM (
   SELECT kind, file_path, count(*) AS n FROM ev GROUP BY 1, 2) GROUP BY 1""")
 def load_statistics(spark, sf_dir):
-    per_file = q.file_event_types(_parsed(spark, sf_dir))
+    per_file = q.file_event_types(_checked(spark, sf_dir))
     return per_file.groupBy("event_type").agg(F.count("*").alias("files"), F.sum("event_count").alias("events"), F.max("event_count").alias("most_per_file"))
 
 

@@ -12,7 +12,7 @@ from hourvault.functions.types import cast_schema, spark_type
 from hourvault.operators.bronze import bronze_events, in_hour_range, only_event_types, parse_lines, quarantine
 from hourvault.operators.features import feature_table, join_datasets, merged_features, scaled
 from hourvault.operators.gold import actor_metrics, hourly_summary, latest_per_key, org_metrics, resolve_aliases
-from hourvault.operators.quality import column_test_results, field_errors, temporal_coverage, found_hours, missing_hours
+from hourvault.operators.quality import checked_lines, column_test_results, field_errors, temporal_coverage, found_hours, missing_hours
 from hourvault.operators.registry import column_types, described_schema, partition_columns
 from hourvault.operators.silver import enforce_schema, flatten, payload_details, silver_actors, silver_events, silver_repositories
 from hourvault.operators.upsert import new_rows, one_per_key, upsert_dimension
@@ -64,7 +64,7 @@ def test_json_types(spark, value, expected):
 
 def test_null_is_present_but_absent_is_missing(spark):
     parsed = parse_lines(lines(spark, '{"a":null}', "{}", '{"a":true}', "broken"))
-    errors = field_errors(parsed, ["a"], {"a": "number"}).orderBy("line_id", "problem").collect()
+    errors = field_errors(checked_lines(parsed, ["a"], {"a": "number"})).orderBy("line_id", "problem").collect()
     assert [(e.line_id, e.problem, e.found) for e in errors] == [(0, "type", "null"), (1, "missing", None), (2, "type", "boolean")]
 
 

@@ -40,26 +40,32 @@ def _scored(labelled: DataFrame, model: str, params: dict, noise: str) -> DataFr
 def kmeans_sweep(points: DataFrame, ks=SWEEP_K, seed: int = SEED, noise: str = "score") -> DataFrame:
     """One row of scores per k."""
     points = points.persist()
-    return reduce(DataFrame.unionByName, [_scored(kmeans(points, k, seed)[0], "KMeans", {"k": k}, noise) for k in ks])
+    rows = [_scored(kmeans(points, k, seed)[0], "KMeans", {"k": k}, noise) for k in ks]
+    points.unpersist()
+    return reduce(DataFrame.unionByName, rows)
 
 
 def hierarchical_sweep(points: DataFrame, ks=SWEEP_K, seed: int = SEED, noise: str = "score") -> DataFrame:
     """One row of scores per k."""
     points = points.persist()
-    return reduce(DataFrame.unionByName, [_scored(hierarchical(points, k, seed), "Hierarchical", {"k": k}, noise) for k in ks])
+    rows = [_scored(hierarchical(points, k, seed), "Hierarchical", {"k": k}, noise) for k in ks]
+    points.unpersist()
+    return reduce(DataFrame.unionByName, rows)
 
 
 def density_sweep(features: DataFrame, key: str, eps_values=SWEEP_EPS, min_samples=SWEEP_MIN_SAMPLES,
                   noise: str = "score") -> DataFrame:
-    """One row of scores per (eps, min_samples)."""
+    """One row of scores per (eps, min_samples). Scores are values, so nothing is kept in memory afterwards."""
     columns = [c for c in features.columns if c != key]
     features = features.persist()
     rows = []
     for eps in eps_values:
         for m in min_samples:
             labelled = density_clusters(features, key, columns, eps, m)
-            points = as_points(features, key).join(labelled.select(key, "cluster"), key)
+            points = as_points(features, key).join(labelled.select(key, "cluster"), key).persist()
             rows.append(_scored(points, "DBSCAN", {"eps": eps, "min_samples": m}, noise))
+            points.unpersist()
+    features.unpersist()
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -29,9 +29,9 @@ def cluster_stats(points: DataFrame) -> DataFrame:
                         (total_variance * (F.col("s.count") - 1)).alias("sse"))
 
 
-def calinski_harabasz(points: DataFrame) -> DataFrame:
-    """One row `calinski`: between-cluster over within-cluster dispersion."""
-    stats = cluster_stats(points)
+def calinski_harabasz(points: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """One row `calinski`: between-cluster over within-cluster dispersion. `stats` saves the pass over the points."""
+    stats = cluster_stats(points) if stats is None else stats
     parts = stats.select("cluster", "n", "sse", F.posexplode("centre").alias("dim", "c"))
     means = parts.groupBy("dim").agg((F.sum(F.col("n") * F.col("c")) / F.sum("n")).alias("mean"))
     gap = F.col("c") - F.col("mean")
@@ -42,23 +42,23 @@ def calinski_harabasz(points: DataFrame) -> DataFrame:
     return total.select(F.when(F.col("w") == 0, F.lit(1.0)).otherwise(ratio).alias("calinski"))
 
 
-def cluster_spread(points: DataFrame) -> DataFrame:
+def cluster_spread(points: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Per cluster: centre and mean distance of its points to it."""
-    centres = cluster_stats(points).select("cluster", "centre")
+    centres = (cluster_stats(points) if stats is None else stats).select("cluster", "centre")
     squares = F.zip_with(vector_to_array("features"), F.col("centre"), lambda x, c: (x - c) * (x - c))
     distance = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, v: a + v))
     spread = points.join(centres, "cluster").groupBy("cluster").agg(F.avg(distance).alias("spread"))
     return centres.join(spread, "cluster")
 
 
-def davies_bouldin(points: DataFrame) -> DataFrame:
+def davies_bouldin(points: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """One row `davies`: mean over clusters of the worst ratio of spreads to centre distance.
 
     The ratio needs every pair of centres, never of points. Centres go out in
     blocks of bounded size and each task compares its own centres with one
     block at a time, so no pair is emitted and any number of clusters works.
     """
-    spread = cluster_spread(points).persist()
+    spread = cluster_spread(points, stats).persist()
     worst: DataFrame | None = None
     for labels, centres, spreads in _centre_blocks(spread):
         part = spread.mapInPandas(_worst_against(labels, centres, spreads), "cluster string, worst double")
@@ -121,12 +121,16 @@ def evaluate(points: DataFrame, noise: str = "score") -> DataFrame:
     """
     if noise not in ("score", "reject"):
         raise ValueError("noise must be 'score' or 'reject'")
-    labels = points.select("cluster").distinct().agg(
+    stats = cluster_stats(points).persist()
+    labels = stats.agg(
         F.count_if(F.col("cluster") != NOISE).alias("n"), F.count_if(F.col("cluster") == NOISE).alias("noise")).first()
     spark = points.sparkSession
     if labels["n"] < 2 or (noise == "reject" and labels["noise"]):
-        return _scores(spark, labels["n"], -1.0, -1.0, float("inf"))
-    return _scores(spark, labels["n"], silhouette(points), calinski_harabasz(points).first()[0], davies_bouldin(points).first()[0])
+        values = (-1.0, -1.0, float("inf"))
+    else:
+        values = (silhouette(points), calinski_harabasz(points, stats).first()[0], davies_bouldin(points, stats).first()[0])
+    stats.unpersist()
+    return _scores(spark, labels["n"], *values)
 
 
 def _scores(spark: SparkSession, n: int, s: float, c: float, d: float) -> DataFrame:

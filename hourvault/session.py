@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 4
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -23,7 +25,12 @@ def build_session(app: str = "hourvault", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return use_utc(builder.getOrCreate())
+    spark = use_utc(builder.getOrCreate())
+    # Adaptive execution can merge shuffle partitions but not add any: start with enough for large shuffles.
+    cores = spark.sparkContext.defaultParallelism
+    if not spark.sparkContext.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        spark.conf.set(INITIAL_PARTITIONS, str(max(200, PARTITIONS_PER_CORE * cores)))
+    return spark
 
 
 def use_utc(spark: SparkSession) -> SparkSession:

@@ -166,7 +166,12 @@ def kmeans_repositories(spark, sf_dir):
 
 @query("kmeans_sweep", None)
 def kmeans_sweep(spark, sf_dir):
-    return c.best_models(c.kmeans_sweep(as_points(order_features(spark, sf_dir), "o_custkey"), ks=range(2, 5)))
+    return c.best_models(c.kmeans_sweep(as_points(order_features(spark, sf_dir), "o_custkey")))
+
+
+@query("hierarchical_sweep", None)
+def hierarchical_sweep(spark, sf_dir):
+    return c.hierarchical_sweep(as_points(order_features(spark, sf_dir), "o_custkey"))
 
 
 @query("hierarchical", None)

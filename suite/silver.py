@@ -154,11 +154,12 @@ def distinct_ids(spark, sf_dir):
 
 
 @query("set_difference", """
-SELECT k AS repo_id FROM ev WHERE kind = 'PushEvent' EXCEPT SELECT k FROM ev WHERE kind = 'WatchEvent' AND user_id % 5 = 0""")
+SELECT k AS repo_id, user_id AS actor_id FROM ev WHERE kind = 'PushEvent' EXCEPT SELECT k, user_id FROM ev WHERE kind = 'WatchEvent'""")
 def set_difference(spark, sf_dir):
     rows = events(spark, sf_dir)
-    pushed = rows.filter("event_type = 'PushEvent'").select("repo_id").distinct()
-    return pushed.join(rows.filter("event_type = 'WatchEvent' AND actor_id % 5 = 0").select("repo_id").distinct(), "repo_id", "left_anti")
+    pushed = rows.filter("event_type = 'PushEvent'").select("repo_id", "actor_id").distinct()
+    watched = rows.filter("event_type = 'WatchEvent'").select("repo_id", "actor_id")
+    return pushed.join(watched, ["repo_id", "actor_id"], "left_anti")
 
 
 @query("key_order_hashes", """

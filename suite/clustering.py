@@ -180,13 +180,21 @@ def hierarchical(spark, sf_dir):
 
 
 @query("best_model", """
-SELECT 'given labels' AS model, '{}' AS params, count(DISTINCT label) AS n_clusters FROM embeddings""")
+WITH v AS (SELECT vec_id, 'given labels' AS model, CAST(label AS BIGINT) AS label, embedding::DOUBLE[64] AS x FROM embeddings
+  UNION ALL SELECT vec_id, 'by number', vec_id % 10, embedding::DOUBLE[64] FROM embeddings),
+m AS (SELECT a.model, a.vec_id, a.label, b.label AS other, sum(array_distance(a.x, b.x) ** 2) AS total, count(*) AS n
+  FROM v a JOIN v b ON a.model = b.model GROUP BY ALL),
+s AS (SELECT model, vec_id, sum(CASE WHEN other = label THEN total / nullif(n - 1, 0) END) AS own, min(CASE WHEN other <> label THEN total / n END) AS near
+  FROM m GROUP BY 1, 2)
+SELECT model, '{}' AS params, (SELECT count(DISTINCT label) FROM v WHERE v.model = s.model) AS n_clusters,
+       round(avg(CASE WHEN own IS NULL THEN 0 ELSE (near - own) / greatest(own, near) END), 6) AS silhouette
+FROM s GROUP BY model ORDER BY silhouette DESC LIMIT 1""")
 def best_model(spark, sf_dir):
     points = labelled_embeddings(spark, sf_dir)
     given = scores.evaluate(points).select(F.lit("given labels").alias("model"), F.lit("{}").alias("params"), "*")
     mixed = points.withColumn("cluster", (F.col("vec_id") % 10).cast("int"))
     other = scores.evaluate(mixed).select(F.lit("by number").alias("model"), F.lit("{}").alias("params"), "*")
-    return c.best_models(given.unionByName(other), 1).select("model", "params", "n_clusters")
+    return c.best_models(given.unionByName(other), 1).select("model", "params", "n_clusters", F.round("silhouette", 6).alias("silhouette"))
 
 
 @query("run_record", None)

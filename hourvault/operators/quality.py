@@ -58,7 +58,8 @@ def checked_lines(parsed: DataFrame, required: list[str] | None = None, types: d
 
     The raw text is read and parsed for this frame alone: store it once and
     every check below is a scan of a few small columns. `errors` holds one
-    entry per rule, NULL for a rule that holds.
+    entry per rule, NULL for a rule that holds, and is NULL for a line without
+    errors.
     """
     def entity(name: str) -> Column:
         return F.when(is_object(F.try_variant_get("event", f"$.{name}", "variant")), leaf("event", f"$.{name}.id", "bigint"))
@@ -79,13 +80,13 @@ def checked_lines(parsed: DataFrame, required: list[str] | None = None, types: d
         *[c for c in ("file_path", "line_id") if c in parsed.columns], is_broken.alias("is_broken"),
         leaf("event", "$.type", "string").alias("event_type"), entity("actor").alias("actor_id"), entity("repo").alias("repo_id"),
         F.when(is_broken, 0).otherwise(broken_rules).alias("error_count"),
-        F.when(~is_broken, F.array(*rules).cast(kind)).alias("errors"))
+        F.when(~is_broken & (broken_rules > 0), F.array(*rules).cast(kind)).alias("errors"))
 
 
 def field_errors(checked: DataFrame) -> DataFrame:
     """One row per broken field rule: a required field that is absent or a value of another JSON type."""
     kept = [c for c in ("file_path", "line_id") if c in checked.columns]
-    return checked.filter("error_count > 0").select(*kept, F.explode("errors").alias("e")).filter(
+    return checked.select(*kept, F.explode("errors").alias("e")).filter(
         F.col("e").isNotNull()).select(*kept, "e.*")
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from itertools import count
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +27,6 @@ MIN_KEPT_PERCENT = 50
 #: Phrases of page furniture, in lower case.
 BOILERPLATE = [b"all rights reserved", b"cookie policy", b"privacy policy", b"terms of use", b"terms of service",
                b"enable javascript", b"lorem ipsum", b"click here", b"skip to content", b"sign in to", b"subscribe to our"]
-
 BASE = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean"
 RESULT = f"doc_id bigint, {BASE}, kept boolean, n_lines bigint, n_bad_lines bigint, kept_chars bigint"
 
@@ -39,8 +41,8 @@ def repeated_words(words: list[bytes]) -> int:
     n = len(words)
     if n < 4:
         return 0
-    ids: dict[bytes, int] = {}
-    codes = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, n)
+    ids: defaultdict[bytes, int] = defaultdict(count().__next__)
+    codes = np.fromiter(map(ids.__getitem__, words), np.int64, n)
     if len(ids) == n:
         return 0
     pairs = np.unique(codes[:-1] * len(ids) + codes[1:], return_inverse=True)[1]
@@ -56,9 +58,11 @@ def bad_line(line: bytes) -> bool:
     """Punctuation, navigation and boilerplate rules, on a line with a word."""
     words = line.split()
     n = len(words)
-    if 100 * sum(1 for w in words if len(w) != len(w.translate(None, SYMBOLS))) > MAX_MARKED_PERCENT * n:
-        return True
-    if 100 * sum(1 for w in words if w.endswith(b"!!")) > MAX_MARKED_PERCENT * n:
+    if len(line) != len(line.translate(None, SYMBOLS)):
+        marked = sum(1 for w in words if len(w) != len(w.translate(None, SYMBOLS)))
+        if 100 * marked > MAX_MARKED_PERCENT * n:
+            return True
+    if b"!!" in line and 100 * sum(1 for w in words if w.endswith(b"!!")) > MAX_MARKED_PERCENT * n:
         return True
     if n <= MAX_MENU_WORDS and not (b"." in line or b"!" in line or b"?" in line or words[-1].endswith((b":", b";", b","))):
         return True

@@ -15,8 +15,9 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS = 32
 BAND_ROWS = 5
-#: A member of a bucket is compared with this many first members, before those still apart are compared with all.
-STAR_ROUNDS = 3
+#: Bytes of sets in one unit of work, of documents apart from a bucket's main group and of those they are held against.
+APART_BYTES = 4 << 20
+AGAINST_BYTES = 16 << 20
 
 SKETCHED = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -80,30 +81,28 @@ def sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
     return map_rows(docs, run, SKETCHED)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of class ids, those whose full sets are similar enough. Sets are made again from the texts."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
+    """The shingle sets of the documents whose id is in `wanted`, made again from their texts: id, shingles."""
     hashes = WordHashes()
 
     def sets(batch: pa.RecordBatch) -> dict:
         found = [shingle_hashes(t.lower().split(), shingle_words, hashes).tobytes() for t in texts(batch, "text")]
         return {"id": batch.column("id"), "shingles": found}
 
-    rows = docs.join(wanted, docs.doc_id == wanted.id, "left_semi").select(F.col("doc_id").alias("id"), "text")
+    rows = docs.join(wanted, docs.doc_id == wanted.wanted, "left_semi").select(F.col("doc_id").alias("id"), "text")
     # Repeated rows of one id in one class have equal sets: any of them will do.
-    full = stored(map_rows(rows, sets, "id bigint, shingles binary").dropDuplicates(["id"]), "near-sets")
+    return stored(map_rows(rows, sets, "id bigint, shingles binary").dropDuplicates(["id"]), "near-sets")
 
+
+def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b) of class ids, those whose full sets are similar enough."""
     def check(batch: pa.RecordBatch) -> dict:
         left = batch.column("left_set").cast(pa.large_binary()).to_pylist()
         right = batch.column("right_set").cast(pa.large_binary()).to_pylist()
         keep = []
         for x, y in zip(left, right, strict=True):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                keep.append(False)
-                continue
-            common = len(x) + len(y) - len(np.union1d(x, y))
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            keep.append(similar(x, y, percent))
         keep = pa.array(keep, pa.bool_())
         return {c: batch.column(c).filter(keep) for c in ("a", "b")}
 
@@ -113,6 +112,105 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle_words: int, percent: int
     return map_rows(both.select("a", "b", "left_set", "right_set"), check, "a bigint, b bigint")
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    union = len(np.union1d(x, y))
+    return 100 * (len(x) + len(y) - union) >= percent * union
+
+
+def bitmaps(sets: list[np.ndarray], width: int) -> np.ndarray:
+    """One bit for each shingle's hash modulo `width` (a power of two)."""
+    out = np.zeros((len(sets), width), bool)
+    for k, x in enumerate(sets):
+        out[k, (x & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(out, axis=1).view(np.uint64)
+
+
+def linked_apart(ids: list[int], groups: list[int], sets: list[np.ndarray], other_ids: list[int], other_groups: list[int],
+                 others: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between two lists of sets, one for each document of the first list and group of the second.
+
+    A bit set on one side only stands for a shingle that the other side lacks, so bitmaps bound the intersection
+    from above; only pairs that pass the bound are held against each other in full.
+    """
+    sizes, other_sizes = (np.array([len(x) for x in y], np.int64) for y in (sets, others))
+    width = 1 << max(11, int(16 * sizes.max()).bit_length())
+    width = min(width, 1 << 16)
+    # In slices, so that the bitmaps of many large sets never stand in memory at once.
+    step = max(1, (32 << 20) // width)
+    found = []
+    for low in range(0, len(others), step):
+        right = bitmaps(others[low:low + step], width)
+        for k, x in enumerate(sets):
+            left = bitmaps([x], width)
+            m = other_sizes[low:low + step]
+            lacking = np.bitwise_count(left & ~right).sum(axis=1, dtype=np.int64)
+            extra = np.bitwise_count(right & ~left).sum(axis=1, dtype=np.int64)
+            common = np.minimum(sizes[k] - lacking, m - extra)
+            done = {groups[k]}
+            for j in np.flatnonzero(100 * common >= percent * (sizes[k] + m - common)) + low:
+                if other_groups[j] not in done and similar(x, others[j], percent):
+                    done.add(other_groups[j])
+                    found.append((ids[k], other_ids[j]))
+    return found
+
+
+def links_apart(members: DataFrame, labels: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one bucket that stand in different groups so far.
+
+    In each bucket, documents outside the group with the most members are held against all members of other groups,
+    in units of bounded size that are dealt over the tasks: no pairs are made as rows.
+    """
+    grouped = (members.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
+               .select("bucket", "rep", "size", F.coalesce("component", "rep").alias("component")))
+    shares = grouped.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    mixed = (shares.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"),
+                                          F.sum("size").alias("all_size"), F.max(F.struct("n", "component", "size")).alias("top"),
+                                          F.count(F.lit(1)).alias("groups"))
+             .filter("groups > 1 AND n > 2")
+             .select("bucket", "main",
+                     F.ceil((F.col("all_size") - F.col("top.size")) * 8 / APART_BYTES).cast("int").alias("blocks"),
+                     F.ceil(F.col("all_size") * 8 / AGAINST_BYTES).cast("int").alias("chunks")))
+    rows = grouped.join(mixed, "bucket")
+    share = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    apart = rows.filter("component <> main").withColumn("against", F.lit(False)).withColumn("block", share("blocks")).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    against = rows.withColumn("against", F.lit(True)).withColumn("chunk", share("chunks")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    names = ["bucket", "block", "chunk", "against", "rep", "component"]
+    units = apart.select(*names).union(against.select(*names)).join(full.withColumnRenamed("id", "rep"), "rep")
+    units = units.repartition(F.col("bucket"), F.col("block"), F.col("chunk")).sortWithinPartitions("bucket", "block", "chunk", "against")
+    schema = "a bigint, b bigint"
+    fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def over(batches):
+        links: list[tuple[int, int]] = []
+
+        def close():
+            (a, b, c), (d, e, f) = sides
+            if a and d:
+                links.extend(linked_apart(a, b, c, d, e, f, percent))
+
+        key, sides = None, (([], [], []), ([], [], []))
+        for batch in batches:
+            columns = [batch.column(n).to_pylist() for n in (*names, "shingles")]
+            for bucket, block, chunk, is_against, rep, component, data in zip(*columns, strict=True):
+                if key != (bucket, block, chunk):
+                    close()
+                    key, sides = (bucket, block, chunk), (([], [], []), ([], [], []))
+                for to, value in zip(sides[is_against], (rep, component, np.frombuffer(data, np.uint64)), strict=True):
+                    to.append(value)
+            if len(links) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], schema=fields)
+                links.clear()
+        close()
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], schema=fields)
+
+    return units.select(*names, "shingles").mapInArrow(over, schema)
+
+
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """The smallest id that each linked id reaches: columns id, component.
 
@@ -144,8 +242,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     one run. Sets with an intersection of `percent` of their union are linked, and a group is what links reach.
     Documents with equal sets form a class, joined by the key of the set and never by pairs. One document of each
     class is sketched into buckets, one for each band of the sketch; two sets at the threshold miss each other in all
-    buckets with a probability of 3e-6. Members of a bucket are compared with its first member on full sets; buckets
-    whose members are then still apart are compared further until every pair of them from different groups has been.
+    buckets with a probability of 3e-6. Members of a bucket are compared with its first member on full sets; where
+    members are then in different groups, those outside the main one are compared with all others.
 
     Null and empty texts have no set and are linked with nothing. Repeated rows get a row each. A row with a null id
     cannot be linked: its component is null and it is kept. Other columns are not read.
@@ -159,33 +257,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     entries = classes.select("rep", "size", F.explode("bands").alias("bucket"))
     crowded = (entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first")).filter("n > 1"))
     members = stored(entries.join(crowded, "bucket").select("bucket", "rep", "size", "first"), "near-buckets")
-    links, labels = None, None
-    tried = []
-    for _ in range(STAR_ROUNDS):
-        pairs = members.filter("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
-        for old in tried:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "near-pairs")
-        if not pairs.limit(1).count():
-            break
-        tried.append(pairs)
-        found = verified(pairs, rows, shingle_words, percent)
-        links = stored(found if links is None else links.union(found), "near-links")
-        labels = components(links)
-        members, members_left = _apart(members, labels)
-        if not members_left:
-            break
-    else:
-        pairs = _all_apart(members, percent)
-        for old in tried:
-            pairs = pairs.join(old, ["a", "b"], "left_anti").join(old.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        links = stored(links.union(verified(stored(pairs, "near-pairs"), rows, shingle_words, percent)), "near-links")
-        labels = components(links)
-    spread = classes.filter("members > 1").select("set_key", "rep")
-    if labels is not None:
-        spread = (classes.select("set_key", "rep", "members")
-                  .join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").filter("members > 1 OR component <> rep")
-                  .select("set_key", F.coalesce("component", "rep").alias("rep")))
+    pairs = stored(members.filter("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct(), "near-pairs")
+    full = full_sets(rows, members.select(F.col("rep").alias("wanted")).distinct(), shingle_words)
+    links = stored(verified(pairs, full, percent), "near-links")
+    labels = components(links)
+    links = stored(links.union(links_apart(members, labels, full, percent)), "near-links")
+    labels = components(links)
+    spread = (classes.select("set_key", "rep", "members")
+              .join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").filter("members > 1 OR component <> rep")
+              .select("set_key", F.coalesce("component", "rep").alias("rep")))
     # Documents alone in class and group need no partner: only the others stand on the right side.
     return (marks.select("doc_id", "n_shingles", "set_key").join(spread, "set_key", "left")
             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
@@ -193,29 +273,6 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
-def _apart(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, bool]:
-    """Members of buckets that still hold more than one group, with the first member of the next group to try."""
-    grouped = (members.drop("component").join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
-               .withColumn("component", F.coalesce("component", "rep")))
-    mixed = (grouped.groupBy("bucket").agg(
-        F.min("component").alias("c0"), F.max("component").alias("c1"), F.max("first").alias("last"), F.count(F.lit(1)).alias("n"))
-        .filter("c0 <> c1 AND n > 2").select("bucket", "c0"))
-    rows = grouped.join(mixed, "bucket")
-    # The next centre is the smallest member outside the bucket's first group that was not a centre yet.
-    centre = rows.filter("component <> c0 AND rep <> first").groupBy("bucket").agg(F.min("rep").alias("next"))
-    out = stored(rows.join(centre, "bucket").select("bucket", "rep", "size", "component", F.col("next").alias("first")), "near-buckets")
-    return out, out.limit(1).count() > 0
-
-
-def _all_apart(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket and different groups whose set sizes allow a link; larger groups are the outer side."""
-    left = members.select("bucket", F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("component_a"))
-    right = members.select("bucket", F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("component_b"))
-    fits = (F.col("component_a") < F.col("component_b")) & (
-        F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
-    return left.join(right, "bucket").filter(fits).select("a", "b").distinct()
-
-
 def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """One document of each group, that with the smallest id, in the columns of `docs`; rows without an id stay."""
     found = near_duplicates(docs, id_column=id_column, **options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections import defaultdict
-from itertools import islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +21,8 @@ END = 1
 SPECIAL = b"<|endoftext|>"
 #: Words whose ids a worker remembers; bounds its memory.
 REMEMBERED = 800_000
-#: Longer strings between white space are encoded but not remembered.
-LONG_WORD = 64
+#: Bytes of those words, which may be long.
+REMEMBERED_BYTES = 32 << 20
 #: Punctuation at the end of words.
 MARKS = b".,;:!?*&$#%|"
 
@@ -53,7 +53,7 @@ class Encoder:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.used = self.bytes = 0
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in a row, and how many each has. Blocks of words go in one call, with a special token between."""
@@ -83,6 +83,7 @@ class Encoder:
         self.begin[n:n + len(words)] = self.used + np.cumsum(sizes) - sizes
         self.size[n:n + len(words)] = sizes
         self.used += len(flat)
+        self.bytes += sum(map(len, words))
         self.number.update(zip(words, range(n, n + len(words)), strict=True))
 
     def learn(self, words: list[bytes]) -> None:
@@ -104,33 +105,30 @@ class Encoder:
     def shrink(self) -> None:
         """Keep the words that came first: frequent ones come early."""
         kept = dict(islice(self.number.items(), REMEMBERED // 2))
-        self.number, self.used = kept, int(self.begin[len(kept) - 1] + self.size[len(kept) - 1])
+        if sum(map(len, kept)) > REMEMBERED_BYTES // 2:
+            kept = {}
+        self.number, self.used = kept, int(self.begin[len(kept) - 1] + self.size[len(kept) - 1]) if kept else 0
+        self.bytes = sum(map(len, kept))
 
     def ids(self, all_words: list[list[bytes]]) -> list[np.ndarray]:
         """Ids of several texts, given as their strings."""
-        if len(self.number) > REMEMBERED:
+        if len(self.number) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self.shrink()
-        new = {w for words in all_words for w in words if w not in self.number}
-        rare = [w for w in new if len(w) > LONG_WORD]
-        self.learn([w for w in new if len(w) <= LONG_WORD])
-        once = {}
-        if rare:
-            flat, sizes = self.encode(rare)
-            once = dict(zip(rare, np.split(flat, np.cumsum(sizes)[:-1]), strict=True))
-        return [self.joined(words, once) for words in all_words]
+        flat = list(chain.from_iterable(all_words))
+        which = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(which < 0).tolist()
+        if missing:
+            new = [flat[k] for k in missing]
+            self.learn(list(dict.fromkeys(new)))
+            which[missing] = np.fromiter(map(self.number.__getitem__, new), np.int64, len(new))
+        ends = np.concatenate([[0], np.cumsum(self.size[which])])[np.cumsum([len(w) for w in all_words])]
+        return np.split(self.gather(which), ends[:-1])
 
     def gather(self, which: np.ndarray) -> np.ndarray:
         size = self.size[which]
         shift = np.repeat(self.begin[which] - np.cumsum(size) + size, size)
         return self.flat[shift + np.arange(len(shift))]
 
-    def joined(self, words: list[bytes], once: dict[bytes, np.ndarray]) -> np.ndarray:
-        number = self.number
-        if once and any(w in once for w in words):
-            parts = [once[w] if w in once else self.flat[(b := self.begin[number[w]]):b + self.size[number[w]]] for w in words]
-            return np.concatenate([np.asarray(x, np.uint32) for x in parts])
-        return self.gather(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-
 
 _ENCODERS: dict[str, Encoder] = {}
 

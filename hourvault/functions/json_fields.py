@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def parse_once(df: DataFrame, text: str, into: str) -> DataFrame:
-    """Add `into` = VARIANT of the JSON text, NULL for text that does not parse.
+def parse_once(df: DataFrame, text: str, into: str, objects_only: bool = False) -> DataFrame:
+    """Add `into` = VARIANT of the JSON text, NULL for text that does not parse (or, on demand, is no object).
+
+    Of a repeated key the last value counts, by a session setting of `use_utc`.
 
     The value goes through a one-element explode. Catalyst pushes a filter
     below a projection by copying its expression, which would parse each line
@@ -15,7 +17,8 @@ def parse_once(df: DataFrame, text: str, into: str) -> DataFrame:
     the parsed value. The generator stays inside whole-stage codegen.
     """
     kept = [F.col(c) for c in df.columns if c != into]
-    return df.select(*kept, F.explode(F.array(F.try_parse_json(text))).alias(into))
+    value = F.when(F.col(text).rlike(r"^\s*\{"), F.col(text)) if objects_only else F.col(text)
+    return df.select(*kept, F.explode(F.array(F.try_parse_json(value))).alias(into))
 
 
 def leaf(variant: str | Column, path: str, sql_type: str) -> Column:

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DATED_NAME = r"^\d{4}-\d{1,2}-\d{1,2}(-\d{1,2})?\."
-PATH_DATE = r"/((?:20[0-2]\d|2030))/(\d{1,2})/(\d{1,2})(?:/|$)"
-MAX_RANGE_DAYS = 7
+PATH_DATE = r"/(\d{4})/(\d{1,2})/(\d{1,2})(?:/|$)"
 
 
 def parse_time(text: str | Column) -> Column:
@@ -72,12 +71,12 @@ def hours_between(bounds: DataFrame, start: str, end: str, inclusive: bool = Fal
     return bounds.filter(F.col(start) <= last).select(F.explode(hours).alias("hour"))
 
 
-def expected_hours(spark: SparkSession, start: dt.datetime, end: dt.datetime) -> DataFrame:
-    """Archive hours of [start, end) with file name and path, at most seven days."""
+def expected_hours(spark: SparkSession, start: dt.datetime, end: dt.datetime, max_days: int | None = None) -> DataFrame:
+    """Archive hours of [start, end) with file name and path; a longer range than `max_days` is refused."""
     if end <= start:
         raise ValueError("the end must lie after the start")
-    if (end - start).days > MAX_RANGE_DAYS:
-        raise ValueError(f"the range may hold at most {MAX_RANGE_DAYS} days")
+    if max_days is not None and (end - start).days > max_days:
+        raise ValueError(f"the range may hold at most {max_days} days")
     bounds = spark.range(1).select(F.lit(start).cast("timestamp_ntz").alias("start"),
                                    F.lit(end).cast("timestamp_ntz").alias("end"))
     return with_archive_paths(hours_between(bounds, "start", "end"))

@@ -10,8 +10,8 @@ from hourvault.functions.times import file_date, file_hour
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Add `event`, the VARIANT of each line; NULL where the line is no JSON document."""
-    return parse_once(lines, "value", "event")
+    """Add `event`, the VARIANT of each line; NULL where the line is no JSON object."""
+    return parse_once(lines, "value", "event", objects_only=True)
 
 
 def valid_lines(parsed: DataFrame) -> DataFrame:
@@ -59,9 +59,17 @@ def only_event_types(events: DataFrame, types: list[str] | None) -> DataFrame:
 
 
 def in_date_pattern(bronze: DataFrame, pattern: str) -> DataFrame:
-    """Rows of a yyyy, yyyy/MM or yyyy/MM/dd pattern, as a range on the partition column."""
-    prefix = pattern.strip("/").replace("/", "-")
-    return bronze.filter(F.col("file_date").startswith(prefix))
+    """Rows of a yyyy, yyyy/MM or yyyy/MM/dd pattern, as a range on the partition column.
+
+    Parts are whole years, months and days, with or without leading zeros.
+    """
+    parts = [int(p) for p in pattern.strip("/").split("/")]
+    if not 1 <= len(parts) <= 3:
+        raise ValueError(f"{pattern!r} is no year, month or day")
+    year, month, day = (*parts, None, None)[:3]
+    first = f"{year:04d}-{month or 1:02d}-{day or 1:02d}"
+    last = f"{year:04d}-{month or 12:02d}-{day or 31:02d}"
+    return bronze.filter(F.col("file_date").between(first, last))
 
 
 def in_hour_range(bronze: DataFrame, start: str, end: str) -> DataFrame:

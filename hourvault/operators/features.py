@@ -42,7 +42,7 @@ def scaled(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     return df.select(*keep, *[z(i, c) for i, c in enumerate(columns)])
 
 
-def feature_table(df: DataFrame, key: str = "repo_id", percent: int | None = 15, keep_id: bool = False) -> DataFrame:
+def feature_table(df: DataFrame, key: str = "repo_id", percent: int | None = None, keep_id: bool = False) -> DataFrame:
     """Key plus scaled numeric columns of one metric table; `keep_id` also scales the key as a feature."""
     rows = sample_rows(df, key, percent) if percent is not None else df
     columns = numeric_columns(df, drop=(key,))
@@ -66,7 +66,7 @@ def join_datasets(frames: list[DataFrame], key: str = "repo_id") -> DataFrame:
     return reduce(join, frames)
 
 
-def merged_features(frames: list[DataFrame | None], key: str = "repo_id", percent: int | None = 15,
+def merged_features(frames: list[DataFrame | None], key: str = "repo_id", percent: int | None = None,
                     keep_id: bool = False) -> DataFrame:
     """Feature table of several metric tables: those with the key and numeric columns, averaged per key and joined.
 

@@ -2,28 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourvault.functions.types import spark_type
 
 
-def column_types(schema: dict[str, str]) -> list[dict[str, str]]:
-    """Described columns with their Spark type."""
-    return [{"name": name, "type": spark_type(kind), "comment": ""} for name, kind in schema.items()]
-
-
-def described_schema(columns: list[dict[str, str]]) -> dict[str, str]:
-    """Back from column entries to a name → type description."""
-    return {c["name"]: c["type"] for c in columns}
-
-
-def partition_columns(partitions: list[dict[str, str]]) -> list[dict[str, str]]:
-    """Partition columns with their Spark type; text unless stated."""
-    return [{"name": p["name"], "type": spark_type(p.get("type", "string")), "comment": p.get("description", "")}
-            for p in partitions]
-
-
 def null_shares(df: DataFrame, name: str) -> DataFrame:
     """Rows, NULLs and NULL share of each column of a table, from one aggregate."""
     total = F.count("*").alias("_rows")
@@ -46,8 +32,12 @@ def dataset_record(
     extra: dict[str, str] | None = None,
     time_column: str | None = None,
     size_bytes: int | None = None,
+    first_created: dt.datetime | None = None,
 ) -> DataFrame:
-    """One registry row: what the caller states about a dataset plus what the data says."""
+    """One registry row: what the caller states about a dataset plus what the data says.
+
+    `first_created` is the creation time of the dataset's first record, where there is one.
+    """
     def text_map(values: dict[str, str] | None):
         pairs = [F.lit(x) for item in (values or {}).items() for x in item]
         return (F.create_map(*pairs) if pairs else F.expr("map()")).cast("map<string,string>")
@@ -56,16 +46,17 @@ def dataset_record(
         kind = "array<struct<name:string,type:string>>"
         return F.array(*[F.struct(F.lit(i["name"]).alias("name"), F.lit(i["type"]).alias("type")) for i in items]).cast(kind)
 
+    stated = [{"name": p["name"], "type": spark_type(p.get("type", "string"))} for p in partitions or []]
     fields = [{"name": f.name, "type": f.dataType.simpleString()} for f in df.schema]
     span = [F.min(time_column), F.max(time_column)] if time_column else [F.lit(None), F.lit(None)]
     low, high = (c.cast("timestamp_ntz").alias(n) for c, n in zip(span, ("min_time", "max_time")))
     return df.agg(F.count("*").alias("rows"), low, high).select(
         F.lit(name).alias("dataset_name"), F.lit(path).alias("dataset_path"), F.lit(description).alias("description"),
-        entries(fields).alias("schema"), entries(partition_columns(partitions or [])).alias("partitions"),
+        entries(fields).alias("schema"), entries(stated).alias("partitions"),
         text_map(tags).alias("tags"), text_map(source_info).alias("source_info"),
         text_map(extra).alias("additional_metadata"), "rows", "min_time", "max_time",
         F.lit(size_bytes).cast("bigint").alias("size_bytes"),
-        F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at"))
+        F.coalesce(F.lit(first_created).cast("timestamp"), F.current_timestamp()).alias("created_at"), F.current_timestamp().alias("updated_at"))
 
 
 def latest_records(registry: DataFrame) -> DataFrame:

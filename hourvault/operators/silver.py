@@ -145,7 +145,7 @@ def repository_sightings(flat: DataFrame) -> DataFrame:
         "repo_id", "repo_name", "repo_url",
         F.col("repo_owner_id").alias("owner_id"),
         owner_of("repo_name").alias("owner_login"),
-        F.coalesce("repo_is_fork", F.lit(False)).alias("is_fork"),
+        F.col("repo_is_fork").alias("is_fork"),
         F.col("repo_language").alias("language"),
         parse_time("repo_created_at").alias("created_at"),
         parse_time("repo_updated_at").alias("updated_at"),
@@ -203,10 +203,20 @@ def silver_actors(flat: DataFrame, policy: str = "max") -> DataFrame:
     return roll_up(actor_sightings(flat), "actor_id", policy).select(*SILVER["actors"])
 
 
-def silver_repositories(flat: DataFrame, policy: str = "max") -> DataFrame:
+def repository_increment(flat: DataFrame, policy: str = "max") -> DataFrame:
+    """Repositories of some events as an upsert takes them: is_fork stays NULL where no event tells it."""
     return roll_up(repository_sightings(flat), "repo_id", policy).select(*SILVER["repositories"])
 
 
+def readable_repositories(dimension: DataFrame) -> DataFrame:
+    """The dimension as readers see it: a repository that no event calls a fork is none."""
+    return dimension.withColumn("is_fork", F.coalesce("is_fork", F.lit(False)))
+
+
+def silver_repositories(flat: DataFrame, policy: str = "max") -> DataFrame:
+    return readable_repositories(repository_increment(flat, policy))
+
+
 def silver_organizations(flat: DataFrame, policy: str = "max") -> DataFrame:
     return roll_up(organization_sightings(flat), "org_id", policy).select(*SILVER["organizations"])
 

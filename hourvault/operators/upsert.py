@@ -16,16 +16,16 @@ def new_rows(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 
 def within_span(target: DataFrame, source: DataFrame, column: str) -> DataFrame:
-    """Target rows inside the value span of the source.
+    """Target rows inside the value span of the source, and those without a value.
 
-    A repeated event carries the same date as its first copy, so only the
-    partitions an increment touches need to be compared. The span is one row
-    of two values, read on the driver so that it prunes partitions as literals.
+    A repeated event carries the same time as its first copy, so only rows in
+    the span need to be compared; a copy without a time matches rows without
+    one. The span is one row of two values, read on the driver, and reaches
+    the scan's row group filters as literals.
     """
     low, high = source.agg(F.min(column), F.max(column)).first()
-    if low is None:
-        return target.limit(0)
-    return target.filter(F.col(column).between(low, high))
+    without = F.col(column).isNull()
+    return target.filter(without if low is None else without | F.col(column).between(low, high))
 
 
 def one_per_key(source: DataFrame, key: str) -> DataFrame:
@@ -40,6 +40,18 @@ def one_per_key(source: DataFrame, key: str) -> DataFrame:
     return once.unionByName(source.join(repeated, key, "left_semi").dropDuplicates([key]))
 
 
+def one_version(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key of flat events: the newest by event_time, of equal times the one with the greatest hash.
+
+    Rows with a key of their own, and rows without one, stay out of the shuffle of whole rows.
+    """
+    repeated = rows.groupBy(key).agg(F.count("*").alias("_copies")).filter("_copies > 1").select(key)
+    once = rows.join(repeated, key, "left_anti")
+    best = rows.join(repeated, key, "left_semi").groupBy(key).agg(
+        F.max_by(F.struct(*rows.columns), F.struct("event_time", "event_hash")).alias("_row"))
+    return once.unionByName(best.select("_row.*"))
+
+
 def merge_facts(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Content after an upsert by key: source rows replace target rows of the same key."""
     return target.join(source.select(key), key, "left_anti").unionByName(source)

@@ -1,21 +1,22 @@
 """Raw files to bronze, silver and gold, one increment at a time.
 
-A run loads the files that are new, carries whole archive hours to silver and
-rebuilds gold. Repeating a run, or resuming one that broke off, ends in the
-same state: bronze keeps a stream checkpoint, facts replace whole hours, the
-dimension merge does not change under repetition, and the event fact, which
-marks an hour as done, is written last.
+A run loads the files that are new, carries them to the archive hours of
+silver and rebuilds gold. Repeating a run, or resuming one that broke off,
+ends in the same state: bronze keeps a stream checkpoint, facts are merged by
+event into the hours that new files touch, the dimension merge does not change
+under repetition, and the load log, which marks a file as done, is written last.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourvault.functions.times import parse_time
 from hourvault.operators.gold import gold_tables
 from hourvault.operators.silver import (
-    actor_sightings, flatten, organization_sightings, payload_details, repository_sightings, roll_up, silver_events)
-from hourvault.operators.upsert import new_rows, one_per_key, upsert_dimension, within_span
+    actor_sightings, flatten, organization_sightings, payload_details, readable_repositories, repository_sightings,
+    roll_up, silver_events)
+from hourvault.operators.upsert import new_rows, one_version, upsert_dimension, within_span
 from hourvault.plans.store import Store, partition_values
 from hourvault.schemas import BRONZE_EVENTS, SILVER, SILVER_KEYS, ddl
 from hourvault.session import shared_dir
@@ -23,6 +24,7 @@ from hourvault.sources.sinks import write_gold
 from hourvault.sources.tables import has_files
 from hourvault.streaming.ingest import ingest_bronze, ingest_quarantine, stream_lines
 
+LOAD_LOG = "file_name string, events bigint, run_date string, loaded_at timestamp"
 HOUR = ["file_date", "file_hour AS hour_bucket"]
 
 SIGHTINGS = {
@@ -44,49 +46,68 @@ def read_bronze_table(spark: SparkSession, store: Store) -> DataFrame:
     return spark.read.schema(ddl(BRONZE_EVENTS)).parquet(store.bronze)
 
 
-def pending_hours(bronze: DataFrame, events: DataFrame | None) -> DataFrame:
-    """Archive hours in bronze that the event fact does not hold, from partition columns only."""
-    hours = partition_values(bronze, "file_date", "file_hour")
-    if events is None:
-        return hours
-    done = partition_values(events, "file_date", "hour_bucket").withColumnRenamed("hour_bucket", "file_hour")
-    return hours.join(done, ["file_date", "file_hour"], "left_anti")
+def files_to_load(spark: SparkSession, bronze: DataFrame, store: Store) -> DataFrame:
+    """Files in bronze that no earlier silver run has carried on, from the load log."""
+    files = bronze.select("file_name").distinct()
+    if not has_files(spark, store.load_log):
+        return files
+    return files.join(spark.read.schema(LOAD_LOG).parquet(store.load_log).select("file_name").distinct(), "file_name", "left_anti")
 
 
-def load_silver(spark: SparkSession, store: Store) -> bool:
-    """Carry pending hours to silver; False when there is nothing to do."""
+def load_silver(spark: SparkSession, store: Store, run_date: str | None = None) -> bool:
+    """Carry files that are new in bronze to silver; False when there are none.
+
+    Events of a file join the archive hours that they belong to, whether or not an earlier file of the hour is loaded:
+    the hours they touch are written anew with old and new rows. An event that silver holds already is left out.
+    The load log is written last, so that a run that broke off is done again.
+    """
     bronze, events = read_bronze_table(spark, store), store.read_fact(spark, "events")
-    hours = pending_hours(bronze, events)
-    if hours.isEmpty():
+    files = _scratch(files_to_load(spark, bronze, store), "files")
+    if files.isEmpty():
         return False
-    increment = one_per_key(bronze.join(hours, ["file_date", "file_hour"], "left_semi"), "event_hash")
-    if events is not None:
-        times = increment.select(parse_time("created_at").alias("created_at"))
-        increment = new_rows(increment, within_span(events, times, "created_at"), "event_id")
     # One parse of the increment, stored once; all five tables read their columns from it.
-    staged = shared_dir(spark, "flat")
-    flatten(increment).write.parquet(staged)
-    flat = spark.read.parquet(staged)
-    _write_hours(payload_details(flat, keep=HOUR), store.fact("payload_details"))
+    flat = _scratch(flatten(bronze.join(files, "file_name", "left_semi")), "flat")
+    known = flat if events is None else new_rows(flat, within_span(events, flat.select(F.col("event_time").alias("created_at")), "created_at"), "event_id")
+    flat = _scratch(one_version(known, "event_id"), "increment")
+    _write_hours(spark, payload_details(flat, keep=HOUR), store, "payload_details")
     for name, sightings in SIGHTINGS.items():
         rolled = roll_up(sightings(flat), SILVER_KEYS[name]).select(*SILVER[name])
         stored = store.current(spark, name)
         merged = rolled if stored is None else upsert_dimension(stored, rolled, SILVER_KEYS[name], prefer="max")
         store.publish(merged, name, "silver", "last_seen_at")
-    _write_hours(silver_events(flat, keep=["file_date"]), store.fact("events"))
+    _write_hours(spark, silver_events(flat, keep=["file_date"]), store, "events")
+    log = files.join(flat.groupBy("file_name").agg(F.count(F.lit(1)).alias("events")), "file_name", "left")
+    log.select("file_name", F.coalesce("events", F.lit(0)).cast("bigint").alias("events"), F.lit(run_date).alias("run_date"),
+               F.current_timestamp().alias("loaded_at")).write.mode("append").parquet(store.load_log)
     return True
 
 
-def _write_hours(fact: DataFrame, path: str) -> None:
-    """Replace the archive hours the fact holds; adaptive execution splits large hours over files."""
-    fact.hint("rebalance", "file_date", "hour_bucket").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("file_date", "hour_bucket").parquet(path)
+def _scratch(df: DataFrame, label: str) -> DataFrame:
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _write_hours(spark: SparkSession, new: DataFrame, store: Store, name: str) -> None:
+    """Write the archive hours of the new rows with their old rows; other hours are neither read nor written.
+
+    Old rows of the same events give way, so a repeated run ends in the same state. The rows are stored apart before
+    they replace the partitions that they come from.
+    """
+    rows, hours = new, ["file_date", "hour_bucket"]
+    old = store.read_fact(spark, name)
+    if old is not None:
+        touched = old.join(F.broadcast(partition_values(new, *hours)), hours, "left_semi")
+        rows = touched.join(new.select("event_id"), "event_id", "left_anti").unionByName(new)
+        rows = _scratch(rows, "hours")
+    rows.hint("rebalance", *hours).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*hours).parquet(store.fact(name))
 
 
 def load_gold(spark: SparkSession, store: Store, run_date: str) -> None:
     """Rebuild the gold tables from silver under a run date."""
     dims = {n: store.current(spark, n) for n in SIGHTINGS}
-    tables = gold_tables(store.read_fact(spark, "events"), dims["actors"], dims["repositories"], dims["organizations"])
+    tables = gold_tables(store.read_fact(spark, "events"), dims["actors"], readable_repositories(dims["repositories"]), dims["organizations"])
     for name, table in tables.items():
         write_gold(table, store.gold(name), run_date)
 
@@ -95,6 +116,6 @@ def run(spark: SparkSession, source: str, root: str, run_date: str) -> Store:
     """All three layers."""
     store = Store(root)
     load_bronze(spark, source, store)
-    if load_silver(spark, store) or not has_files(spark, store.gold("actor_metrics")):
+    if load_silver(spark, store, run_date) or not has_files(spark, f"{store.gold('actor_metrics')}/run_date={run_date}"):
         load_gold(spark, store, run_date)
     return store

@@ -13,7 +13,7 @@ from hourvault.sources.tables import read_dataset
 
 
 def run(spark: SparkSession, inputs: list[str], out: str, key: str = "repo_id", k: int = KMEANS_K, seed: int = SEED,
-        percent: int | None = 15) -> DataFrame:
+        percent: int | None = None) -> DataFrame:
     """Cluster the entities of the input tables; missing inputs are skipped. Returns the scores row."""
     features = merged_features([read_dataset(spark, p) for p in inputs], key, percent)
     points = as_points(features, key).persist()

@@ -34,6 +34,11 @@ class Store:
     def registry(self) -> str:
         return self.path("registry")
 
+    @property
+    def load_log(self) -> str:
+        """Files that silver holds, a row for each file and run."""
+        return self.path("silver", "load_log")
+
     def checkpoint(self, name: str) -> str:
         return self.path("checkpoints", name)
 
@@ -61,7 +66,10 @@ class Store:
         spark = df.sparkSession
         path = self.path(layer, name, uuid.uuid4().hex)
         df.write.parquet(path)
-        record = dataset_record(spark.read.parquet(path), name, path, tags={"layer": layer}, time_column=time_column)
+        known = None
+        if has_files(spark, self.registry):
+            known = spark.read.parquet(self.registry).filter(F.col("dataset_name") == name).agg(F.min("created_at")).first()[0]
+        record = dataset_record(spark.read.parquet(path), name, path, tags={"layer": layer}, time_column=time_column, first_created=known)
         record.write.mode("append").parquet(self.registry)
 
 

@@ -34,8 +34,12 @@ def build_session(app: str = "hourvault", master: str | None = None, **conf: str
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Archive times end in Z and are stored without zone, so the session must be in UTC."""
+    """Archive times end in Z and are stored without zone, so the session must be in UTC.
+
+    JSON objects may repeat a key; the last value counts.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 

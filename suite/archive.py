@@ -104,12 +104,12 @@ def bronze_partitions(spark, sf_dir):
 
 @query("bronze_mixed_formats", """
 SELECT kind AS event_type, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM ev
-WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1""")
+GROUP BY 1""")
 def bronze_mixed_formats(spark, sf_dir):
     parquet, csv = shared_dir(spark, "bronze-parquet"), shared_dir(spark, "bronze-csv")
     bronze(spark, sf_dir, "early").write.parquet(parquet)
     bronze(spark, sf_dir, "late").write.option("header", True).option("escape", '"').csv(csv)
-    rows = read_bronze(spark, parquet, csv, ddl(BRONZE_EVENTS), "2024/01/1")
+    rows = read_bronze(spark, parquet, csv, ddl(BRONZE_EVENTS), "2024/1")
     return rows.groupBy("event_type").agg(F.count("*").alias("rows"), F.sum(F.col("event_id").cast("bigint")).alias("id_sum"))
 
 
@@ -119,6 +119,12 @@ def date_pattern(spark, sf_dir):
     return in_date_pattern(bronze(spark, sf_dir), "2024/01/05").groupBy("file_date").agg(F.count("*").alias("rows"))
 
 
+@query("unpadded_date_pattern", """
+SELECT file_date, count(*) AS rows FROM ev WHERE file_date = '2024-01-01' GROUP BY 1""")
+def unpadded_date_pattern(spark, sf_dir):
+    return in_date_pattern(bronze(spark, sf_dir), "2024/1/1").groupBy("file_date").agg(F.count("*").alias("rows"))
+
+
 @query("hour_range", """
 SELECT file_date, file_hour, count(*) AS rows FROM ev
 WHERE hour >= TIMESTAMP '2024-01-05 06:00:00' AND hour < TIMESTAMP '2024-01-07 18:00:00' GROUP BY 1, 2""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hourvault.operators.silver import payload_details, silver_actors, silver_events, silver_organizations, silver_repositories
+from hourvault.operators.silver import payload_details, silver_actors, silver_events, readable_repositories, repository_increment, silver_organizations
 from hourvault.operators.upsert import carry_first_seen, merge_facts, new_rows, one_per_key, upsert_dimension, within_span
 from hourvault.session import shared_dir
 from hourvault.sources.tables import has_files
@@ -65,15 +65,15 @@ def upsert_actors(spark, sf_dir):
 
 @query("upsert_repositories", REPOSITORIES_SQL)
 def upsert_repositories(spark, sf_dir):
-    merged = upsert_dimension(silver_repositories(flat(spark, sf_dir, "early")), silver_repositories(flat(spark, sf_dir, "late")), "repo_id", prefer="max")
-    return merged.drop("repo_url", "owner_id", "created_at", "updated_at")
+    merged = upsert_dimension(repository_increment(flat(spark, sf_dir, "early")), repository_increment(flat(spark, sf_dir, "late")), "repo_id", prefer="max")
+    return readable_repositories(merged).drop("repo_url", "owner_id", "created_at", "updated_at")
 
 
 @query("upsert_repositories_new_wins", """
-SELECT k AS repo_id, coalesce(max(pr_id % 1000) FILTER (ts >= TIMESTAMP '2024-01-16'), max(pr_id % 1000)) AS stars_count, max(language) AS language FROM ev GROUP BY 1""")
+SELECT k AS repo_id, coalesce(max(pr_id % 1000) FILTER (ts >= TIMESTAMP '2024-01-16'), max(pr_id % 1000)) AS stars_count, max(language) AS language, coalesce(max(pr_id IS NOT NULL AND k % 5 = 0), false) AS is_fork FROM ev GROUP BY 1""")
 def upsert_repositories_new_wins(spark, sf_dir):
-    merged = upsert_dimension(silver_repositories(flat(spark, sf_dir, "early")), silver_repositories(flat(spark, sf_dir, "late")), "repo_id")
-    return merged.select("repo_id", "stars_count", "language")
+    merged = upsert_dimension(repository_increment(flat(spark, sf_dir, "early")), repository_increment(flat(spark, sf_dir, "late")), "repo_id")
+    return readable_repositories(merged).select("repo_id", "stars_count", "language", "is_fork")
 
 
 @query("upsert_organizations", """

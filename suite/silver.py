@@ -101,10 +101,10 @@ def repository_dimension(spark, sf_dir):
 @query("silver_repositories_latest", """
 SELECT k AS repo_id, arg_max(repo, event_id) AS repo_name, arg_max(language, event_id) FILTER (language IS NOT NULL) AS language,
   arg_max(pr_id % 1000, event_id) FILTER (pr_id IS NOT NULL) AS stars_count, arg_max(pr_id % 2000, event_id) FILTER (pr_id IS NOT NULL) AS size,
-  min(ts) AS first_seen_at, max(ts) AS last_seen_at FROM ev GROUP BY 1""")
+  coalesce(max(pr_id IS NOT NULL AND k % 5 = 0), false) AS is_fork, min(ts) AS first_seen_at, max(ts) AS last_seen_at FROM ev GROUP BY 1""")
 def repository_dimension_latest(spark, sf_dir):
     return silver_repositories(flat(spark, sf_dir), "latest").select(
-        "repo_id", "repo_name", "language", "stars_count", "size", "first_seen_at", "last_seen_at")
+        "repo_id", "repo_name", "language", "stars_count", "size", "is_fork", "first_seen_at", "last_seen_at")
 
 
 @query("silver_organizations", """

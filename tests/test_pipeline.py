@@ -56,6 +56,34 @@ def test_two_increments_equal_one_build(spark, tmp_path):
     assert snapshot(spark, store) == one
 
 
+def test_second_file_of_a_loaded_hour(spark, tmp_path):
+    """Files of hours that silver holds already, then a run without news; gold for a new date without new data."""
+    whole = write_archive(spark, tmp_path / "whole", "early", hours=6)
+    for folder, _, names in os.walk(whole):
+        for name in names:
+            with gzip.open(os.path.join(folder, name), "rt") as lines:
+                rows = lines.read().splitlines()
+            for half in (0, 1):
+                target = os.path.join(folder.replace(str(tmp_path / "whole"), str(tmp_path / f"half{half}")), name)
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                with gzip.open(target, "wt") as out:
+                    out.write("\n".join(rows[half::2] + rows[:1]) + "\n")
+    source = tmp_path / "raw"
+    source.mkdir()
+    (tmp_path / "half0").rename(source / "a")
+    store = medallion.run(spark, str(source), str(tmp_path / "store"), "2024-02-01")
+    first = store.read_fact(spark, "events").count()
+    (tmp_path / "half1").rename(source / "b")
+    medallion.run(spark, str(source), str(tmp_path / "store"), "2024-02-01")
+    one = snapshot(spark, medallion.run(spark, whole, str(tmp_path / "one"), "2024-02-01"))
+    assert 0 < first < len(one["events"])
+    assert snapshot(spark, store) == one
+    medallion.run(spark, str(source), str(tmp_path / "store"), "2024-02-02")
+    assert {r.run_date for r in spark.read.schema("run_date string").parquet(store.gold("actor_metrics")).select("run_date").distinct().collect()} == {"2024-02-01", "2024-02-02"}
+    log = spark.read.parquet(store.load_log)
+    assert log.count() == 12 and log.agg(F.sum("events")).first()[0] == len(one["events"])
+
+
 def test_repeated_and_broken_lines(spark, tmp_path):
     source = write_archive(spark, tmp_path / "raw", "repeated", hours=12)
     write_archive(spark, tmp_path / "raw2", "corrupt", hours=12)

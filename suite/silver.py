@@ -45,7 +45,7 @@ def actors_seen(spark, sf_dir):
 
 
 @query("repository_sightings", """
-SELECT id AS event_id, k AS repo_id, repo AS repo_name, owner AS owner_login, coalesce(pr_id IS NOT NULL AND k % 5 = 0, false) AS is_fork,
+SELECT id AS event_id, k AS repo_id, repo AS repo_name, owner AS owner_login, CASE WHEN pr_id IS NOT NULL THEN k % 5 = 0 END AS is_fork,
        language, pr_id % 1000 AS stars_count, pr_id % 100 AS forks_count, pr_id % 50 AS issues_count,
        pr_id % 500 AS watchers_count, pr_id % 2000 AS size FROM ev""")
 def repositories_seen(spark, sf_dir):

@@ -27,6 +27,15 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.large_binary()).to_pylist()]
 
 
+def slices(sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Cuts rows into runs of about `limit` in sum of sizes, so that work arrays don't follow the batch."""
+    if not len(sizes):
+        return []
+    part = (np.cumsum(sizes) - 1) // limit
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    return list(zip(first.tolist(), [*first[1:].tolist(), len(sizes)], strict=True))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer (two xor-shift-multiply rounds)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

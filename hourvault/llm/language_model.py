@@ -6,11 +6,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hourvault.llm.common import WordHashes, fold, map_rows, stored, texts
+from hourvault.llm.common import WordHashes, arrow_schema, fold, map_rows, slices, stored, texts
 from hourvault.llm.registry import query, table
 
 FOLDS, HELD_OUT_FOLD = 7, 2
@@ -23,8 +25,9 @@ NOISE = 24
 BATCH = 4096
 STEP = 0.1
 ROUNDS = 2
-#: Distinct words that a task counts before it passes them on.
-COUNTED = 500_000
+#: Tokens that a task counts before it passes the counts on, and that it works on at a time.
+COUNTED = 2_000_000
+AT_ONCE = 300_000
 #: The end of a text is a token that no word can equal.
 END = b" "
 
@@ -52,7 +55,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for text in texts(batch, "text"):
                 waiting.append(token_hashes(text, hashes))
                 size += len(waiting[-1])
-                if size >= 4 * COUNTED:
+                if size >= COUNTED:
                     yield packed()
                     waiting, size = [], 0
         if waiting:
@@ -213,8 +216,8 @@ def trained(rows: DataFrame, vocabulary, classes: int) -> LogBilinear:
             trainer = Trainer(LogBilinear(classes).load(sent.value.copy()), noise, 1000 * turn + TaskContext.get().partitionId())
             for batch in batches:
                 sequences = [np.frombuffer(x, np.uint16) for x in batch.column("ids").cast(pa.large_binary()).to_pylist()]
-                if sequences:
-                    trainer.learn(sequences)
+                for low, high in slices(np.array([len(s) for s in sequences]), AT_ONCE):
+                    trainer.learn(sequences[low:high])
             if trainer.seen:
                 values = trainer.model.rows().astype(np.float64)
                 weight = np.full(len(values), float(trainer.seen))
@@ -230,18 +233,21 @@ def trained(rows: DataFrame, vocabulary, classes: int) -> LogBilinear:
     return model
 
 
+def _byte_slices(batch: pa.RecordBatch) -> list[tuple[int, int]]:
+    """Rows of a batch of texts by about AT_ONCE tokens."""
+    return slices(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) // 6 + 1, AT_ONCE)
+
+
 def numbered_tokens(docs: DataFrame, vocabulary) -> DataFrame:
     """One row for each document with its classes and sums over head tokens, and one for each of its rarer words."""
     hashes = WordHashes()
 
     def over(batches):
         rid = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in (b.slice(low, high - low) for b in batches for low, high in _byte_slices(b)):
             v: Vocabulary = vocabulary.value
             tokens = [token_hashes(t, hashes) for t in texts(batch, "text")]
             sizes = np.array([len(t) for t in tokens], np.int64)
-            if not len(sizes):
-                continue
             n = len(sizes)
             flat = np.concatenate(tokens)
             doc = np.repeat(np.arange(n), sizes)
@@ -267,10 +273,6 @@ def numbered_tokens(docs: DataFrame, vocabulary) -> DataFrame:
                                                         ("n_other", pa.int64()), ("ids", pa.binary()))}
                 yield empty | {"rid": rids[d[first]], "word": w[first].view(np.int64), "tf": np.diff(np.append(first, len(w)))}
 
-    from pyspark.sql import types as T
-
-    from hourvault.llm.common import arrow_schema
-
     schema = T._parse_datatype_string(TOKENS)
     fields = arrow_schema(schema)
 
@@ -309,28 +311,32 @@ def language_scores(docs: DataFrame, shortlist: int = SHORTLIST, id_column: str
     whole = (tokens.filter("ids IS NOT NULL").drop("word", "tf").join(tail, "rid", "left")
              .fillna({"tail_log": 0.0, "tail_known": 0}))
 
-    def run(batch: pa.RecordBatch) -> dict:
-        m: LogBilinear = model.value
-        v: Vocabulary = sent.value
+    def text_logs(m: LogBilinear, sequences: list[np.ndarray]) -> np.ndarray:
+        """Natural log probability of the classes of each text."""
         start = len(m.bias)
-        sequences = [np.frombuffer(x, np.uint16) for x in batch.column("ids").cast(pa.large_binary()).to_pylist()]
         token, one, two = contexts(sequences, start)
         pairs, at = np.unique(one * (start + 1) + two, return_inverse=True)
         # Tokens by context: all classes of a block of contexts come from one product.
         order = np.argsort(at, kind="stable")
-        bounds = np.searchsorted(at[order], np.arange(0, len(pairs) + 4096, 4096))
+        bounds = np.searchsorted(at[order], np.arange(0, len(pairs) + BATCH, BATCH))
         log = np.zeros(len(token))
-        for k, low in enumerate(range(0, len(pairs), 4096)):
-            block = pairs[low:low + 4096]
+        for k, low in enumerate(range(0, len(pairs), BATCH)):
+            block = pairs[low:low + BATCH]
             own = order[bounds[k]:bounds[k + 1]]
             log[own] = m.log_probabilities(block // (start + 1), block % (start + 1))[at[own] - low, token[own]]
-        doc = np.repeat(np.arange(len(sequences)), [len(s) for s in sequences])
+        return np.bincount(np.repeat(np.arange(len(sequences)), [len(s) for s in sequences]), log, len(sequences))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        v: Vocabulary = sent.value
+        sequences = [np.frombuffer(x, np.uint16) for x in batch.column("ids").cast(pa.large_binary()).to_pylist()]
+        parts = slices(np.array([len(s) for s in sequences]), AT_ONCE)
+        log = np.concatenate([text_logs(model.value, sequences[low:high]) for low, high in parts])
         number = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
         n, tail_log = number("n_tokens"), number("tail_log")
         return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "n_tokens": n,
                 "n_known": number("known") + number("tail_known"), "train_tokens": np.full(len(n), v.tokens),
                 "base_score": number("head_log") + tail_log - n * v.base_log,
-                "score": np.bincount(doc, log, len(n)) / np.log(10) + number("other_log") + tail_log - number("n_other") * v.rest_log}
+                "score": log / np.log(10) + number("other_log") + tail_log - number("n_other") * v.rest_log}
 
     return map_rows(whole, run, RESULT)
 

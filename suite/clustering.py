@@ -44,9 +44,8 @@ def scaled_features(spark, sf_dir):
 
 
 @query("feature_table", """
-WITH s AS (SELECT * FROM part WHERE ('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), 1, 8))::BIGINT % 100 < 15)
 SELECT p_partkey, round((p_size - avg(p_size) OVER ()) / (stddev_pop(p_size) OVER ()), 6) AS p_size,
-       round((p_retailprice - avg(p_retailprice) OVER ()) / (stddev_pop(p_retailprice) OVER ()), 6) AS p_retailprice FROM s""")
+       round((p_retailprice - avg(p_retailprice) OVER ()) / (stddev_pop(p_retailprice) OVER ()), 6) AS p_retailprice FROM part""")
 def one_feature_table(spark, sf_dir):
     rows = feature_table(table(spark, sf_dir, "part"), "p_partkey")
     return rows.select("p_partkey", *[F.round(x, 6).alias(x) for x in rows.columns if x != "p_partkey"])
@@ -71,7 +70,7 @@ def joined_datasets(spark, sf_dir):
 
 @query("merged_features", """
 WITH l AS (SELECT l_partkey AS id, avg(l_quantity) AS l_quantity, avg(l_tax) AS l_tax FROM lineitem GROUP BY 1),
-j AS (SELECT id, l_quantity, l_tax, p_size FROM l JOIN part ON p_partkey = id WHERE ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % 100 < 15)
+j AS (SELECT id, l_quantity, l_tax, p_size FROM l JOIN part ON p_partkey = id)
 SELECT id, round((l_quantity - avg(l_quantity) OVER ()) / (stddev_pop(l_quantity) OVER ()), 6) AS l_quantity,
        round((l_tax - avg(l_tax) OVER ()) / (stddev_pop(l_tax) OVER ()), 6) AS l_tax,
        round((p_size - avg(p_size) OVER ()) / (stddev_pop(p_size) OVER ()), 6) AS p_size FROM j""")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourvault.llm.common import fold, map_rows, stored, texts
@@ -14,8 +16,11 @@ from hourvault.llm.registry import query, table
 
 #: Labelled examples in the index, chosen by a hash of their id; bounds index, driver and broadcast.
 EXAMPLES = 8192
-#: Terms in the index: in this share of the examples at least and at most, and the most frequent of those.
-LEAST_SHARE, MOST_SHARE = 0.005, 0.3
+#: Terms besides whole words: the beginnings of longer words, of so many bytes. They join the forms of rare words.
+BEGINNINGS = (4, 5, 6)
+#: Terms in the index speak for the label: among the examples that hold one, label 1 is LIFT times as frequent as among
+#: all, with a log-likelihood ratio of EVIDENT (p = 1e-4), and MOST_SHARE of all hold it at most.
+LIFT, EVIDENT, MOST_SHARE = 2.0, 15.0, 0.3
 TERMS = 1 << 17
 NEIGHBOURS = 31
 #: A neighbour at distance d (1 - cosine) votes with 1 / (SMOOTH + d): a single copy doesn't outvote the rest.
@@ -37,6 +42,25 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
+def terms_of(word: bytes) -> list[bytes]:
+    """A word and its beginnings, marked by a byte that no word holds."""
+    return [word, *[word[:n] + b"*" for n in BEGINNINGS if len(word) > n]]
+
+
+class TermNumbers(dict):
+    """Numbers of the index terms of a word, kept for at most `limit` words at a time."""
+
+    def __init__(self, terms: dict[bytes, int], limit: int = 200_000):
+        super().__init__()
+        self.terms, self.limit = terms, limit
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[word] = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
+        return value
+
+
 def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """begin[0], begin[0] + 1, ... for size[0] numbers, then the same for the next."""
     return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
@@ -46,7 +70,7 @@ def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Index:
     """Block-max inverted index: for each term, its entries (one per block of examples) with their largest weight."""
 
-    terms: dict[bytes, int]
+    numbers: TermNumbers
     idf: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
@@ -61,7 +85,7 @@ class Index:
     def of(terms: list[bytes], df: np.ndarray, ids: np.ndarray, toxic: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Index:
         """vectors: for each example its term numbers and counts."""
         idf = np.log(max(1, len(ids)) / np.maximum(df, 1)) if len(terms) else np.zeros(0)
-        index = Index(dict(zip(terms, range(len(terms)), strict=True)), idf, ids, toxic, *[np.zeros(1, np.int64)] * 6)
+        index = Index(TermNumbers(dict(zip(terms, range(len(terms)), strict=True))), idf, ids, toxic, *[np.zeros(1, np.int64)] * 6)
         weights = [index.weights(t, c) for t, c in vectors]
         term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
         example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
@@ -76,7 +100,7 @@ class Index:
         return index
 
     def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        known = np.array([k for k in map(self.terms.get, words) if k is not None], np.int64)
+        known = np.fromiter(chain.from_iterable(map(self.numbers.__getitem__, words)), np.int64)
         return np.unique(known, return_counts=True)
 
     def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -145,10 +169,21 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.array([b[2] for b in blocks]), np.array([(b[0] + 0.5) / (b[1] + 1) for b in blocks])
 
 
+def likelihood_ratio(df: Column, toxic: Column, n: int, positive: int) -> Column:
+    """Twice the log-likelihood ratio of a term and the label, from the four counts of examples."""
+    def part(seen: Column, rows: Column, labelled: int) -> Column:
+        return F.when(seen > 0, seen * F.ln(seen * F.lit(float(n)) / (rows * F.lit(float(labelled))))).otherwise(0.0)
+
+    rest = F.lit(float(n)) - df
+    return 2 * (part(toxic, df, positive) + part(df - toxic, df, n - positive)
+                + part(positive - toxic, rest, positive) + part(rest - positive + toxic, rest, n - positive))
+
+
 def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
     """Index of labelled examples and calibration, from training folds only.
 
     The sample is bounded by `examples` and chosen by a hash of the id, so both classes stand in it as they occur.
+    Vectors hold the terms that speak for the label: nearness in the words of a topic or language says little about it.
     Votes of the examples, each without itself, give the calibration.
     """
     own = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT_FOLD))
@@ -156,17 +191,26 @@ def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples))
 
     def counted(batch: pa.RecordBatch) -> dict:
-        found = [np.unique(np.array(words_of(t), object), return_counts=True) for t in texts(batch, "text")]
+        found = []
+        for text in texts(batch, "text"):
+            counts: Counter[bytes] = Counter()
+            for word, n in Counter(words_of(text)).items():
+                for term in terms_of(word):
+                    counts[term] += n
+            found.append(counts)
         return {"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"),
-                "terms": [list(w) for w, _ in found], "counts": [c.astype(np.int32) for _, c in found]}
+                "terms": [list(c) for c in found], "counts": [list(c.values()) for c in found]}
 
     rows = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").dropDuplicates(["doc_id"])
     sample = stored(map_rows(rows.select("doc_id", "toxic", "text"), counted, "doc_id bigint, toxic int, terms array<binary>, counts array<int>"), "toxic-examples")
-    n = sample.count()
-    frequent = (sample.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-                .filter((F.col("df") >= max(2, LEAST_SHARE * n)) & (F.col("df") <= MOST_SHARE * n))
-                .orderBy(F.desc("df"), "term").limit(TERMS).collect())
-    terms = [bytes(r.term) for r in frequent]
+    n, positive = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    share = positive / n if n else 0.0
+    seen = (sample.select("toxic", F.explode("terms").alias("term")).groupBy("term")
+            .agg(F.count(F.lit(1)).cast("double").alias("df"), F.sum("toxic").cast("double").alias("toxic")))
+    telling = (seen.filter((F.col("df") <= MOST_SHARE * n) & (F.col("toxic") >= LIFT * share * F.col("df")) & (F.col("toxic") > 0))
+               .withColumn("ratio", likelihood_ratio(F.col("df"), F.col("toxic"), n, positive))
+               .filter(F.col("ratio") >= EVIDENT).orderBy(F.desc("ratio"), "term").limit(TERMS).collect())
+    terms = [bytes(r.term) for r in telling]
     sent = docs.sparkSession.sparkContext.broadcast(dict(zip(terms, range(len(terms)), strict=True)))
 
     def numbered(batch: pa.RecordBatch) -> dict:
@@ -179,7 +223,7 @@ def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
     vectors = map_rows(sample, numbered, "doc_id bigint, toxic int, terms array<int>, counts array<int>").toArrow().sort_by("doc_id")
     pairs = [(np.array(t, np.int64), np.array(c, np.int64))
              for t, c in zip(vectors["terms"].to_pylist(), vectors["counts"].to_pylist(), strict=True)]
-    index = Index.of(terms, np.array([r.df for r in frequent], np.float64), np.array(vectors["doc_id"].to_pylist(), np.int64),
+    index = Index.of(terms, np.array([r.df for r in telling], np.float64), np.array(vectors["doc_id"].to_pylist(), np.int64),
                      np.array(vectors["toxic"].to_pylist(), np.int64), pairs)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -189,7 +233,7 @@ def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
         at = np.searchsorted(model.ids, ids)
         votes = []
         for k, ts, cs in zip(at.tolist(), batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            known = [(model.terms[t], c) for t, c in zip(ts, cs, strict=True) if t in model.terms]
+            known = [(model.numbers.terms[t], c) for t, c in zip(ts, cs, strict=True) if t in model.numbers.terms]
             t, c = np.array(sorted(known), np.int64).reshape(-1, 2).T
             votes.append(model.vote(*model.nearest(t, c, NEIGHBOURS, leave_out=k)))
         return {"doc_id": ids, "vote": votes, "toxic": batch.column("toxic")}
@@ -203,7 +247,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_co
     """Calibrated toxicity of each document, with its nearest labelled examples.
 
     Only the text enters a score. Rows whose crc32(doc_id) modulo 4 is 2 teach nothing (held_out). Null and empty
-    texts, and texts without a known term, get the score of the examples' mean vote; without any labelled example
+    texts, and texts without a telling term, get the score of the examples without one; without any labelled example
     every score is 0. Repeated rows are scored alike; a null id is folded like the empty text; other columns are not read.
     """
     rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))

@@ -210,6 +210,25 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.toxicity(nothing, labels).count() == 0
 
 
+def test_toxicity_by_beginnings_of_rare_words(spark):
+    r = random.Random(5)
+    rare = lambda: "".join(r.choices("abcdefghij", k=6))
+    texts = {k: prose(60, 2000 + k) + (f" zorka{rare()} {rare()} zorka{rare()}" if k % 5 == 0 else f" {rare()} {rare()}") for k in range(300)}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in texts], "doc_id long, toxic int")
+    held = [x for x in toxicity.toxicity(table, labels).collect() if x.held_out]
+    assert all(x.predicted == (x.doc_id % 5 == 0) for x in held)
+    clean = {x.score for x in held if x.doc_id % 5}
+    assert len(clean) == 1 and clean.pop() < 0.05  # no telling term
+
+
+def test_likelihood_ratio(spark):
+    row = spark.range(1).select(F.lit(10.0).alias("df"), F.lit(8.0).alias("toxic"))
+    got = row.select(toxicity.likelihood_ratio(F.col("df"), F.col("toxic"), 100, 20)).first()[0]
+    cells = [(8, 10, 20), (2, 10, 80), (12, 90, 20), (78, 90, 80)]
+    assert abs(got - 2 * sum(n * np.log(n * 100 / (a * b)) for n, a, b in cells)) < 1e-9
+
+
 def brute_bins(lengths, size):
     bins = []
     for n in sorted(lengths, reverse=True):

@@ -122,9 +122,13 @@ def count_invariants(spark, sf_dir):
     return rows.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
 
 
-@query("events_preview", None)
+@query("events_preview", """
+SELECT id AS event_id, kind AS event_type, ts AS created_at, user_id AS actor_id, login AS actor_login, k AS repo_id,
+       repo AS repo_name, org AS org_id, bot AS is_bot, is_public AS public, file_hour AS hour_bucket
+FROM ev ORDER BY ts DESC NULLS LAST, id LIMIT 10""")
 def events_preview(spark, sf_dir):
-    return events(spark, sf_dir).limit(10)
+    newest = events(spark, sf_dir).orderBy(F.desc_nulls_last("created_at"), "event_id").limit(10)
+    return newest.drop("event_hash", "processed_at")
 
 
 @query("empty_inputs", """

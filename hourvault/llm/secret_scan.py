@@ -23,7 +23,8 @@ SENSITIVE = ("password", "passwd", "secret", "token", "api_key", "apikey", "cred
 SENSITIVE_PATTERN = re.compile("|".join(SENSITIVE))
 #: Characters after a sensitive word in which candidates are looked for, and before it that count as surroundings.
 REACH = 96
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 #: A candidate is new if it adds this many compressed bytes per 100 characters, and mixes letters with digits.
 NOVEL_BYTES_PERCENT = 60
 DICTIONARY_WORDS = 4096
@@ -46,8 +47,8 @@ class Novelty:
         return len(self.compressor.compress(text))
 
     def added(self, before: str, candidate: str) -> int:
-        """Compressed bytes that the candidate adds to its surroundings."""
-        known = before.encode("utf-8", "replace")
+        """Compressed bytes that the candidate adds to its surroundings; copies of itself in them don't make it known."""
+        known = before.replace(candidate, "").encode("utf-8", "replace")
         return self.size(known + candidate.encode("utf-8", "replace")) - self.size(known)
 
 
@@ -94,12 +95,15 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 def identifiers(docs: DataFrame, text_column: str = "text", words: int = DICTIONARY_WORDS) -> list[str]:
     """The most frequent identifiers in lines with a sensitive word, over all documents, the most frequent first.
 
-    At most `words` of 64 characters reach the driver; counting is a grouped aggregation.
+    What stands in a string that could be a secret itself (a candidate with letters and digits) is no identifier, however
+    often it is copied. At most `words` of 64 characters reach the driver; counting is a grouped aggregation.
     """
     pattern = "(?i)" + "|".join(SENSITIVE)
     found = (docs.filter(F.col(text_column).rlike(pattern))
              .select(F.explode(F.split(text_column, "\n")).alias("line")).filter(F.col("line").rlike(pattern))
-             .select(F.explode(F.regexp_extract_all("line", F.lit(r"[A-Za-z_]\w{2,63}"), 0)).alias("word"))
+             .select(F.explode(F.regexp_extract_all("line", F.lit(r"[A-Za-z0-9+/_=-]{3,}"), 0)).alias("run"))
+             .filter((F.length("run") < LEAST) | ~F.col("run").rlike("[0-9]") | ~F.col("run").rlike("[A-Za-z]"))
+             .select(F.explode(F.regexp_extract_all("run", F.lit(r"[A-Za-z_]\w{2,63}"), 0)).alias("word"))
              .groupBy("word").count().filter("count > 1"))
     return [r.word for r in found.orderBy(F.desc("count"), "word").limit(words).collect()]
 

@@ -371,6 +371,16 @@ def test_secrets(spark, docs, rows, nothing):
     assert secret_scan.without_secrets(docs).columns == docs.columns and secret_scan.secret_spans(nothing).count() == 0
 
 
+def test_copied_secrets_are_no_identifiers(spark):
+    copied = ["qX7vR2mK9pL4wT8zB3nJ6yC1", "A8ECF7C5B09FE5949719B6B82BC439E9329B", "Zm9v/YmFyYmF6+cXV4MTIz_NDU2"]
+    texts = [f"the service bearer header {s} is shared\n" * 2 for s in copied for _ in range(20)]
+    table = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    known = secret_scan.identifiers(table)
+    assert {"service", "bearer", "header", "shared"} <= set(known) and all(w in "the service bearer header is shared" for w in known)
+    assert [r.n_novel for r in secret_scan.secret_spans(table).collect()] == [2] * len(texts)
+    assert all(r.text == "the service bearer header [SECRET] is shared\n" * 2 for r in secret_scan.without_secrets(table).collect())
+
+
 @pytest.mark.parametrize(("block_bytes", "shard_words"), [(32 << 20, 10**6), (200, 50)])
 def test_contamination(spark, docs, rows, nothing, block_bytes, shard_words):
     r = random.Random(8)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -21,10 +23,14 @@ KINDS = ("assign", "access", "hex", "novel")
 #: Words whose neighbourhood is sensitive, in lower case.
 SENSITIVE = ("password", "passwd", "secret", "token", "api_key", "apikey", "credential", "private_key", "access_key", "auth_key", "bearer")
 SENSITIVE_PATTERN = re.compile("|".join(SENSITIVE))
-#: Characters after a sensitive word in which candidates are looked for, and before it that count as surroundings.
+#: Characters after a sensitive word in which candidates are looked for past the end of its line; twice as many before a
+#: candidate are its surroundings.
 REACH = 96
 LEAST = 16
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+#: Head and foot of a key block, and the last, shorter piece of a string in lines (broken by a line break or its escape).
+ARMOUR = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]+-----")
+TAIL = re.compile(rf"""["',+]*(?:\\r|\\n|\r|\n)+[ \t"']*([A-Za-z0-9+/_-]{{1,{LEAST - 1}}}={{0,2}})(?![A-Za-z0-9+/_=-])""")
 #: A candidate is new if it adds this many compressed bytes per 100 characters, and mixes letters with digits.
 NOVEL_BYTES_PERCENT = 60
 DICTIONARY_WORDS = 4096
@@ -65,23 +71,76 @@ def _may_assign(text: str) -> bool:
     return any(w in low for w in ("passw", "secret", "token", "api"))
 
 
+def _bounds(text: str, at: int) -> tuple[int, int]:
+    """Start and end of the line at a place, without its line break."""
+    end = text.find("\n", at)
+    return text.rfind("\n", 0, at) + 1, len(text) if end < 0 else end
+
+
+def _holds_only_candidates(line: str) -> bool:
+    """A line of candidates and marks around them, or the head or foot of a key block."""
+    line = line.replace("\\n", " ").replace("\\r", " ")
+    if ARMOUR.search(line):
+        return True
+    rest, n = CANDIDATE.subn("", line)
+    return n > 0 and not any(x.isalnum() for x in rest)
+
+
+def sensitive_regions(text: str, low: str) -> list[tuple[int, int]]:
+    """Disjoint regions, in order, in which candidates are looked for: the lines of sensitive words, the lines of
+    candidates directly before and after, and REACH characters after each word in any case."""
+    regions: list[tuple[int, int]] = []
+    done = 0  # end of the last region without its REACH: words before it need no lines of their own
+    for m in SENSITIVE_PATTERN.finditer(low):
+        if regions and m.end() <= done:
+            regions[-1] = regions[-1][0], max(regions[-1][1], min(len(text), m.end() + REACH))
+            continue
+        start, end = _bounds(text, m.start())
+        least = done
+        while start > least:
+            before, _ = _bounds(text, start - 1)
+            if not _holds_only_candidates(text[before:start - 1]):
+                break
+            start = before
+        while end < len(text):
+            _, after = _bounds(text, end + 1)
+            if not _holds_only_candidates(text[end + 1:after]):
+                break
+            end = after
+        done = end
+        reach = max(end, min(len(text), m.end() + REACH))
+        if regions and start <= regions[-1][1]:
+            regions[-1] = regions[-1][0], max(regions[-1][1], reach)
+        else:
+            regions.append((start, reach))
+    return regions
+
+
 def novel_spans(text: str, novelty: Novelty, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Strings after a sensitive word that hardly compress against what stands around them and the identifiers."""
+    """Strings near a sensitive word that hardly compress against what stands before them and the identifiers.
+
+    The short end of a wrapped string goes with it.
+    """
     low = text.translate(_CAPITALS) if not text.isascii() else text.lower()
-    found, last = [], -1
-    for m in SENSITIVE_PATTERN.finditer(low):
-        for c in CANDIDATE.finditer(text, m.end(), min(len(text), m.end() + REACH)):
+    taken = sorted((s, e) for s, _, e in taken)
+    starts, ends = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
+    found = []
+    for low_end, high_end in sensitive_regions(text, low):
+        for c in CANDIDATE.finditer(text, low_end):
             start, end = c.span()
-            if end == m.end() + REACH:  # the window cuts it: take the whole string
-                end = CANDIDATE.match(text, start).end()
-            if start <= last or any(s < end and start < e for s, _, e in taken):
+            if start >= high_end:
+                break
+            k = bisect_left(starts, end)
+            if k and ends[k - 1] > start:
                 continue
-            last = start
             word = text[start:end]
             if not (any(x.isdigit() for x in word) and any(x.isalpha() for x in word)):
                 continue
-            if 100 * novelty.added(text[max(0, m.start() - REACH):start], word) >= NOVEL_BYTES_PERCENT * len(word):
+            if 100 * novelty.added(text[max(0, start - 2 * REACH):start], word) >= NOVEL_BYTES_PERCENT * len(word):
                 found.append((start, 3, end))
+                tail = TAIL.match(text, end)
+                if tail and len(tail[1]) % 4 == 0 and (tail[1].endswith("=") or (any(x.isdigit() for x in tail[1]) and any(x.isalpha() for x in tail[1]))):
+                    found.append((tail.start(1), 3, tail.end(1)))
     return found
 
 

@@ -8,6 +8,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,10 @@ TERMS = 1 << 17
 NEIGHBOURS = 31
 #: A neighbour at distance d (1 - cosine) votes with 1 / (SMOOTH + d): a single copy doesn't outvote the rest.
 SMOOTH = 0.25
+#: The same among all terms, where no term speaks for the label: a copy outvotes 30 others at a distance of 0.8.
+SMOOTH_ALL = 0.025
+#: Terms of all terms whose weights stand in a dense matrix, the most frequent ones, and texts scored at a time.
+DENSE_TERMS, AT_ONCE = 4096, 256
 BLOCK = 64
 FIRST_BLOCKS = 4
 THRESHOLD = 0.3
@@ -150,6 +155,72 @@ class Index:
         return float((w * self.toxic[best]).sum() / w.sum())
 
 
+@dataclass
+class AllTerms:
+    """Cosines in all terms of the examples, for texts without a telling term: counts and idf as in Index, times the lift of
+    the term (label 1 among its examples against among all, with one example of the common share added)."""
+
+    numbers: TermNumbers
+    factor: np.ndarray  # idf and lift of each term; terms stand by falling df
+    ids: np.ndarray
+    toxic: np.ndarray
+    base: float  # vote where nothing is near
+    posting_of_term: np.ndarray
+    example: np.ndarray  # of each posting
+    weight: np.ndarray
+    dense: np.ndarray | None = None  # made in the task
+
+    @staticmethod
+    def of(terms: list[bytes], df: np.ndarray, positive: np.ndarray, ids: np.ndarray, toxic: np.ndarray, base: float,
+           sizes: np.ndarray, term: np.ndarray, count: np.ndarray) -> AllTerms:
+        """term, count: of all examples after each other, `sizes` of each; terms by falling df."""
+        share = float(toxic.mean()) if len(toxic) else 0.0
+        lift = (positive + share) / (df + 1) / share if share else np.ones(len(df))
+        factor = (np.log(max(1, len(ids)) / np.maximum(df, 1)) * lift).astype(np.float32)
+        example = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        weight = (1 + np.log(count.astype(np.float32))) * factor[term]
+        weight /= np.maximum(np.sqrt(np.bincount(example, weight * weight, len(sizes))), 1e-12).astype(np.float32)[example]
+        order = np.argsort(term, kind="stable")
+        first = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))])
+        return AllTerms(TermNumbers(dict(zip(terms, range(len(terms)), strict=True))), factor, ids, toxic, base, first, example[order], weight[order])
+
+    def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        known = np.fromiter(chain.from_iterable(map(self.numbers.__getitem__, words)), np.int64)
+        return np.unique(known, return_counts=True)
+
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave_out: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Vote, nearest examples and their cosines for each text, by its term numbers and counts; exact but for rounding."""
+        n, columns = len(self.ids), min(DENSE_TERMS, len(self.factor))
+        if self.dense is None:
+            self.dense = np.zeros((columns, n), np.float32)
+            size = np.diff(self.posting_of_term[:columns + 1])
+            self.dense[np.repeat(np.arange(columns), size), self.example[:int(size.sum())]] = self.weight[:int(size.sum())]
+        out = []
+        for low in range(0, len(vectors), AT_ONCE):
+            part = vectors[low:low + AT_ONCE]
+            frequent, rare = np.zeros((len(part), columns), np.float32), []
+            for row, (terms, counts) in zip(frequent, part, strict=True):
+                w = (1 + np.log(counts)) * self.factor[terms]
+                w /= max(np.linalg.norm(w), 1e-12)
+                cut = np.searchsorted(terms, columns)
+                row[terms[:cut]] = w[:cut]
+                rare.append((terms[cut:], w[cut:]))
+            scores = frequent @ self.dense
+            for k, (score, (terms, w)) in enumerate(zip(scores, rare, strict=True)):
+                begin = self.posting_of_term[terms]
+                size = self.posting_of_term[terms + 1] - begin
+                at = ragged(begin, size)
+                score = score + np.bincount(self.example[at], np.repeat(w, size) * self.weight[at], n)
+                if leave_out is not None:
+                    score[leave_out[low + k]] = 0
+                best = _top(score, NEIGHBOURS) if len(score) >= NEIGHBOURS else np.argsort(-score, kind="stable")
+                best = best[score[best] > 0]
+                cosine = np.minimum(score[best], 1.0)
+                w = 1 / (SMOOTH_ALL + 1 - cosine)
+                out.append((float((w * self.toxic[best]).sum() / w.sum()) if len(best) else self.base, best, cosine))
+        return out
+
+
 def _top(score: np.ndarray, k: int) -> np.ndarray:
     least = np.partition(score, -k)[-k]
     near = np.flatnonzero(score >= least)
@@ -180,11 +251,12 @@ def likelihood_ratio(df: Column, toxic: Column, n: int, positive: int) -> Column
 
 
 def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
-    """Index of labelled examples and calibration, from training folds only.
+    """Index of labelled examples, all their terms, and a calibration for each of the two, from training folds only.
 
     The sample is bounded by `examples` and chosen by a hash of the id, so both classes stand in it as they occur.
     Vectors hold the terms that speak for the label: nearness in the words of a topic or language says little about it.
-    Votes of the examples, each without itself, give the calibration.
+    Texts without such a term, at a label share of a half or more all of them, have vectors of all terms instead.
+    Votes of the examples, each without itself, give the calibrations.
     """
     own = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT_FOLD))
            .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -213,7 +285,7 @@ def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
     terms = [bytes(r.term) for r in telling]
     sent = docs.sparkSession.sparkContext.broadcast(dict(zip(terms, range(len(terms)), strict=True)))
 
-    def numbered(batch: pa.RecordBatch) -> dict:
+    def numbered(batch: pa.RecordBatch, sent=sent) -> dict:
         known = sent.value
         pairs = [[(known[t], c) for t, c in zip(ts, cs, strict=True) if t in known]
                  for ts, cs in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
@@ -223,42 +295,75 @@ def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
     vectors = map_rows(sample, numbered, "doc_id bigint, toxic int, terms array<int>, counts array<int>").toArrow().sort_by("doc_id")
     pairs = [(np.array(t, np.int64), np.array(c, np.int64))
              for t, c in zip(vectors["terms"].to_pylist(), vectors["counts"].to_pylist(), strict=True)]
-    index = Index.of(terms, np.array([r.df for r in telling], np.float64), np.array(vectors["doc_id"].to_pylist(), np.int64),
-                     np.array(vectors["toxic"].to_pylist(), np.int64), pairs)
+    ids, toxic = np.array(vectors["doc_id"].to_pylist(), np.int64), np.array(vectors["toxic"].to_pylist(), np.int64)
+    index = Index.of(terms, np.array([r.df for r in telling], np.float64), ids, toxic, pairs)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
+    every = seen.orderBy(F.desc("df"), "term").toArrow()
+    all_terms = every["term"].to_pylist()
+    sent = docs.sparkSession.sparkContext.broadcast(dict(zip(all_terms, range(len(all_terms)), strict=True)))
+    whole = map_rows(sample, lambda batch: numbered(batch, sent), "doc_id bigint, toxic int, terms array<int>, counts array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    flat = {c: pc.list_flatten(whole[c]).to_numpy().astype(np.int32) for c in ("terms", "counts")}
+    untold = np.array([not len(t) for t, _ in pairs], bool)
+    shared_all = docs.sparkSession.sparkContext.broadcast(AllTerms.of(
+        all_terms, every["df"].to_numpy(), every["toxic"].to_numpy(), ids, toxic, float(toxic[untold].mean()) if untold.any() else 0.0,
+        pc.list_value_length(whole["terms"]).to_numpy(), flat["terms"], flat["counts"]))
+    del whole, flat
+
     def own_votes(batch: pa.RecordBatch) -> dict:
-        model = shared.value
+        model, other = shared.value, shared_all.value
         ids = batch.column("doc_id").to_pylist()
-        at = np.searchsorted(model.ids, ids)
-        votes = []
-        for k, ts, cs in zip(at.tolist(), batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+        at = np.searchsorted(model.ids, ids).tolist()
+        votes: list[float] = []
+        told, left = [], []
+        for k, ts, cs in zip(at, batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True):
             known = [(model.numbers.terms[t], c) for t, c in zip(ts, cs, strict=True) if t in model.numbers.terms]
-            t, c = np.array(sorted(known), np.int64).reshape(-1, 2).T
-            votes.append(model.vote(*model.nearest(t, c, NEIGHBOURS, leave_out=k)))
-        return {"doc_id": ids, "vote": votes, "toxic": batch.column("toxic")}
-
-    votes = map_rows(sample, own_votes, "doc_id bigint, vote double, toxic int").toArrow().sort_by("doc_id")
-    steps = isotonic(votes["vote"].to_numpy(), votes["toxic"].to_numpy().astype(np.float64))
-    return shared, steps
+            told.append(bool(known))
+            if known:
+                t, c = np.array(sorted(known), np.int64).reshape(-1, 2).T
+                votes.append(model.vote(*model.nearest(t, c, NEIGHBOURS, leave_out=k)))
+            else:
+                t, c = np.array(sorted((other.numbers.terms[t], c) for t, c in zip(ts, cs, strict=True)), np.int64).reshape(-1, 2).T
+                left.append((len(votes), k, (t, c)))
+                votes.append(0.0)
+        for (place, _, _), (vote, _, _) in zip(left, other.votes([v for _, _, v in left], [k for _, k, _ in left]), strict=True):
+            votes[place] = vote
+        return {"doc_id": ids, "vote": votes, "toxic": batch.column("toxic"), "told": told}
+
+    votes = map_rows(sample, own_votes, "doc_id bigint, vote double, toxic int, told boolean").toArrow().sort_by("doc_id")
+    vote, label, told = votes["vote"].to_numpy(), votes["toxic"].to_numpy().astype(np.float64), votes["told"].to_numpy().astype(bool)
+    return shared, shared_all, [isotonic(vote[told == t], label[told == t]) for t in (False, True)]
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Calibrated toxicity of each document, with its nearest labelled examples.
 
-    Only the text enters a score. Rows whose crc32(doc_id) modulo 4 is 2 teach nothing (held_out). Null and empty
-    texts, and texts without a telling term, get the score of the examples without one; without any labelled example
-    every score is 0. Repeated rows are scored alike; a null id is folded like the empty text; other columns are not read.
+    Only the text enters a score. Rows whose crc32(doc_id) modulo 4 is 2 teach nothing (held_out). Texts without a
+    telling term are scored by all terms and calibrated on the examples without one, whose share null and empty texts
+    get; without any labelled example every score is 0. Repeated rows are scored alike; a null id is folded like the
+    empty text; other columns are not read.
     """
     rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
-    shared, (votes, shares) = fitted(rows, labels, examples)
+    shared, shared_all, steps = fitted(rows, labels, examples)
 
     def run(batch: pa.RecordBatch) -> dict:
-        model = shared.value
-        out: dict[str, list] = {"score": [], "predicted": [], "vote": [], "evidence": []}
+        model, other = shared.value, shared_all.value
+        found: list = []
+        left = []
         for text in texts(batch, "text"):
-            best, cosine = model.nearest(*model.vector(words_of(text)), NEIGHBOURS)
-            vote = model.vote(best, cosine)
+            words = words_of(text)
+            terms, counts = model.vector(words)
+            if len(terms) or not len(model.ids):
+                best, cosine = model.nearest(terms, counts, NEIGHBOURS)
+                found.append((model.vote(best, cosine), best, cosine, True))
+            else:
+                left.append((len(found), other.vector(words)))
+                found.append(None)
+        for (place, _), votes in zip(left, other.votes([v for _, v in left]) if left else [], strict=True):
+            found[place] = (*votes, False)
+        out: dict[str, list] = {"score": [], "predicted": [], "vote": [], "evidence": []}
+        for vote, best, cosine, told in found:
+            votes, shares = steps[told]
             score = float(shares[max(0, np.searchsorted(votes, vote, side="right") - 1)]) if len(votes) else 0.0
             out["vote"].append(vote)
             out["score"].append(score)

@@ -222,6 +222,37 @@ def test_toxicity_by_beginnings_of_rare_words(spark):
     assert len(clean) == 1 and clean.pop() < 0.05  # no telling term
 
 
+@pytest.mark.parametrize("share", [10, 2])
+def test_toxicity_without_telling_terms(spark, share):
+    # Toxic examples with words of their own, three of each text: none of these words is evident.
+    texts = {3 * g + c: prose(40, 3000 + g) + (f" rot{g}x vile{g}y grim{g}z" if g % share == 0 else "") for g in range(120) for c in range(3)}
+    toxic = lambda k: int((k // 3) % share == 0)
+    table = spark.createDataFrame([*texts.items(), (9999, ""), (9998, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, toxic(k)) for k in texts], "doc_id long, toxic int")
+    got = {x.doc_id: x for x in toxicity.toxicity(table, labels).collect()}
+    train = {g: [k for k in range(3 * g, 3 * g + 3) if zlib.crc32(str(k).encode()) % 4 != 2] for g in range(120)}
+    copies = [got[k] for k in texts if got[k].held_out and len(train[k // 3]) >= 2]
+    assert {toxic(x.doc_id) for x in copies} == {0, 1}
+    assert all(x.predicted == toxic(x.doc_id) for x in copies)
+    assert all(x.evidence and x.evidence[0].toxic == toxic(x.doc_id) for x in copies)
+    assert got[9999].evidence == [] and got[9998].score == got[9999].score
+
+
+def test_all_terms_are_exact(monkeypatch):
+    r = np.random.default_rng(2)
+    dense = np.where(r.random((200, 90)) < r.random(90) * 0.4, r.integers(1, 5, (200, 90)), 0)
+    dense = dense[:, np.argsort(-(dense > 0).sum(axis=0), kind="stable")]
+    df, toxic = (dense > 0).sum(axis=0).astype(float), r.integers(0, 2, 200)
+    at = np.nonzero(dense)
+    monkeypatch.setattr(toxicity, "DENSE_TERMS", 20)
+    model = toxicity.AllTerms.of([str(k).encode() for k in range(90)], df, ((dense > 0) * toxic[:, None]).sum(axis=0).astype(float), np.arange(200),
+                                 toxic, 0.5, (dense > 0).sum(axis=1), at[1].astype(np.int32), dense[at].astype(np.int32))
+    weights = np.where(dense > 0, 1 + np.log(np.maximum(dense, 1)), 0) * model.factor
+    weights /= np.linalg.norm(weights, axis=1, keepdims=True)
+    for k, (_, best, cosine) in enumerate(model.votes([(np.flatnonzero(d), d[d > 0]) for d in dense])):
+        assert best[0] == k and np.allclose(np.sort(weights @ weights[k])[::-1][:len(best)], cosine, atol=1e-5)
+
+
 def test_likelihood_ratio(spark):
     row = spark.range(1).select(F.lit(10.0).alias("df"), F.lit(8.0).alias("toxic"))
     got = row.select(toxicity.likelihood_ratio(F.col("df"), F.col("toxic"), 100, 20)).first()[0]

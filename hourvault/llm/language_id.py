@@ -36,7 +36,7 @@ def visible_text(page: str) -> str:
 
 
 def declared_language(page: str) -> str:
-    found = DECLARED.search(page[:4096]) or DECLARED.search(page)
+    found = DECLARED.search(page)
     return found[1].lower() if found else ""
 
 

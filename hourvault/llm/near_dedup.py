@@ -7,6 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourvault.llm.common import WordHashes, map_rows, mix, stored, texts
 from hourvault.llm.registry import query, table
@@ -18,8 +19,11 @@ BAND_ROWS = 5
 #: Bytes of sets in one unit of work, of documents apart from a bucket's main group and of those they are held against.
 APART_BYTES = 4 << 20
 AGAINST_BYTES = 16 << 20
+#: Documents in it, on the two sides: short sets would make many comparisons out of few bytes.
+APART_ROWS = 1 << 10
+AGAINST_ROWS = 1 << 11
 
-SKETCHED = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
+SKETCHED = "n_shingles bigint, set_key binary, bands array<bigint>"
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -60,8 +64,10 @@ def sketch(shingles: np.ndarray, size: int, seed: int = 1) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """Set size, 128-bit key of the set and hashes of its sketch's bands for each row; no shuffle."""
+    """Set size, 128-bit key of the set and hashes of its sketch's bands in place of each row's text; no shuffle."""
     hashes = WordHashes()
+    others = [f for f in docs.schema.fields if f.name != "text"]
+    schema = T.StructType([*others, *T._parse_datatype_string(SKETCHED).fields])
 
     def run(batch: pa.RecordBatch) -> dict:
         sizes, keys, bands = [], [], []
@@ -76,34 +82,36 @@ def sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
             rows = sketch(found, BANDS * BAND_ROWS).tobytes()
             width = 8 * BAND_ROWS
             bands.append([xxhash.xxh3_64_intdigest(rows[k * width:(k + 1) * width], k + 1) - (1 << 63) for k in range(BANDS)])
-        return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "set_key": keys, "bands": bands}
+        return {f.name: batch.column(f.name) for f in others} | {"n_shingles": sizes, "set_key": keys, "bands": bands}
 
-    return map_rows(docs, run, SKETCHED)
+    return map_rows(docs, run, schema)
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
-    """The shingle sets of the documents whose id is in `wanted`, made again from their texts: id, shingles."""
+def full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int, repeated: bool) -> DataFrame:
+    """The shingle sets of wanted classes (class, rep, set_key), made again from the text of a row with id `rep`: id, shingles."""
     hashes = WordHashes()
 
     def sets(batch: pa.RecordBatch) -> dict:
-        found = [shingle_hashes(t.lower().split(), shingle_words, hashes).tobytes() for t in texts(batch, "text")]
-        return {"id": batch.column("id"), "shingles": found}
+        keys, out, kept = batch.column("set_key").to_pylist(), [], []
+        for key, text in zip(keys, texts(batch, "text"), strict=True):
+            found = shingle_hashes(text.lower().split(), shingle_words, hashes).tobytes()
+            # Another row of a repeated id may hold another text.
+            kept.append(not repeated or xxhash.xxh3_128_digest(found) == key)
+            if kept[-1]:
+                out.append(found)
+        return {"id": batch.column("class").filter(pa.array(kept, pa.bool_())), "shingles": out}
 
-    rows = docs.join(wanted, docs.doc_id == wanted.wanted, "left_semi").select(F.col("doc_id").alias("id"), "text")
-    # Repeated rows of one id in one class have equal sets: any of them will do.
-    return stored(map_rows(rows, sets, "id bigint, shingles binary").dropDuplicates(["id"]), "near-sets")
+    rows = docs.join(wanted, docs.doc_id == wanted.rep).select("class", "set_key", "text")
+    found = map_rows(rows, sets, "id bigint, shingles binary")
+    return stored(found.dropDuplicates(["id"]) if repeated else found, "near-sets")
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) of class ids, those whose full sets are similar enough."""
+    """Of pairs (a, b) of classes, those whose full sets are similar enough."""
     def check(batch: pa.RecordBatch) -> dict:
-        left = batch.column("left_set").cast(pa.large_binary()).to_pylist()
-        right = batch.column("right_set").cast(pa.large_binary()).to_pylist()
-        keep = []
-        for x, y in zip(left, right, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            keep.append(similar(x, y, percent))
-        keep = pa.array(keep, pa.bool_())
+        left, right = (batch.column(c).cast(pa.large_binary()) for c in ("left_set", "right_set"))
+        keep = pa.array([similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                         for x, y in zip(left, right, strict=True)], pa.bool_())
         return {c: batch.column(c).filter(keep) for c in ("a", "b")}
 
     # The right set travels with the pair; the left one, the first of its bucket, is joined last and isn't repeated.
@@ -162,24 +170,25 @@ def links_apart(members: DataFrame, labels: DataFrame, full: DataFrame, percent:
     In each bucket, documents outside the group with the most members are held against all members of other groups,
     in units of bounded size that are dealt over the tasks: no pairs are made as rows.
     """
-    grouped = (members.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
-               .select("bucket", "rep", "size", F.coalesce("component", "rep").alias("component")))
+    grouped = (members.join(labels.select(F.col("id").alias("class"), "component"), "class", "left")
+               .select("bucket", "class", "size", F.coalesce("component", "class").alias("component")))
     shares = grouped.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     mixed = (shares.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"),
                                           F.sum("size").alias("all_size"), F.max(F.struct("n", "component", "size")).alias("top"),
                                           F.count(F.lit(1)).alias("groups"))
              .filter("groups > 1 AND n > 2")
              .select("bucket", "main",
-                     F.ceil((F.col("all_size") - F.col("top.size")) * 8 / APART_BYTES).cast("int").alias("blocks"),
-                     F.ceil(F.col("all_size") * 8 / AGAINST_BYTES).cast("int").alias("chunks")))
+                     F.ceil(F.greatest((F.col("all_size") - F.col("top.size")) * 8 / APART_BYTES, (F.col("n") - F.col("top.n")) / APART_ROWS))
+                     .cast("int").alias("blocks"),
+                     F.ceil(F.greatest(F.col("all_size") * 8 / AGAINST_BYTES, F.col("n") / AGAINST_ROWS)).cast("int").alias("chunks")))
     rows = grouped.join(mixed, "bucket")
-    share = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    share = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
     apart = rows.filter("component <> main").withColumn("against", F.lit(False)).withColumn("block", share("blocks")).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     against = rows.withColumn("against", F.lit(True)).withColumn("chunk", share("chunks")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    names = ["bucket", "block", "chunk", "against", "rep", "component"]
-    units = apart.select(*names).union(against.select(*names)).join(full.withColumnRenamed("id", "rep"), "rep")
+    names = ["bucket", "block", "chunk", "against", "class", "component"]
+    units = apart.select(*names).union(against.select(*names)).join(full.withColumnRenamed("id", "class"), "class")
     units = units.repartition(F.col("bucket"), F.col("block"), F.col("chunk")).sortWithinPartitions("bucket", "block", "chunk", "against")
     schema = "a bigint, b bigint"
     fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -234,6 +243,44 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
             return labels
 
 
+def grouped(rows: DataFrame, shingle_words: int, percent: int) -> tuple[DataFrame, bool]:
+    """Each row (doc_id, text, and what else it has but the text) with n_shingles, component_id, kept and `component`, the number of
+    its group (null without a set); and whether an id stands in several rows.
+
+    Nodes are classes of equal sets, not ids: rows of one id with different sets are in different classes.
+    """
+    marks = stored(sketched(rows, shingle_words), "near-sketches")
+    repeated = marks.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
+    classes = stored(
+        marks.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
+        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
+        .withColumn("class", F.monotonically_increasing_id()),
+        "near-classes")
+    entries = classes.select("class", "size", F.explode("bands").alias("bucket"))
+    crowded = (entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("class", "size")).alias("first")).filter("n > 1"))
+    members = stored(entries.join(crowded, "bucket").select("bucket", "class", "size", "first"), "near-buckets")
+    # The sizes alone rule out a pair.
+    pairs = stored(members.filter(F.col("class") != F.col("first.class"))
+                   .filter(100 * F.least("size", "first.size") >= percent * F.greatest("size", "first.size"))
+                   .select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct(), "near-pairs")
+    wanted = members.select("class").distinct().join(classes.select("class", "rep", "set_key"), "class")
+    full = full_sets(rows, wanted, shingle_words, repeated)
+    links = stored(verified(pairs, full, percent), "near-links")
+    labels = components(links)
+    links = stored(links.union(links_apart(members, labels, full, percent)), "near-links")
+    labels = stored(components(links).join(classes.select(F.col("class").alias("id"), "rep"), "id"), "near-labels")
+    low = labels.groupBy("component").agg(F.min("rep").alias("low"))
+    spread = (classes.select("set_key", "class", "rep", "members")
+              .join(labels.join(low, "component").select(F.col("id").alias("class"), "component", "low"), "class", "left")
+              .filter("members > 1 OR component IS NOT NULL")
+              .select("set_key", F.coalesce("low", "rep").alias("low"), F.coalesce("component", "class").alias("component")))
+    # Documents alone in class and group need no partner: only the others stand on the right side.
+    found = (marks.drop("bands").join(spread, "set_key", "left")
+             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id"))).drop("low")
+             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    return found, repeated
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The group of near copies that each document belongs to: doc_id, n_shingles, component_id, kept.
@@ -245,41 +292,35 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     buckets with a probability of 3e-6. Members of a bucket are compared with its first member on full sets; where
     members are then in different groups, those outside the main one are compared with all others.
 
-    Null and empty texts have no set and are linked with nothing. Repeated rows get a row each. A row with a null id
-    cannot be linked: its component is null and it is kept. Other columns are not read.
+    Null and empty texts have no set and are linked with nothing. Repeated rows get a row each, and rows of one id with
+    different texts are documents of their own. A row with a null id cannot be linked: its component is null and it is
+    kept. Other columns are not read.
     """
     rows = docs.selectExpr(f"CAST(`{id_column}` AS BIGINT) AS doc_id", f"`{text_column}` AS text")
-    marks = stored(sketched(rows, shingle_words), "near-sketches")
-    classes = stored(
-        marks.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")),
-        "near-classes")
-    entries = classes.select("rep", "size", F.explode("bands").alias("bucket"))
-    crowded = (entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first")).filter("n > 1"))
-    members = stored(entries.join(crowded, "bucket").select("bucket", "rep", "size", "first"), "near-buckets")
-    pairs = stored(members.filter("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct(), "near-pairs")
-    full = full_sets(rows, members.select(F.col("rep").alias("wanted")).distinct(), shingle_words)
-    links = stored(verified(pairs, full, percent), "near-links")
-    labels = components(links)
-    links = stored(links.union(links_apart(members, labels, full, percent)), "near-links")
-    labels = components(links)
-    spread = (classes.select("set_key", "rep", "members")
-              .join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").filter("members > 1 OR component <> rep")
-              .select("set_key", F.coalesce("component", "rep").alias("rep")))
-    # Documents alone in class and group need no partner: only the others stand on the right side.
-    return (marks.select("doc_id", "n_shingles", "set_key").join(spread, "set_key", "left")
-            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
-            .select("doc_id", "n_shingles", "component_id",
-                    F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
-
-
-def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """One document of each group, that with the smallest id, in the columns of `docs`; rows without an id stay."""
-    found = near_duplicates(docs, id_column=id_column, **options)
-    kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id"))
-    out = docs.join(kept, docs[f"`{id_column}`"] == kept["_kept_id"], "left_semi")
-    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        out = out.dropDuplicates([id_column])
+    return grouped(rows, shingle_words, percent)[0].select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def without_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT,
+                            id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One document of each group, that with the smallest id, in the columns of `docs`; rows without an id stay.
+
+    Rows are told apart by id and text: of unlike texts under one id each stays, of repeated rows one.
+    """
+    text_key = F.md5(F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
+    rows = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.col(f"`{text_column}`").alias("text"), text_key.alias("text_key"))
+    found, repeated = grouped(rows, shingle_words, percent)
+    kept = found.filter("kept AND doc_id IS NOT NULL")
+    own_id = F.col(f"`{id_column}`").cast("bigint")
+    if not repeated:
+        kept = kept.select(F.col("doc_id").alias("_near_id"))
+        out = docs.join(kept, own_id == kept["_near_id"], "left_semi")
+    else:
+        # A group keeps one row of its smallest id; an empty text has no group, its rows are one.
+        kept = (kept.groupBy("doc_id", "component").agg(F.min("text_key").alias("_near_key"))
+                .select(F.col("doc_id").alias("_near_id"), "_near_key").distinct())
+        marked = docs.withColumn("_near_own", text_key)
+        out = (marked.join(kept, (own_id == kept["_near_id"]) & (marked["_near_own"] == kept["_near_key"]), "left_semi")
+               .dropDuplicates([id_column, "_near_own"]).drop("_near_own"))
     return out.union(docs.filter(docs[f"`{id_column}`"].isNull()))
 
 

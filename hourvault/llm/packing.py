@@ -20,7 +20,7 @@ END = 1
 #: A special token of the vocabulary; it splits a text before anything else is done to it.
 SPECIAL = b"<|endoftext|>"
 #: Words whose ids a worker remembers; bounds its memory.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Bytes of those words, which may be long.
 REMEMBERED_BYTES = 32 << 20
 #: Punctuation at the end of words.
@@ -130,23 +130,16 @@ class Encoder:
         return self.flat[shift + np.arange(len(shift))]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One for each worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, with_ids: bool = True,
                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The ids of each document with the end id, cut into pieces of `length`; no shuffle."""
     path = path or tokenizer_path()
+    encoders: list[Encoder] = []  # each task unpacks a list of its own, so that words are forgotten with the task
 
     def run(batch: pa.RecordBatch) -> dict:
-        made = encoder(path)
+        if not encoders:
+            encoders.append(Encoder(path))
+        made = encoders[0]
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
         ids = batch.column("doc_id").to_pylist()
         words, begin, waiting = [], 0, 0

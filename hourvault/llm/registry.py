@@ -20,5 +20,10 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: Bytes of a batch of rows on their way to Python and back; both sides of the way hold several at a time.
+BATCH_BYTES = "8m"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

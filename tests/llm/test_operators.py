@@ -124,6 +124,18 @@ def test_near_duplicates(docs, rows, nothing, size):
     assert near_dedup.near_duplicates(nothing).count() == 0 and near_dedup.without_near_duplicates(nothing).count() == 0
 
 
+def test_rows_of_one_id_with_other_texts(spark):
+    """Identity is id and text: no text is lost under a repeated id, and of repeated rows one stays."""
+    a, b, c = (" ".join(words(80, 50 + k, 9000)) for k in range(3))
+    rows = [(1, a, "x"), (1, b, "x"), (2, c, "x"), (3, near(b, 1, 5), "x"), (1, a, "x"), (1, "", "x"), (1, None, "y"), (4, "", "x"), (4, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component string").repartition(3)
+    got = near_dedup.near_duplicates(df, shingle_words=2)
+    assert by_key(got, "doc_id", "component_id", "kept") == sorted([(1, 1, True)] * 5 + [(2, 2, True), (3, 1, False)] + [(4, 4, True)] * 2, key=str)
+    kept = near_dedup.without_near_duplicates(df, shingle_words=2)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(1, a), (1, b), (1, ""), (2, c), (4, "")])
+
+
 def test_groups_that_no_first_member_reaches(spark):
     """Near copies of a text that is not the first of its bucket, and chains, are found on all members."""
     base = " ".join(words(150, 21, 5000))

@@ -20,7 +20,8 @@ HEADS = 6
 #: Nodes of a shard, on average: bounds a task's labels. Messages that a queue holds in memory, beyond which it spills.
 SHARD_NODES = 1 << 17
 QUEUE_ROWS = 1 << 17
-#: Ids that one row carries of a member list that several tasks hold.
+#: Numbers of turns in a stretch, and ids in one text of a list of conversations.
+STRETCH = 4096
 LIST_IDS = 4096
 BATCH = 1 << 14
 
@@ -28,85 +29,39 @@ RESULT = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leav
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
-def in_runs(df: DataFrame, *keys: Column, parts: int | None = None) -> DataFrame:
-    """Rows in the order of the keys, over tasks and in each; `_task` and `_mid` number them. A common key is cut like any other."""
-    keys = (*keys, F.col("_at"))
-    df = df.withColumn("_at", F.monotonically_increasing_id())
-    ranged = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
-    return (ranged.sortWithinPartitions(*keys).drop("_at")
-            .withColumn("_task", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+def in_order(df: DataFrame, *keys: str, parts: int) -> DataFrame:
+    """Rows in the order of the keys, over tasks and in each, with numbers `id` in that order. Stored rows are best: they are read twice."""
+    return df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("id", F.monotonically_increasing_id())
 
 
-def starts(values: np.ndarray, before: object) -> np.ndarray:
-    """Whether a row begins a run of equal values, after a row with the value `before`."""
-    return np.concatenate([[before is None or values[0] != before], values[1:] != values[:-1]])
+def along(rows: DataFrame, stretch: Column, order: list, within: dict[str, Column], totals: dict[str, Column], before: dict[str, Column]) -> DataFrame:
+    """Running values along conversations that are cut into stretches, so that a long one is dealt over tasks.
 
-
-def with_places(ordered: DataFrame) -> DataFrame:
-    """`_place`: rows of the conversation up to this one, in this task."""
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, count = None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            conv = batch.column("conv_id").to_numpy()
-            first = starts(conv, before)
-            at = np.arange(1, len(conv) + 1)
-            place = at - np.maximum.accumulate(np.where(first, at - 1, -count))
-            before, count = conv[-1], int(place[-1])
-            yield batch.append_column("_place", pa.array(place, pa.int64()))
-
-    return ordered.mapInArrow(over, f"{_ddl(ordered)}, _place bigint")
-
-
-def with_keys(ordered: DataFrame) -> DataFrame:
-    """`a`, `b`: the row's hashes and those of all rows of the conversation before it in this task, by exclusive or."""
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, last = None, [0, 0]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            conv = batch.column("conv_id").to_numpy()
-            first = starts(conv, before)
-            begin = np.maximum.accumulate(np.where(first, np.arange(len(conv)), -1))
-            for k, name in enumerate(("a", "b")):
-                total = np.bitwise_xor.accumulate(batch.column(name).to_numpy())
-                # What the batch holds before the run is taken out again; a run that goes on takes in what it had.
-                base = np.where(begin > 0, total[np.maximum(begin - 1, 0)], np.where(begin < 0, last[k], 0))
-                own = total ^ base
-                last[k] = int(own[-1])
-                batch = batch.set_column(batch.schema.get_field_index(name), name, pa.array(own, pa.int64()))
-            before = conv[-1]
-            yield batch
-
-    return ordered.mapInArrow(over, ordered.schema)
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
-def carried(rows: DataFrame, totals: list[Column], befores: list[Column]) -> DataFrame:
-    """What earlier tasks hold of a conversation that a task's first rows go on with: at most one row for each task."""
-    per_task = rows.groupBy("conv_id", "_task").agg(*totals)
-    earlier = Window.partitionBy("conv_id").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    return (per_task.select("conv_id", "_task", F.row_number().over(Window.partitionBy("conv_id").orderBy("_task")).alias("_nth"),
-                            *[c.over(earlier).alias(f"_before_{k}") for k, c in enumerate(befores)])
-            .filter("_nth > 1").drop("_nth"))
+    `within` are running values in the stretch, `totals` those of a whole stretch, and `before` sums them up over the
+    conversation's earlier stretches (columns of that name, null in the first one).
+    """
+    rows = rows.withColumn("_stretch", stretch)
+    earlier = Window.partitionBy("conv_id").orderBy(F.col("_stretch").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("conv_id")
+    passed = (rows.groupBy("conv_id", "_stretch").agg(*[c.alias(n) for n, c in totals.items()])
+              .withColumn("_stretches", F.count(F.lit(1)).over(whole)).withColumns({n: c.over(earlier) for n, c in before.items()})
+              .filter("_stretches > 1").select("conv_id", "_stretch", *before))
+    passed = passed.withColumnsRenamed({"conv_id": "_conv", "_stretch": "_part"})
+    inside = Window.partitionBy("conv_id", "_stretch").orderBy(*order)
+    rows = rows.join(passed, (rows["conv_id"] == passed["_conv"]) & rows["_stretch"].eqNullSafe(passed["_part"]), "left").drop("_conv", "_part")
+    return rows.withColumns({n: c.over(inside) for n, c in within.items()})
 
 
 def numbered_turns(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """conv_id, place (from 1 in the order of turns), digest of role and text, code points of the text."""
     role, text = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (role, text))
-    narrow = (turns.select(F.col(f"`{conv}`").cast("bigint").alias("conv_id"), F.col(f"`{turn}`").alias("turn"),
+    narrow = (turns.select(F.col(f"`{conv}`").cast("bigint").alias("conv_id"), F.col(f"`{turn}`").cast("bigint").alias("turn"),
                            F.unhex(F.sha2(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text), 256)).alias("digest"),
                            F.char_length(text).cast("bigint").alias("chars"))
               .filter("conv_id IS NOT NULL"))
-    rows = stored(with_places(in_runs(narrow, F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("digest"))), "trie-turns")
-    # One row for each task at most: small enough to go to all.
-    before = F.broadcast(carried(rows, [F.max("_place").alias("_n")], [F.sum("_n")]))
-    return (rows.join(before, ["conv_id", "_task"], "left")
-            .select("conv_id", (F.col("_place") + F.coalesce("_before_0", F.lit(0))).alias("place"), "digest", "chars"))
+    rows = along(narrow, F.floor(F.col("turn") / STRETCH), [F.col("turn").asc_nulls_first(), "digest"], {"_place": F.row_number()},
+                 {"_n": F.count(F.lit(1))}, {"_before": F.sum("_n")})
+    return stored(rows.select("conv_id", (F.col("_place") + F.coalesce("_before", F.lit(0))).cast("bigint").alias("place"), "digest", "chars"), "trie-turns")
 
 
 def rebuilt_turns(turns: DataFrame, group: int, heads: int) -> tuple[DataFrame, DataFrame]:
@@ -132,62 +87,26 @@ def rebuilt_turns(turns: DataFrame, group: int, heads: int) -> tuple[DataFrame,
 def prefixes(rows: DataFrame) -> DataFrame:
     """Each turn with the 128-bit key (a, b) of the turns up to it, and that of the turns before it (pa, pb).
 
-    The key is the exclusive or of two hashes of each (depth, digest): a prefix is the set of these. So keys are made
-    within tasks, and one value is passed on where a conversation goes on in the next task.
+    The key is the exclusive or of two hashes of each (depth, digest): a prefix is the set of these, so that keys can be
+    made for each stretch of a conversation and put together.
     """
-    rows = rows.withColumn("a", F.xxhash64("depth", "digest")).withColumn("b", F.xxhash64("digest", "depth", F.lit(1)))
-    rows = rows.withColumn("ha", F.col("a")).withColumn("hb", F.col("b")).drop("digest")
-    rows = stored(with_keys(in_runs(rows, F.col("conv_id"), F.col("depth"))), "trie-prefixes")
-    before = F.broadcast(carried(rows, [F.max_by("a", "depth").alias("_a"), F.max_by("b", "depth").alias("_b")], [F.bit_xor("_a"), F.bit_xor("_b")]))
+    rows = rows.withColumn("ha", F.xxhash64("depth", "digest")).withColumn("hb", F.xxhash64("digest", "depth", F.lit(1))).drop("digest")
+    keys = {"a": "ha", "b": "hb"}
+    rows = along(rows, F.floor(F.col("depth") / STRETCH), ["depth"], {f"_{k}": F.bit_xor(h) for k, h in keys.items()},
+                 {f"_all_{k}": F.bit_xor(h) for k, h in keys.items()}, {f"_before_{k}": F.bit_xor(f"_all_{k}") for k in keys})
     zero = F.lit(0).cast("bigint")
-    rows = (rows.join(before, ["conv_id", "_task"], "left")
-            .withColumn("a", F.col("a").bitwiseXOR(F.coalesce("_before_0", zero)))
-            .withColumn("b", F.col("b").bitwiseXOR(F.coalesce("_before_1", zero))))
-    return rows.select("conv_id", "depth", "length", "chars", "a", "b", F.col("a").bitwiseXOR(F.col("ha")).alias("pa"),
-                       F.col("b").bitwiseXOR(F.col("hb")).alias("pb"))
+    rows = rows.withColumns({k: F.col(f"_{k}").bitwiseXOR(F.coalesce(f"_before_{k}", zero)) for k in keys})
+    return stored(rows.select("conv_id", "depth", "length", "chars", "a", "b", F.col("a").bitwiseXOR(F.col("ha")).alias("pa"),
+                              F.col("b").bitwiseXOR(F.col("hb")).alias("pb")), "trie-prefixes")
 
 
 def end_hashes(ends: DataFrame) -> DataFrame:
     """SHA-256 of the conversations that end at each node: a, b, depth, ends_sha256.
 
-    Ids are sorted over all tasks. A list within one task is hashed there; of the lists that tasks share, the pieces go
-    on as joined texts of LIST_IDS ids and are hashed in a row, as SHA-256 must be, without being held.
+    Ids are joined to texts for each range of LIST_IDS ids; a node with one such text is hashed at once. The texts of
+    the others go on in the order of their ids and are hashed in a row, as SHA-256 must be, without being held.
     """
-    schema = "a bigint, b bigint, depth bigint, first bigint, ids string, sha string"
-    fields = pa.schema([(n, pa.int64()) for n in ("a", "b", "depth", "first")] + [("ids", pa.string()), ("sha", pa.string())])
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=fields)
-
-    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, node, pieces, ids, inner = [], None, [], [], False
-
-        def piece() -> None:
-            pieces.append((ids[0], ",".join(map(str, ids))))
-            ids.clear()
-
-        for batch in batches:
-            for a, b, depth, conv in zip(*(batch.column(n).to_pylist() for n in ("a", "b", "depth", "conv_id")), strict=True):
-                if node != (a, b, depth):
-                    if ids:
-                        piece()
-                    if node is not None:
-                        # The first list of a task may have begun in an earlier one.
-                        out += ([(*node, None, None, hashlib.sha256(",".join(t for _, t in pieces).encode()).hexdigest())] if inner
-                                else [(*node, *p, None) for p in pieces])
-                    inner, node, pieces = node is not None, (a, b, depth), []
-                ids.append(conv)
-                if len(ids) >= LIST_IDS:
-                    piece()
-                if len(out) >= BATCH:
-                    yield batch_of(out)
-                    out = []
-        if ids:
-            piece()
-        if node is not None:
-            out += [(*node, *p, None) for p in pieces]
-        if out:
-            yield batch_of(out)
+    schema = "a bigint, b bigint, depth bigint, ends_sha256 string"
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, sha, out = None, None, []
@@ -195,19 +114,24 @@ def end_hashes(ends: DataFrame) -> DataFrame:
             for a, b, depth, ids in zip(*(batch.column(n).to_pylist() for n in ("a", "b", "depth", "ids")), strict=True):
                 if node != (a, b, depth):
                     if node is not None:
-                        out.append((*node, None, None, sha.hexdigest()))
+                        out.append((*node, sha.hexdigest()))
                     node, sha = (a, b, depth), hashlib.sha256(ids.encode())
                 else:
                     sha.update(b"," + ids.encode())
         if node is not None:
-            out.append((*node, None, None, sha.hexdigest()))
+            out.append((*node, sha.hexdigest()))
         if out:
-            yield batch_of(out)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                                             names=["a", "b", "depth", "ends_sha256"])
 
-    key = [F.col("a"), F.col("b"), F.col("depth")]
-    found = stored(in_runs(ends, *key, F.col("conv_id")).mapInArrow(lists, schema), "trie-ends")
-    shared = found.filter("sha IS NULL").repartition(*key).sortWithinPartitions("a", "b", "depth", "first").mapInArrow(hashed, schema)
-    return found.filter("sha IS NOT NULL").union(shared).select("a", "b", "depth", F.col("sha").alias("ends_sha256"))
+    key = ["a", "b", "depth"]
+    texts = stored(ends.groupBy(*key, F.floor(F.col("conv_id") / LIST_IDS).alias("range"))
+                   .agg(F.array_join(F.sort_array(F.collect_list("conv_id")).cast("array<string>"), ",").alias("ids")), "trie-ends")
+    counted = texts.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("ids").alias("ids"))
+    several = counted.filter("n > 1").select(*key)
+    shared = texts.join(several, key, "left_semi").repartition(*key).sortWithinPartitions(*key, "range").mapInArrow(hashed, schema)
+    return counted.filter("n = 1").select(*key, F.sha2(F.col("ids").cast("binary"), 256).alias("ends_sha256")).union(shared)
 
 
 class SpillingQueue:
@@ -272,8 +196,9 @@ class SpillingQueue:
 SENT = "shard bigint, id bigint, leaves bigint, saved bigint, inside boolean"
 
 
-def shard_of(column: str) -> Column:
-    return F.shiftright(column, 33)
+def shard_of(column: str | Column, tasks: int) -> Column:
+    """The shard of a node: `tasks` tasks' share of the numbers that in_order gave."""
+    return F.floor(F.shiftright(column, 33) / tasks)
 
 
 def time_forward(rows: DataFrame, queue_rows: int) -> DataFrame:
@@ -321,49 +246,52 @@ def time_forward(rows: DataFrame, queue_rows: int) -> DataFrame:
     return ordered.mapInArrow(over, SENT)
 
 
-def outside_parents(tree: DataFrame) -> DataFrame:
+def outside_parents(nodes: DataFrame, tasks: int) -> DataFrame:
     """id, level, outside: the node of another shard under which the node's part of the shard hangs (null under none)."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = None, {}
         for batch in batches:
             out = []
             for node, parent in zip(batch.column("id").to_pylist(), batch.column("parent").to_pylist(), strict=True):
-                if node >> 33 != own:
-                    own, known = node >> 33, {}
-                known[node] = value = known[parent] if parent is not None and parent >> 33 == own else parent
+                if (node >> 33) // tasks != own:
+                    own, known = (node >> 33) // tasks, {}
+                known[node] = value = known[parent] if parent is not None and (parent >> 33) // tasks == own else parent
                 out.append(value)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("level"), pa.array(out, pa.int64())], names=["id", "level", "outside"])
 
-    ordered = tree.select("id", "level", "parent").repartition(shard_of("id")).sortWithinPartitions(shard_of("id"), "level", "id")
+    ordered = nodes.select("shard", "id", "level", "parent").repartition("shard").sortWithinPartitions("shard", "level", "id").drop("shard")
     return ordered.mapInArrow(over, "id bigint, level bigint, outside bigint")
 
 
-def subtree_totals(tree: DataFrame, shard_nodes: int = SHARD_NODES, queue_rows: int = QUEUE_ROWS) -> DataFrame:
-    """id, leaves, saved: sums over the subtree of every node of a stored forest.
+def subtree_totals(tree: DataFrame, n: int, shard_nodes: int = SHARD_NODES, queue_rows: int = QUEUE_ROWS, shards: int = 1) -> DataFrame:
+    """id, leaves, saved: sums over the subtree of every node of a stored forest of n nodes.
 
-    `tree`: id, level, parent, parent_level, leaves, saved (own values); the shard of a node is id >> 33, a parent's
-    level is below its children's. Within shards by time_forward; what goes out of a shard under one outside parent is
-    a node of a smaller tree, over which the same is done; its totals are then sent into the shards once more.
+    `tree`: id (from in_order), level, parent, parent_level, leaves, saved (own values); a parent's level is below its
+    children's. The numbers are cut into at least `shards` shards of about `shard_nodes` nodes. Within shards by
+    time_forward; what goes out of a shard under one outside parent is a node of a smaller tree, over which the same
+    is done; its totals are then sent into the shards once more.
     """
-    nodes = tree.select(shard_of("id").alias("shard"), "level", "id", F.lit(False).alias("arrived"), "parent", "parent_level", "leaves", "saved")
+    made = (tree.agg(F.max(F.shiftright("id", 33))).first()[0] or 0) + 1
+    tasks = max(1, made // max(shards, -(-n // shard_nodes)))
+    nodes = tree.select(shard_of("id", tasks).alias("shard"), "level", "id", F.lit(False).alias("arrived"), "parent", "parent_level", "leaves", "saved")
     sent = stored(time_forward(nodes, queue_rows), "trie-sent")
     outgoing = sent.filter("NOT inside")
-    n = outgoing.count()
-    if not n:
+    out = outgoing.count() if made > tasks else 0
+    if not out:
         return sent.filter("inside").select("id", "leaves", "saved")
-    marks = stored(outside_parents(tree), "trie-marks")
-    hung = outgoing.join(marks.select(F.col("id").alias("_id"), "level", "outside"), outgoing["id"] == F.col("_id")).select(
-        F.col("id").alias("under"), "shard", "level", F.col("outside").alias("above"), "leaves", "saved")
+    marks = stored(outside_parents(nodes, tasks), "trie-marks")
+    hung = stored(outgoing.join(marks.select(F.col("id").alias("_id"), "level", "outside"), outgoing["id"] == F.col("_id")).select(
+        F.col("id").alias("under"), "shard", "level", F.col("outside").alias("above"), "leaves", "saved"), "trie-hung")
     # Half as many nodes at least, or else all in one shard, whose queue spills.
-    parts = max(1, -(-n // shard_nodes)) if n < tree.count() // 2 else 1
-    roots = stored(in_runs(hung, F.col("under"), F.col("shard"), parts=parts).withColumnRenamed("_mid", "id").drop("_task"), "trie-roots")
+    most = shard_nodes if 2 * out <= n else out
+    roots = stored(in_order(hung, "under", "shard", parts=-(-out // most)), "trie-roots")
     parents = roots.select(F.col("id").alias("parent"), F.col("under").alias("above"), F.col("shard").alias("_shard"), F.col("level").alias("parent_level"))
-    smaller = stored(roots.withColumn("_shard", shard_of("under")).join(parents, ["above", "_shard"], "left")
+    smaller = stored(roots.withColumn("_shard", shard_of("under", tasks)).join(parents, ["above", "_shard"], "left")
                      .select("id", "level", "parent", "parent_level", "leaves", "saved"), "trie-smaller")
-    totals = subtree_totals(smaller, shard_nodes, queue_rows)
+    totals = subtree_totals(smaller, out, most, queue_rows)
     arriving = (totals.join(roots.select("id", "under", "level"), "id").groupBy("under", "level")
                 .agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
-                .select(shard_of("under").alias("shard"), "level", F.col("under").alias("id"), F.lit(True).alias("arrived"),
+                .select(shard_of("under", tasks).alias("shard"), "level", F.col("under").alias("id"), F.lit(True).alias("arrived"),
                         F.lit(None).cast("bigint").alias("parent"), F.lit(None).cast("bigint").alias("parent_level"), "leaves", "saved"))
     return time_forward(nodes.union(arriving), queue_rows).filter("inside").select("id", "leaves", "saved")
 
@@ -376,8 +304,8 @@ def conversation_trie(turns: DataFrame, group: int = GROUP, heads: int = HEADS,
     with the first h turns of conversation c - c % `group` (all if fewer, none if there is none) and goes on with its own
     turns after its first h; h is crc32(c) % `heads`. A node is a distinct sequence of first turns; the root has none.
 
-    Prefixes are compared by 128-bit keys. Conversations are sorted by (conv_id, place) over all tasks, so a long one is
-    cut like any other; equal prefixes are counted before they are shuffled. Subtree totals are passed up by time-forward
+    Prefixes are compared by 128-bit keys. A long conversation is cut into stretches of STRETCH turn numbers; equal
+    prefixes are counted before they are shuffled. Subtree totals are passed up by time-forward
     processing in shards of about `shard_nodes` nodes, then over the shards' roots.
 
     Null roles and texts are empty; rows with a null conv_id belong to no conversation and are left out. Repeated rows
@@ -394,20 +322,20 @@ def conversation_trie(turns: DataFrame, group: int = GROUP, heads: int = HEADS,
         F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"), F.max("chars").alias("chars"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     ends = (rows.filter("depth = length").select("a", "b", "depth", "conv_id")
             .union(convs.filter("length = 0").select(zero.alias("a"), zero.alias("b"), zero.alias("depth"), "conv_id")))
-    found = stored(root.union(counted).join(end_hashes(ends), ["a", "b", "depth"], "left"), "trie-nodes")
+    found = stored(root.union(counted).join(end_hashes(ends), ["a", "b", "depth"], "left"), "trie-found")
     n = found.count()
-    parts = max(spark.sparkContext.defaultParallelism, -(-n // shard_nodes)) if n else 1
-    nodes = stored(in_runs(found, F.col("conv_id"), F.col("depth"), parts=parts).withColumnRenamed("_mid", "id").drop("_task"), "trie-nodes")
+    kids = found.filter("depth > 0").groupBy(F.col("pa").alias("a"), F.col("pb").alias("b"), (F.col("depth") - 1).alias("depth")).agg(
+        F.count(F.lit(1)).alias("n_children"))
+    shards = spark.sparkContext.defaultParallelism
+    nodes = stored(in_order(found, "conv_id", "depth", parts=max(shards, -(-n // shard_nodes))).join(kids, ["a", "b", "depth"], "left"), "trie-nodes")
     above = nodes.select(F.col("a").alias("pa"), F.col("b").alias("pb"), (F.col("depth") + 1).alias("depth"), F.col("id").alias("parent"),
                          F.col("conv_id").alias("parent_conv_id"))
-    hung = stored(nodes.select("id", "pa", "pb", "depth", "conv_id", "n_convs", "chars", "ends_sha256").join(above, ["pa", "pb", "depth"], "left"), "trie-hung")
-    children = hung.filter("parent IS NOT NULL").groupBy(F.col("parent").alias("id")).agg(F.count(F.lit(1)).alias("n_children"))
-    tree = stored(hung.join(children, "id", "left").withColumn("n_children", F.coalesce("n_children", zero))
+    tree = stored(nodes.drop("a", "b").join(above, ["pa", "pb", "depth"], "left").withColumn("n_children", F.coalesce("n_children", zero))
                   .select("id", F.col("depth").alias("level"), "parent", (F.col("depth") - 1).alias("parent_level"),
                           F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("leaves"),
                           ((F.col("n_convs") - 1) * F.col("chars")).alias("saved"),
                           "conv_id", "parent_conv_id", "n_convs", "n_children", "ends_sha256"), "trie-tree")
-    totals = subtree_totals(tree.select("id", "level", "parent", "parent_level", "leaves", "saved"), shard_nodes, queue_rows)
+    totals = subtree_totals(tree.select("id", "level", "parent", "parent_level", "leaves", "saved"), n, shard_nodes, queue_rows, shards)
     return (tree.drop("leaves", "saved").join(totals, "id")
             .select("conv_id", F.col("level").alias("depth"), "parent_conv_id", "n_convs", "n_children", F.col("leaves").alias("n_leaves"),
                     F.col("saved").alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(EMPTY_SHA)).alias("ends_sha256")))

@@ -60,8 +60,9 @@ def made():
 ROWS = made()
 
 
-@pytest.mark.parametrize("shard_nodes, queue_rows", [(ct.SHARD_NODES, ct.QUEUE_ROWS), (40, 5)])
-def test_against_brute_force(spark, shard_nodes, queue_rows):
+@pytest.mark.parametrize("shard_nodes, queue_rows, stretch", [(ct.SHARD_NODES, ct.QUEUE_ROWS, ct.STRETCH), (40, 5, 50)])
+def test_against_brute_force(spark, shard_nodes, queue_rows, stretch, monkeypatch):
+    monkeypatch.setattr(ct, "STRETCH", stretch)
     df = spark.createDataFrame([(*r, "x", 1, "y", 2) for r in ROWS], SCHEMA).repartition(5)
     found = ct.conversation_trie(df, shard_nodes=shard_nodes, queue_rows=queue_rows)
     assert found.columns == ct.RESULT
@@ -71,8 +72,10 @@ def test_against_brute_force(spark, shard_nodes, queue_rows):
 def test_lists_that_tasks_share(spark, monkeypatch):
     monkeypatch.setattr(ct, "LIST_IDS", 7)
     rows = [(1, 2, 3, k) for k in range(500)] + [(k, k, 1, -k) for k in range(50)]
+    rows += [(9, 9, 9, k) for k in (-8, -7, -1, 0, 1, 6, 7)]
     got = ct.end_hashes(spark.createDataFrame(rows, "a bigint, b bigint, depth bigint, conv_id bigint").repartition(4)).collect()
-    assert len(got) == 51
+    assert len(got) == 52
+    assert {g.ends_sha256 for g in got if g.a == 9 and g.b == 9 and g.depth == 9} == {hashlib.sha256(b"-8,-7,-1,0,1,6,7").hexdigest()}
     assert {g.ends_sha256 for g in got if g.a == 1 and g.b == 2} == {hashlib.sha256(",".join(map(str, range(500))).encode()).hexdigest()}
 
 

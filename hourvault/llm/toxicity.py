@@ -9,6 +9,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +27,14 @@ TERMS = 1 << 17
 NEIGHBOURS = 31
 #: A neighbour at distance d (1 - cosine) votes with 1 / (SMOOTH + d): a single copy doesn't outvote the rest.
 SMOOTH = 0.25
-#: The same among all terms, where no term speaks for the label: a copy outvotes 30 others at a distance of 0.8.
-SMOOTH_ALL = 0.025
-#: Terms of all terms whose weights stand in a dense matrix, the most frequent ones, and texts scored at a time.
-DENSE_TERMS, AT_ONCE = 4096, 256
+#: Where no term speaks for the label, examples of this cosine in all words are neighbours: copies and near copies.
+NEAR = 0.5
+#: Words of all examples (distinct in each): with more, fewer examples are taken. Bounds index, driver and broadcast in bytes.
+EXAMPLE_WORDS = 4_000_000
 BLOCK = 64
 FIRST_BLOCKS = 4
+#: Share by which weights in 32 bits may fall short.
+SLACK = 1e-5
 THRESHOLD = 0.3
 FOLDS, HELD_OUT_FOLD = 4, 2
 EVIDENCE = 3
@@ -65,6 +68,31 @@ class TermNumbers(dict):
         value = self[word] = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
         return value
 
+    def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the index terms of a text, in order, and their counts."""
+        return np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64), return_counts=True)
+
+
+@dataclass
+class WordNumbers:
+    """Numbers of words by their 64-bit hashes, which stand in order: no words are kept."""
+
+    hashes: np.ndarray
+
+    def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found, counts = word_counts(words)
+        at = np.searchsorted(self.hashes, found)
+        known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == found if len(self.hashes) else np.zeros(len(found), bool)
+        return at[known], counts[known]
+
+
+def word_counts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct words, in order, and their counts."""
+    counts = Counter(words)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, counts), np.uint64, len(counts)).view(np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], np.fromiter(counts.values(), np.int64, len(counts))[order]
+
 
 def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """begin[0], begin[0] + 1, ... for size[0] numbers, then the same for the next."""
@@ -89,8 +117,12 @@ class Index:
     @staticmethod
     def of(terms: list[bytes], df: np.ndarray, ids: np.ndarray, toxic: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Index:
         """vectors: for each example its term numbers and counts."""
-        idf = np.log(max(1, len(ids)) / np.maximum(df, 1)) if len(terms) else np.zeros(0)
-        index = Index(TermNumbers(dict(zip(terms, range(len(terms)), strict=True))), idf, ids, toxic, *[np.zeros(1, np.int64)] * 6)
+        return Index.built(TermNumbers(dict(zip(terms, range(len(terms)), strict=True))), df, ids, toxic, vectors)
+
+    @staticmethod
+    def built(numbers: TermNumbers | WordNumbers, df: np.ndarray, ids: np.ndarray, toxic: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Index:
+        idf = np.log(max(1, len(ids)) / np.maximum(df, 1)) if len(df) else np.zeros(0)
+        index = Index(numbers, idf, ids, toxic, *[np.zeros(1, np.int64)] * 6)
         weights = [index.weights(t, c) for t, c in vectors]
         term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
         example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
@@ -101,12 +133,14 @@ class Index:
         first = np.flatnonzero(np.diff(key, prepend=-1))
         index.block, index.largest = index.example[first] // BLOCK, np.maximum.reduceat(index.weight, first) if len(first) else weight
         index.posting_of_entry = np.append(first, len(term))
-        index.entry_of_term = np.searchsorted(term[first], np.arange(len(terms) + 1))
+        index.entry_of_term = np.searchsorted(term[first], np.arange(len(df) + 1))
+        for name in ("example", "block", "posting_of_entry", "entry_of_term"):
+            setattr(index, name, getattr(index, name).astype(np.int32))
+        index.weight, index.largest = index.weight.astype(np.float32), index.largest.astype(np.float32)
         return index
 
     def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        known = np.fromiter(chain.from_iterable(map(self.numbers.__getitem__, words)), np.int64)
-        return np.unique(known, return_counts=True)
+        return self.numbers.vector(words)
 
     def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Unit vector of (1 + log count) * log(N / df)."""
@@ -119,11 +153,12 @@ class Index:
         at = ragged(begin, size)
         return np.bincount(self.example[at], np.repeat(weight, size) * self.weight[at], len(self.ids))
 
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine over 0, exactly; ties go to the first.
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, leave_out: int = -1, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of largest cosine over 0, and of `floor` at least, exactly; ties go to the first.
 
         The most that a block's examples can score is the sum of its entries' largest weights. The blocks that
-        promise most are scored first; of the others, only those that promise as much as the k-th so far.
+        promise most are scored first; of the others, only those that promise as much as the k-th so far. Blocks that
+        do not promise the floor are never scored.
         """
         if not len(terms):
             return np.zeros(0, np.int64), np.zeros(0)
@@ -133,18 +168,21 @@ class Index:
         promise = np.bincount(self.block[entries], weight * self.largest[entries], len(self.ids) // BLOCK + 1)
         early = np.zeros(len(promise), bool)
         early[np.argsort(-promise, kind="stable")[:FIRST_BLOCKS]] = True
+        early &= promise >= floor * (1 - SLACK)
+        if floor and not early.any():
+            return np.zeros(0, np.int64), np.zeros(0)
         chosen = early[self.block[entries]]
         score = self.scores(entries[chosen], weight[chosen])
         if leave_out >= 0:
             score[leave_out] = 0
-        least = np.partition(score, -k)[-k] if len(score) >= k else 0.0
-        chosen = (~early & (promise >= least * (1 - 1e-9)) & (promise > 0))[self.block[entries]]
+        least = max(floor, np.partition(score, -k)[-k] if len(score) >= k else 0.0)
+        chosen = (~early & (promise >= least * (1 - SLACK)) & (promise > 0))[self.block[entries]]
         if chosen.any():
             score += self.scores(entries[chosen], weight[chosen])
             if leave_out >= 0:
                 score[leave_out] = 0
         best = np.argsort(-score, kind="stable")[:k] if len(score) < 4 * k else _top(score, k)
-        best = best[score[best] > 0]
+        best = best[(score[best] > 0) & (score[best] >= floor * (1 - SLACK))]
         return best, np.minimum(score[best], 1.0)
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
@@ -155,78 +193,15 @@ class Index:
         return float((w * self.toxic[best]).sum() / w.sum())
 
 
-@dataclass
-class AllTerms:
-    """Cosines in all terms of the examples, for texts without a telling term: counts and idf as in Index, times the lift of
-    the term (label 1 among its examples against among all, with one example of the common share added)."""
-
-    numbers: TermNumbers
-    factor: np.ndarray  # idf and lift of each term; terms stand by falling df
-    ids: np.ndarray
-    toxic: np.ndarray
-    base: float  # vote where nothing is near
-    posting_of_term: np.ndarray
-    example: np.ndarray  # of each posting
-    weight: np.ndarray
-    dense: np.ndarray | None = None  # made in the task
-
-    @staticmethod
-    def of(terms: list[bytes], df: np.ndarray, positive: np.ndarray, ids: np.ndarray, toxic: np.ndarray, base: float,
-           sizes: np.ndarray, term: np.ndarray, count: np.ndarray) -> AllTerms:
-        """term, count: of all examples after each other, `sizes` of each; terms by falling df."""
-        share = float(toxic.mean()) if len(toxic) else 0.0
-        lift = (positive + share) / (df + 1) / share if share else np.ones(len(df))
-        factor = (np.log(max(1, len(ids)) / np.maximum(df, 1)) * lift).astype(np.float32)
-        example = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        weight = (1 + np.log(count.astype(np.float32))) * factor[term]
-        weight /= np.maximum(np.sqrt(np.bincount(example, weight * weight, len(sizes))), 1e-12).astype(np.float32)[example]
-        order = np.argsort(term, kind="stable")
-        first = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))])
-        return AllTerms(TermNumbers(dict(zip(terms, range(len(terms)), strict=True))), factor, ids, toxic, base, first, example[order], weight[order])
-
-    def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        known = np.fromiter(chain.from_iterable(map(self.numbers.__getitem__, words)), np.int64)
-        return np.unique(known, return_counts=True)
-
-    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave_out: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
-        """Vote, nearest examples and their cosines for each text, by its term numbers and counts; exact but for rounding."""
-        n, columns = len(self.ids), min(DENSE_TERMS, len(self.factor))
-        if self.dense is None:
-            self.dense = np.zeros((columns, n), np.float32)
-            size = np.diff(self.posting_of_term[:columns + 1])
-            self.dense[np.repeat(np.arange(columns), size), self.example[:int(size.sum())]] = self.weight[:int(size.sum())]
-        out = []
-        for low in range(0, len(vectors), AT_ONCE):
-            part = vectors[low:low + AT_ONCE]
-            frequent, rare = np.zeros((len(part), columns), np.float32), []
-            for row, (terms, counts) in zip(frequent, part, strict=True):
-                w = (1 + np.log(counts)) * self.factor[terms]
-                w /= max(np.linalg.norm(w), 1e-12)
-                cut = np.searchsorted(terms, columns)
-                row[terms[:cut]] = w[:cut]
-                rare.append((terms[cut:], w[cut:]))
-            scores = frequent @ self.dense
-            for k, (score, (terms, w)) in enumerate(zip(scores, rare, strict=True)):
-                begin = self.posting_of_term[terms]
-                size = self.posting_of_term[terms + 1] - begin
-                at = ragged(begin, size)
-                score = score + np.bincount(self.example[at], np.repeat(w, size) * self.weight[at], n)
-                if leave_out is not None:
-                    score[leave_out[low + k]] = 0
-                best = _top(score, NEIGHBOURS) if len(score) >= NEIGHBOURS else np.argsort(-score, kind="stable")
-                best = best[score[best] > 0]
-                cosine = np.minimum(score[best], 1.0)
-                w = 1 / (SMOOTH_ALL + 1 - cosine)
-                out.append((float((w * self.toxic[best]).sum() / w.sum()) if len(best) else self.base, best, cosine))
-        return out
-
-
 def _top(score: np.ndarray, k: int) -> np.ndarray:
     least = np.partition(score, -k)[-k]
     near = np.flatnonzero(score >= least)
     return near[np.argsort(-score[near], kind="stable")[:k]]
 
 
+EXAMPLE = "doc_id bigint, toxic int, terms array<binary>, counts array<int>, words array<bigint>, word_counts array<int>"
+
+
 def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Non-decreasing label shares by votes (pool adjacent violators, a count of 1/2 added on both sides)."""
     order = np.argsort(votes, kind="stable")
@@ -250,12 +225,12 @@ def likelihood_ratio(df: Column, toxic: Column, n: int, positive: int) -> Column
                 + part(positive - toxic, rest, positive) + part(rest - positive + toxic, rest, n - positive))
 
 
-def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
+def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example_words: int = EXAMPLE_WORDS):
     """Index of labelled examples, all their terms, and a calibration for each of the two, from training folds only.
 
     The sample is bounded by `examples` and chosen by a hash of the id, so both classes stand in it as they occur.
     Vectors hold the terms that speak for the label: nearness in the words of a topic or language says little about it.
-    Texts without such a term, at a label share of a half or more all of them, have vectors of all terms instead.
+    Texts without such a term, at a label share of a half or more all of them, are looked up by all words, for copies.
     Votes of the examples, each without itself, give the calibrations.
     """
     own = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT_FOLD))
@@ -270,11 +245,18 @@ def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
                 for term in terms_of(word):
                     counts[term] += n
             found.append(counts)
+        hashed = [word_counts(words_of(text)) for text in texts(batch, "text")]
         return {"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"),
-                "terms": [list(c) for c in found], "counts": [list(c.values()) for c in found]}
-
-    rows = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").dropDuplicates(["doc_id"])
-    sample = stored(map_rows(rows.select("doc_id", "toxic", "text"), counted, "doc_id bigint, toxic int, terms array<binary>, counts array<int>"), "toxic-examples")
+                "terms": [list(c) for c in found], "counts": [list(c.values()) for c in found],
+                "words": [h for h, _ in hashed], "word_counts": [c for _, c in hashed]}
+
+    # Of several texts under one id the least is the example, so that runs agree.
+    rows = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sample = stored(map_rows(rows.select("doc_id", "toxic", "text"), counted, EXAMPLE), "toxic-examples")
+    drawn = sample.select(F.xxhash64("doc_id").alias("draw"), "doc_id", F.size("words").alias("n")).toArrow().sort_by([("draw", "ascending"), ("doc_id", "ascending")])
+    if (pc.sum(drawn["n"]).as_py() or 0) > example_words:
+        last = drawn.slice(max(0, int(np.searchsorted(np.cumsum(drawn["n"].to_numpy()), example_words, side="right")) - 1), 1).to_pylist()[0]
+        sample = sample.filter((F.xxhash64("doc_id") < last["draw"]) | (F.xxhash64("doc_id") == last["draw"]) & (F.col("doc_id") <= last["doc_id"]))
     n, positive = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     share = positive / n if n else 0.0
     seen = (sample.select("toxic", F.explode("terms").alias("term")).groupBy("term")
@@ -299,35 +281,28 @@ def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES):
     index = Index.of(terms, np.array([r.df for r in telling], np.float64), ids, toxic, pairs)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    every = seen.orderBy(F.desc("df"), "term").toArrow()
-    all_terms = every["term"].to_pylist()
-    sent = docs.sparkSession.sparkContext.broadcast(dict(zip(all_terms, range(len(all_terms)), strict=True)))
-    whole = map_rows(sample, lambda batch: numbered(batch, sent), "doc_id bigint, toxic int, terms array<int>, counts array<int>").toArrow().sort_by("doc_id").combine_chunks()
-    flat = {c: pc.list_flatten(whole[c]).to_numpy().astype(np.int32) for c in ("terms", "counts")}
-    untold = np.array([not len(t) for t, _ in pairs], bool)
-    shared_all = docs.sparkSession.sparkContext.broadcast(AllTerms.of(
-        all_terms, every["df"].to_numpy(), every["toxic"].to_numpy(), ids, toxic, float(toxic[untold].mean()) if untold.any() else 0.0,
-        pc.list_value_length(whole["terms"]).to_numpy(), flat["terms"], flat["counts"]))
-    del whole, flat
+    whole = sample.select("doc_id", "words", "word_counts").toArrow().sort_by("doc_id").combine_chunks()
+    hashes, number, df = np.unique(pc.list_flatten(whole["words"]).to_numpy(), return_inverse=True, return_counts=True)
+    ends = np.cumsum(pc.list_value_length(whole["words"]).to_numpy())[:-1]
+    every = [(t, c) for t, c in zip(np.split(number, ends), np.split(pc.list_flatten(whole["word_counts"]).to_numpy(), ends), strict=True)] if len(ids) else []
+    shared_all = docs.sparkSession.sparkContext.broadcast(Index.built(WordNumbers(hashes), df.astype(np.float64), ids, toxic, every))
+    del whole, every
 
     def own_votes(batch: pa.RecordBatch) -> dict:
         model, other = shared.value, shared_all.value
         ids = batch.column("doc_id").to_pylist()
         at = np.searchsorted(model.ids, ids).tolist()
         votes: list[float] = []
-        told, left = [], []
-        for k, ts, cs in zip(at, batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+        told = []
+        for k, ts, cs, hs, ns in zip(at, *(batch.column(c).to_pylist() for c in ("terms", "counts", "words", "word_counts")), strict=True):
             known = [(model.numbers.terms[t], c) for t, c in zip(ts, cs, strict=True) if t in model.numbers.terms]
             told.append(bool(known))
             if known:
                 t, c = np.array(sorted(known), np.int64).reshape(-1, 2).T
                 votes.append(model.vote(*model.nearest(t, c, NEIGHBOURS, leave_out=k)))
             else:
-                t, c = np.array(sorted((other.numbers.terms[t], c) for t, c in zip(ts, cs, strict=True)), np.int64).reshape(-1, 2).T
-                left.append((len(votes), k, (t, c)))
-                votes.append(0.0)
-        for (place, _, _), (vote, _, _) in zip(left, other.votes([v for _, _, v in left], [k for _, k, _ in left]), strict=True):
-            votes[place] = vote
+                terms = np.searchsorted(other.numbers.hashes, np.array(hs, np.int64))
+                votes.append(other.vote(*other.nearest(terms, np.array(ns, np.int64), NEIGHBOURS, leave_out=k, floor=NEAR)))
         return {"doc_id": ids, "vote": votes, "toxic": batch.column("toxic"), "told": told}
 
     votes = map_rows(sample, own_votes, "doc_id bigint, vote double, toxic int, told boolean").toArrow().sort_by("doc_id")
@@ -339,9 +314,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_co
     """Calibrated toxicity of each document, with its nearest labelled examples.
 
     Only the text enters a score. Rows whose crc32(doc_id) modulo 4 is 2 teach nothing (held_out). Texts without a
-    telling term are scored by all terms and calibrated on the examples without one, whose share null and empty texts
-    get; without any labelled example every score is 0. Repeated rows are scored alike; a null id is folded like the
-    empty text; other columns are not read.
+    telling term are looked up by all their words, for examples of a cosine of NEAR at least, and calibrated on the
+    examples without such a term; null and empty texts have no neighbours. Without any labelled example every score is
+    0. Of several texts under one labelled id the least is the example; repeated rows are scored alike; a null id is
+    folded like the empty text; other columns are not read.
     """
     rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
     shared, shared_all, steps = fitted(rows, labels, examples)
@@ -349,18 +325,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_co
     def run(batch: pa.RecordBatch) -> dict:
         model, other = shared.value, shared_all.value
         found: list = []
-        left = []
         for text in texts(batch, "text"):
             words = words_of(text)
             terms, counts = model.vector(words)
-            if len(terms) or not len(model.ids):
-                best, cosine = model.nearest(terms, counts, NEIGHBOURS)
-                found.append((model.vote(best, cosine), best, cosine, True))
-            else:
-                left.append((len(found), other.vector(words)))
-                found.append(None)
-        for (place, _), votes in zip(left, other.votes([v for _, v in left]) if left else [], strict=True):
-            found[place] = (*votes, False)
+            told = bool(len(terms)) or not len(model.ids)
+            best, cosine = model.nearest(terms, counts, NEIGHBOURS) if told else other.nearest(*other.vector(words), NEIGHBOURS, floor=NEAR)
+            found.append(((model if told else other).vote(best, cosine), best, cosine, told))
         out: dict[str, list] = {"score": [], "predicted": [], "vote": [], "evidence": []}
         for vote, best, cosine, told in found:
             votes, shares = steps[told]

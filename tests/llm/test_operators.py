@@ -250,19 +250,28 @@ def test_toxicity_without_telling_terms(spark, share):
     assert got[9999].evidence == [] and got[9998].score == got[9999].score
 
 
-def test_all_terms_are_exact(monkeypatch):
+@pytest.mark.parametrize("floor", [0.1, 0.3, 0.9])
+def test_examples_above_a_floor_are_exact(floor):
     r = np.random.default_rng(2)
-    dense = np.where(r.random((200, 90)) < r.random(90) * 0.4, r.integers(1, 5, (200, 90)), 0)
-    dense = dense[:, np.argsort(-(dense > 0).sum(axis=0), kind="stable")]
-    df, toxic = (dense > 0).sum(axis=0).astype(float), r.integers(0, 2, 200)
-    at = np.nonzero(dense)
-    monkeypatch.setattr(toxicity, "DENSE_TERMS", 20)
-    model = toxicity.AllTerms.of([str(k).encode() for k in range(90)], df, ((dense > 0) * toxic[:, None]).sum(axis=0).astype(float), np.arange(200),
-                                 toxic, 0.5, (dense > 0).sum(axis=1), at[1].astype(np.int32), dense[at].astype(np.int32))
-    weights = np.where(dense > 0, 1 + np.log(np.maximum(dense, 1)), 0) * model.factor
-    weights /= np.linalg.norm(weights, axis=1, keepdims=True)
-    for k, (_, best, cosine) in enumerate(model.votes([(np.flatnonzero(d), d[d > 0]) for d in dense])):
-        assert best[0] == k and np.allclose(np.sort(weights @ weights[k])[::-1][:len(best)], cosine, atol=1e-5)
+    texts = [[f"w{x}".encode() for x in r.zipf(1.4, 40) if x < 400] for _ in range(300)]
+    texts += [t[:-3] + [b"other"] for t in texts[:60]]
+    pairs = [toxicity.word_counts(t) for t in texts]
+    hashes, df = np.unique(np.concatenate([h for h, _ in pairs]), return_counts=True)
+    index = toxicity.Index.built(toxicity.WordNumbers(hashes), df.astype(float), np.arange(len(texts)), r.integers(0, 2, len(texts)),
+                                 [index_vector for index_vector in (toxicity.WordNumbers(hashes).vector(t) for t in texts)])
+    dense = np.zeros((len(texts), len(hashes)))
+    for k, t in enumerate(texts):
+        at, counts = index.vector(t + [b"not a word of the index"])
+        dense[k, at] = index.weights(at, counts)
+    found = 0
+    for k, t in enumerate(texts):
+        best, cosine = index.nearest(*index.vector(t), 31, leave_out=k, floor=floor)
+        exact = dense @ dense[k]
+        exact[k] = 0
+        want = np.sort(exact[exact >= floor])[::-1][:31]
+        assert np.allclose(want, cosine, atol=1e-4) and (exact[best] >= floor - 1e-4).all()
+        found += len(best)
+    assert found >= 60
 
 
 def test_likelihood_ratio(spark):

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
@@ -24,9 +25,9 @@ DICTIONARY_FRAME = 0x184D2A5D
 PLAIN_FRAME = 0xFD2FB528
 
 DICTIONARY_BYTES = 32 << 10
-#: Records at a file's start that train its dictionary, up to so many bytes of so many bytes each.
+#: Pieces of so many bytes train a file's dictionary, so many bytes in all, drawn evenly from all of its records.
 SAMPLE_BYTES = 1 << 20
-SAMPLE_RECORD_BYTES = 8 << 10
+PIECE_BYTES = 4 << 10
 #: A file is closed once it holds this much, so that one reader gets through it in good time.
 FILE_BYTES = 64 << 20
 LEVEL = 3
@@ -85,15 +86,18 @@ class Record:
 
 
 def train(records: list[bytes]) -> bytes:
-    """A dictionary of the first records; too few or too uniform ones give their own bytes as the dictionary."""
-    samples, size = [], 0
-    for r in records:
-        if size > SAMPLE_BYTES:
-            break
-        samples.append(r[:SAMPLE_RECORD_BYTES])
-        size += len(samples[-1])
+    """A dictionary of pieces from all places of all records; too few or too uniform ones give their own bytes as the dictionary.
+
+    The records stand in a row, and a piece begins at every so many bytes of it: long records give many, from their
+    beginnings, middles and ends.
+    """
+    ends = np.cumsum([len(r) for r in records])
+    size = int(ends[-1]) if len(records) else 0
+    places = np.arange(0, size, max(PIECE_BYTES, -(-size * PIECE_BYTES // SAMPLE_BYTES)))
+    which = np.searchsorted(ends, places, side="right")
+    samples = [records[k][at:at + PIECE_BYTES] for k, at in zip(which.tolist(), (places - (ends - [len(r) for r in records])[which]).tolist(), strict=True)]
     try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, size // 8)), samples, level=LEVEL).as_bytes()
+        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, sum(map(len, samples)) // 8)), samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-DICTIONARY_BYTES:]
 
@@ -201,7 +205,9 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return files.repartition("path").mapInArrow(over, RECORDS)
+    # A number of tasks of its own: the list of files is short, and adaptive plans would read them all in one.
+    tasks = min(files.count(), 16 * files.sparkSession.sparkContext.defaultParallelism)
+    return files.repartition(max(1, tasks), "path").mapInArrow(over, RECORDS)
 
 
 def archived(pages: DataFrame, folder: str, least_revisit_bytes: int = LEAST_REVISIT_BYTES, id_column: str = "page_id",

@@ -8,15 +8,14 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourvault.llm.common import map_rows, stored, texts
 from hourvault.llm.registry import query, table
 
-#: Labelled documents that train the text model, chosen by a hash of their id, and the most languages it tells apart.
-TRAINING_DOCUMENTS = 16_384
-LANGUAGES = 64
+#: Labelled documents of each language that train the text model, chosen by a hash of their id.
+TRAINING_DOCUMENTS = 4096
 #: Byte trigrams are counted in so many bins.
 BINS = 1 << 14
 #: Trigrams overlap and repeat: a text counts as no more independent evidence than this many of them.
@@ -61,13 +60,16 @@ def trigram_counts(text: str) -> np.ndarray:
 
 
 def text_model(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> tuple[list[str], np.ndarray]:
-    """Languages and their log shares of trigram bins (one added), from labelled documents.
+    """Languages and their log shares of trigram bins (one added), from so many labelled documents of each.
 
-    The driver gets one sum for each language and bin, whatever the number of documents.
+    Every language with a labelled document is told apart. The driver gets one sum for each language and bin, whatever
+    the number of documents.
     """
     labelled = docs.filter("lang IS NOT NULL AND lang <> '' AND text IS NOT NULL")
-    chosen = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents).distinct()
-    rows = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = (labelled.select("doc_id", "lang").distinct().withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= documents)
+              .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")))
+    rows = labelled.select("doc_id", "lang", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
 
     def over(batches):
         for batch in batches:
@@ -81,12 +83,11 @@ def text_model(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> tuple[li
 
     counted = rows.mapInArrow(over, "lang string, bin bigint, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     counted = stored(counted, "language-bins")
-    languages = sorted(r.lang for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
+    sums = counted.toArrow()
+    languages, row = np.unique(np.array(sums["lang"].to_pylist(), object).astype(str), return_inverse=True)
     shares = np.ones((len(languages), BINS))
-    at = {lang: k for k, lang in enumerate(languages)}
-    for r in counted.filter(F.col("lang").isin(languages)).toLocalIterator():
-        shares[at[r.lang], r.bin] += r.n
-    return languages, np.log(shares / shares.sum(axis=1, keepdims=True))
+    shares[row, sums["bin"].to_numpy()] += sums["n"].to_numpy()
+    return languages.tolist(), np.log(shares / shares.sum(axis=1, keepdims=True))
 
 
 def page_signals(pages: DataFrame, model: np.ndarray) -> DataFrame:
@@ -112,9 +113,11 @@ def page_signals(pages: DataFrame, model: np.ndarray) -> DataFrame:
 
 def _votes(signals: DataFrame, key: str, n: int) -> DataFrame:
     """Votes by language for each value of a column: a grouped count of one row for each value and language first."""
-    pairs = signals.groupBy(key, "vote").agg(F.count(F.lit(1)).alias("n"))
-    return pairs.groupBy(F.col(key).alias(f"_{key}")).agg(
-        F.array(*[F.sum(F.when(F.col("vote") == k, F.col("n")).otherwise(0)).cast("double") for k in range(n)]).alias(f"{key}_votes"))
+    pairs = signals.groupBy(key, "vote").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    cast = pairs.groupBy(F.col(key).alias(f"_{key}")).agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("vote").isNotNull(), F.struct("vote", "n")))).alias("_cast"))
+    every = F.sequence(F.lit(0), F.lit(n - 1))
+    return cast.select(f"_{key}", F.transform(every, lambda k: F.coalesce(F.try_element_at("_cast", k), F.lit(0.0))).alias(f"{key}_votes"))
 
 
 def _total(votes: Column) -> Column:
@@ -141,18 +144,17 @@ def page_languages(pages: DataFrame, docs: DataFrame, documents: int = TRAINING_
     if not n:
         return signals.select("page_id", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("probability"),
                               F.lit(None).cast("string").alias("text_lang"), "declared", "suffix", "host")
-    names = F.array(*[F.lit(x) for x in languages])
+    names = F.lit(languages)
     everywhere = signals.groupBy("vote").agg(F.count(F.lit(1)).alias("n")).collect()
     votes = np.zeros(n)
     for r in everywhere:
         if r.vote is not None:
             votes[r.vote] = r.n
-    whole = F.array(*[F.lit(float(x)) for x in (votes + 1) / (votes.sum() + n)])
-    of_language = F.array(*[F.lit(float(x)) for x in votes])
+    whole, of_language = F.lit(((votes + 1) / (votes.sum() + n)).tolist()), F.lit(votes.tolist())
     for key in ("declared", "suffix", "domain", "host"):
         side = _votes(signals.select(key, "vote"), key, n)
         signals = signals.join(side, F.col(key) == F.col(f"_{key}"), "left").drop(f"_{key}")
-    own = F.array(*[F.when(F.col("vote") == k, 1.0).otherwise(0.0) for k in range(n)])
+    own = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.when(F.col("vote") == k, 1.0).otherwise(0.0))
 
     def level(votes: str, above: Column) -> Column:
         others = F.zip_with(votes, own, lambda v, o: v - o)

@@ -7,6 +7,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from hourvault.llm.common import map_rows, texts
@@ -24,9 +25,15 @@ MAX_MARKED_PERCENT = 30
 MAX_MENU_WORDS = 8
 #: A document goes if less of its word characters than this is left.
 MIN_KEPT_PERCENT = 50
+# Marks that end a sentence in scripts other than Latin, and scripts that are written without spaces.
+SENTENCE_ENDS = "。！？｡؟۔।॥։።…"
+UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+#: In such scripts so many characters count as a word.
+UNSPACED_WORD = 2
 #: Phrases of page furniture, in lower case.
 BOILERPLATE = [b"all rights reserved", b"cookie policy", b"privacy policy", b"terms of use", b"terms of service",
                b"enable javascript", b"lorem ipsum", b"click here", b"skip to content", b"sign in to", b"subscribe to our"]
+_ENDS, _UNSPACED = regex.compile(f"[{SENTENCE_ENDS}]"), regex.compile(UNSPACED)
 BASE = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean"
 RESULT = f"doc_id bigint, {BASE}, kept boolean, n_lines bigint, n_bad_lines bigint, kept_chars bigint"
 
@@ -65,7 +72,9 @@ def bad_line(line: bytes) -> bool:
     if b"!!" in line and 100 * sum(1 for w in words if w.endswith(b"!!")) > MAX_MARKED_PERCENT * n:
         return True
     if n <= MAX_MENU_WORDS and not (b"." in line or b"!" in line or b"?" in line or words[-1].endswith((b":", b";", b","))):
-        return True
+        text = "" if line.isascii() else line.decode("utf-8", "replace")
+        if not _ENDS.search(text) and len(_UNSPACED.findall(text)) <= UNSPACED_WORD * MAX_MENU_WORDS:
+            return True
     low = line.lower()
     return any(phrase in low for phrase in BOILERPLATE)
 
@@ -112,7 +121,8 @@ def line_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 def clean_documents(docs: DataFrame, text_column: str = "text", length_column: str | None = "n_chars") -> DataFrame:
     """Kept documents without their failed lines, in the columns of `docs`; `length_column` follows the text if present.
 
-    A document all of whose lines pass comes through unchanged.
+    A document all of whose lines pass comes through unchanged. Null and empty texts have no words and go; repeated rows
+    are judged alike, null ids stay null, an empty table gives no rows.
     """
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [cleaned(t) for t in texts(batch, text_column)]
@@ -148,7 +158,8 @@ lw AS (SELECT *, regexp_extract_all(line, '{WORD}') AS lws,
          row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS dup FROM ln WHERE regexp_matches(line, '{WORD}')),
 lb AS (SELECT r, dup, sum_chars, dup
            OR 100 * marked > {MAX_MARKED_PERCENT} * n OR 100 * loud > {MAX_MARKED_PERCENT} * n
-           OR (n <= {MAX_MENU_WORDS} AND NOT regexp_matches(line, '[.!?]') AND NOT regexp_matches(lws[-1], '[:;,]$'))
+           OR (n <= {MAX_MENU_WORDS} AND NOT regexp_matches(line, '[.!?{SENTENCE_ENDS}]') AND NOT regexp_matches(lws[-1], '[:;,]$')
+               AND len(regexp_extract_all(line, '{UNSPACED}')) <= {UNSPACED_WORD * MAX_MENU_WORDS})
            OR regexp_matches(translate(line, '{_LATIN[0]}', '{_LATIN[1]}'), '{_PHRASES}') AS bad
        FROM (SELECT *, len(lws) AS n, len(list_filter(lws, lambda x: regexp_matches(x, '[#*$%&|<>]'))) AS marked,
                len(list_filter(lws, lambda x: x[-2:] = '!!')) AS loud, length(array_to_string(lws, '')) AS sum_chars FROM lw)),

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourvault.operators.density import density_clusters
 from hourvault.operators.features import as_points
+from hourvault.operators.hierarchy import LEAVES, ward
 from hourvault.operators.scores import evaluate
 
 # Parameters of the standard sweeps.
@@ -28,9 +29,9 @@ def kmeans(points: DataFrame, k: int = KMEANS_K, seed: int = SEED) -> tuple[Data
     return model.transform(points), model
 
 
-def hierarchical(points: DataFrame, k: int, seed: int = SEED) -> DataFrame:
-    """Points clustered by repeated splitting: a hierarchy that needs no distance between all pairs of points."""
-    return BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(points).transform(points)
+def hierarchical(points: DataFrame, k: int, leaves: int = LEAVES) -> DataFrame:
+    """Points clustered from the bottom up (Ward) into k clusters, over at most `leaves` clustering features."""
+    return ward(points, leaves).transform(points, {"cluster": k})
 
 
 def _scored(labelled: DataFrame, model: str, params: dict, noise: str) -> DataFrame:
@@ -45,11 +46,12 @@ def kmeans_sweep(points: DataFrame, ks=SWEEP_K, seed: int = SEED, noise: str = "
     return reduce(DataFrame.unionByName, rows)
 
 
-def hierarchical_sweep(points: DataFrame, ks=SWEEP_K, seed: int = SEED, noise: str = "score") -> DataFrame:
-    """One row of scores per k."""
-    points = points.persist()
-    rows = [_scored(hierarchical(points, k, seed), "Hierarchical", {"k": k}, noise) for k in ks]
-    points.unpersist()
+def hierarchical_sweep(points: DataFrame, ks=SWEEP_K, leaves: int = LEAVES, noise: str = "score") -> DataFrame:
+    """One row of scores per k, all cut from one hierarchy."""
+    names = {f"_cluster_{k}": k for k in ks}
+    labelled = ward(points, leaves).transform(points, names).persist()
+    rows = [_scored(labelled.select("features", F.col(name).alias("cluster")), "Hierarchical", {"k": k}, noise) for name, k in names.items()]
+    labelled.unpersist()
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -6,11 +6,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from hourvault.operators import clustering as c
-from hourvault.operators import scores
+from hourvault.operators import distances, scores
 from hourvault.operators.density import density_clusters
 from hourvault.operators.features import (
     as_points, feature_table, join_datasets, mean_per_key, merged_features, numeric_columns, sample_rows, scaled)
 from hourvault.operators.gold import repo_metrics
+from hourvault.operators.hierarchy import ward
 from hourvault.session import shared_dir
 from hourvault.sources.sinks import write_centroids
 from hourvault.sources.tables import read_dataset
@@ -107,6 +108,22 @@ def silhouette(spark, sf_dir):
     return spark.createDataFrame([(round(scores.silhouette(points), 6),)], "silhouette double")
 
 
+PLAIN_SQL = """
+WITH v AS (SELECT vec_id, label, embedding::DOUBLE[64] AS x FROM embeddings),
+m AS (SELECT a.vec_id, a.label, b.label AS other, sum(array_distance(a.x, b.x)) AS total, count(*) AS n FROM v a, v b GROUP BY ALL),
+s AS (SELECT vec_id, label, sum(CASE WHEN other = label THEN total / nullif(n - 1, 0) END) AS own, min(CASE WHEN other <> label THEN total / n END) AS near FROM m GROUP BY 1, 2),
+p AS (SELECT label, CASE WHEN own IS NULL THEN 0 ELSE (near - own) / greatest(own, near) END AS s FROM s)
+"""
+
+
+@query("silhouette_exact", PLAIN_SQL + """
+SELECT label AS cluster, count(*) AS points, round(avg(s), 6) AS silhouette FROM p GROUP BY 1 UNION ALL SELECT NULL, count(*), round(avg(s), 6) FROM p""")
+def silhouette_exact(spark, sf_dir):
+    """Plain silhouette of each cluster and (null) of all points."""
+    found = distances.point_silhouettes(labelled_embeddings(spark, sf_dir))
+    return found.rollup("cluster").agg(F.count(F.lit(1)).alias("points"), F.round(F.avg("silhouette"), 6).alias("silhouette"))
+
+
 @query("calinski_harabasz", VECTORS_SQL + """
 , k AS (SELECT count(DISTINCT label) AS k, count(*) AS n FROM v),
 g AS (SELECT dim, avg(x) AS g FROM d GROUP BY 1),
@@ -150,10 +167,26 @@ def profile(spark, sf_dir):
     return rows.withColumn("c_acctbal", F.round("c_acctbal", 6))
 
 
-@query("kmeans", None)
+def separated_customers(spark, sf_dir):
+    """Customers in five places far apart, at small distances around them: any sound clustering finds the places."""
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", (F.col("c_custkey") % 5 * 1000 + F.col("c_acctbal") / 1000).alias("x"),
+        (F.col("c_custkey") % 5 % 2 * 1000 + F.col("c_nationkey") / 10).alias("y"))
+    return as_points(rows, "c_custkey")
+
+
+def by_first_key(labelled):
+    """Clusters named by their smallest key: c_custkey, cluster."""
+    names = labelled.groupBy("cluster").agg(F.min("c_custkey").alias("first_key"))
+    return labelled.select("c_custkey", "cluster").join(names, "cluster").select("c_custkey", F.col("first_key").alias("cluster"))
+
+
+PLACES_SQL = "SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_custkey % 5) AS cluster FROM customer"
+
+
+@query("kmeans", PLACES_SQL)
 def kmeans(spark, sf_dir):
-    labelled, _ = c.kmeans(as_points(order_features(spark, sf_dir), "o_custkey"))
-    return labelled.select("o_custkey", "cluster")
+    return by_first_key(c.kmeans(separated_customers(spark, sf_dir))[0])
 
 
 @query("kmeans_repositories", None)
@@ -173,9 +206,38 @@ def hierarchical_sweep(spark, sf_dir):
     return c.hierarchical_sweep(as_points(order_features(spark, sf_dir), "o_custkey"))
 
 
-@query("hierarchical", None)
+@query("hierarchical", PLACES_SQL)
 def hierarchical(spark, sf_dir):
-    return c.hierarchical(as_points(order_features(spark, sf_dir), "o_custkey"), 5).groupBy("cluster").agg(F.count("*").alias("size"))
+    return by_first_key(c.hierarchical(separated_customers(spark, sf_dir), 5))
+
+
+# Ward's merges one at a time: a row holds all clusters of a step.
+WARD_SQL = """
+WITH RECURSIVE f AS (SELECT c_nationkey AS id, avg(c_acctbal) AS x, count(*) AS y FROM customer GROUP BY 1),
+p AS (SELECT id, (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS y FROM f),
+s AS (SELECT count(*) AS k, list({'ids': [id], 'n': 1::DOUBLE, 'x': x, 'y': y} ORDER BY id) AS c FROM p
+  UNION ALL
+  SELECT k - 1, list_concat(list_filter(c, lambda e, i: i <> b.i AND i <> b.j),
+           [{'ids': list_concat(c[b.i].ids, c[b.j].ids), 'n': c[b.i].n + c[b.j].n, 'x': c[b.i].x + c[b.j].x, 'y': c[b.i].y + c[b.j].y}])
+  FROM (SELECT k, c, list_min(flatten(list_transform(range(1, len(c) + 1), lambda i: list_transform(range(i + 1, len(c) + 1), lambda j:
+          {'d': c[i].n * c[j].n / (c[i].n + c[j].n) * ((c[i].x / c[i].n - c[j].x / c[j].n) ** 2 + (c[i].y / c[i].n - c[j].y / c[j].n) ** 2),
+           'i': i, 'j': j})))) AS b FROM s WHERE k > 2)),
+l AS (SELECT k, unnest(c).ids AS ids FROM s WHERE k BETWEEN 2 AND 10)
+SELECT CAST(k AS INTEGER) AS k, unnest(ids) AS c_nationkey, list_min(ids) AS cluster FROM l
+"""
+
+
+@query("hierarchy_of_nations", WARD_SQL)
+def hierarchy_of_nations(spark, sf_dir):
+    """The hierarchy cut into 2 to 10 clusters, each named by its smallest nation."""
+    rows = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("balance"), F.count("*").alias("customers"))
+    points = as_points(feature_table(rows, "c_nationkey", percent=None), "c_nationkey")
+    names = {f"k{k}": k for k in c.SWEEP_K}
+    labelled = ward(points).transform(points, names)
+    labelled = labelled.select("c_nationkey", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(n).alias("part")) for n, k in names.items()])).alias("cut")).select(
+        "c_nationkey", "cut.*")
+    first = labelled.groupBy("k", "part").agg(F.min("c_nationkey").alias("cluster"))
+    return labelled.join(first, ["k", "part"]).select("k", "c_nationkey", "cluster")
 
 
 @query("best_model", """
@@ -196,23 +258,52 @@ def best_model(spark, sf_dir):
     return c.best_models(given.unionByName(other), 1).select("model", "params", "n_clusters", F.round("silhouette", 6).alias("silhouette"))
 
 
-@query("run_record", None)
+# Five places far apart: the scores of the clustering that finds them.
+SCORES_SQL = """
+WITH f AS (SELECT c_custkey AS id, c_custkey % 5 AS place, c_custkey % 5 * 1000 + c_acctbal / 1000 AS x, c_custkey % 5 % 2 * 1000 + c_nationkey / 10 AS y FROM customer),
+a AS (SELECT avg(x) AS x, avg(y) AS y, count(*) AS n FROM f),
+c AS (SELECT place, avg(x) AS x, avg(y) AS y, count(*) AS n FROM f GROUP BY 1),
+w AS (SELECT place, sum((f.x - c.x) ** 2 + (f.y - c.y) ** 2) AS w, avg(sqrt((f.x - c.x) ** 2 + (f.y - c.y) ** 2)) AS s FROM f JOIN c USING (place) GROUP BY 1),
+ch AS (SELECT sum(c.n * ((c.x - a.x) ** 2 + (c.y - a.y) ** 2)) / 4 / ((SELECT sum(w) FROM w) / (max(a.n) - 5)) AS calinski FROM c, a),
+db AS (SELECT avg(worst) AS davies FROM (SELECT p.place, max((v.s + u.s) / sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2)) AS worst
+       FROM c p JOIN c q ON p.place <> q.place JOIN w v ON v.place = p.place JOIN w u ON u.place = q.place GROUP BY 1)),
+m AS (SELECT f.id, f.place, c.place AS other, c.n * ((f.x - c.x) ** 2 + (f.y - c.y) ** 2) + w.w AS total, c.n FROM f, c JOIN w ON w.place = c.place),
+sil AS (SELECT avg((near - own) / greatest(own, near)) AS silhouette FROM (
+       SELECT id, sum(CASE WHEN other = place THEN total / (n - 1) END) AS own, min(CASE WHEN other <> place THEN total / n END) AS near FROM m GROUP BY 1))
+"""
+
+
+@query("run_record", SCORES_SQL + """
+SELECT '{"k": 5}' AS params, 'KMeans' AS model_type, round(silhouette, 5) AS silhouette, round(calinski / 1e6, 4) AS calinski, round(davies, 5) AS davies FROM sil, ch, db, range(2)""")
 def run_record(spark, sf_dir):
+    """The best of two clusterings, stored by two runs and read back."""
     path = shared_dir(spark, "runs")
-    labelled, _ = c.kmeans(as_points(order_features(spark, sf_dir), "o_custkey"), 3)
-    scored = scores.evaluate(labelled).select(F.lit("KMeans").alias("model"), F.lit('{"k": 3}').alias("params"), "*")
+    points = separated_customers(spark, sf_dir)
+    scored = c.kmeans_sweep(points, ks=(3, 5)).persist()
     for _ in range(2):
         c.append_run(scored, path)
-    return spark.read.parquet(path).drop("recorded_at")
+    scored.unpersist()
+    return spark.read.parquet(path).select("params", "model_type", F.round("silhouette", 5).alias("silhouette"),
+                                           F.round(F.col("calinski") / 1e6, 4).alias("calinski"), F.round("davies", 5).alias("davies"))
+
+
+@query("best_of_sweeps", SCORES_SQL + """
+SELECT model, '{"k": 5}' AS params, 5 AS n_clusters, round(silhouette, 5) AS silhouette FROM sil, (VALUES ('KMeans'), ('Hierarchical')) v(model)""")
+def best_of_sweeps(spark, sf_dir):
+    """The best number of clusters, 2 to 10, of both methods: both find the places."""
+    points = separated_customers(spark, sf_dir)
+    best = [c.best_models(sweep(points), 1) for sweep in (c.kmeans_sweep, c.hierarchical_sweep)]
+    return best[0].unionByName(best[1]).select("model", "params", "n_clusters", F.round("silhouette", 5).alias("silhouette"))
 
 
-@query("centroid_file", None)
+@query("centroid_file", """
+SELECT round(avg(c_custkey % 5 * 1000 + c_acctbal / 1000), 6) AS x, round(avg(c_custkey % 5 % 2 * 1000 + c_nationkey / 10), 6) AS y FROM customer GROUP BY c_custkey % 5""")
 def centroid_file(spark, sf_dir):
     path = shared_dir(spark, "centroids")
-    features = order_features(spark, sf_dir)
-    _, model = c.kmeans(as_points(features, "o_custkey"))
-    write_centroids(c.centroids(model, [x for x in features.columns if x != "o_custkey"]), path)
-    return spark.read.option("header", True).schema("cluster int, orders double, spent double").csv(path)
+    _, model = c.kmeans(separated_customers(spark, sf_dir))
+    write_centroids(c.centroids(model, ["x", "y"]), path)
+    rows = spark.read.option("header", True).schema("cluster int, x double, y double").csv(path)
+    return rows.select(F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
 DENSITY_SQL = """

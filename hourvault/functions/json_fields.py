@@ -36,17 +36,15 @@ def canonical_hash(variant: str | Column) -> Column:
     return F.md5(F.to_json(variant))
 
 
+# JSON types of VARIANT types; all others are numbers.
+JSON_TYPES = {"VOID": "null", "STRING": "string", "BOOLEAN": "boolean", "OBJECT": "object", "ARRAY": "array"}
+
+
 def json_type(value: str | Column) -> Column:
-    """JSON type name of a VARIANT value; NULL when the value is absent."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(schema == "VOID", "null")
-        .when(schema == "STRING", "string")
-        .when(schema == "BOOLEAN", "boolean")
-        .when(schema.startswith("OBJECT"), "object")
-        .when(schema.startswith("ARRAY"), "array")
-        .when(schema.isNotNull(), "number")
-    )
+    """JSON type name of a VARIANT value; NULL when the value is absent. The value's type is asked for once."""
+    names = F.create_map(*[F.lit(x) for pair in JSON_TYPES.items() for x in pair])
+    kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]*", 0)
+    return F.transform(F.array(kind), lambda k: F.when(k.isNotNull(), F.coalesce(F.try_element_at(names, k), F.lit("number"))))[0]
 
 
 def is_object(value: str | Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from hourvault.functions.json_fields import is_object, json_type, leaf
 from hourvault.functions.times import file_time, hours_between
 
+# Limits of the validation.
 MIN_FILE_BYTES = 1000
 MAX_ERRORS_SHOWN = 20
 SAMPLE_EVENTS = 100
@@ -49,38 +51,46 @@ def first_lines(lines: DataFrame, n: int = SAMPLE_EVENTS, order: str = "line_id"
     return ranked.filter(F.col("_n") <= n).drop("_n")
 
 
-def _field(name: str) -> Column:
-    return F.try_variant_get("event", f"$['{name}']", "variant")
+RULE = "array<struct<field:string,problem:string,expected:string>>"
+
+
+def field_rules(required: list[str] | None = None, types: dict[str, str] | None = None) -> Column:
+    """Rules as one array of data: a field that must be there (`missing`), or must have a JSON type (`type`)."""
+    rules = [(n, "missing", None) for n in required or []] + [(n, "type", kind) for n, kind in (types or {}).items()]
+    return F.from_json(F.lit(json.dumps([dict(zip(("field", "problem", "expected"), r, strict=True)) for r in rules])), RULE)
+
+
+def broken_rules(event: str, rules: Column) -> Column:
+    """The rules that a document breaks, with the type found: array of (field, problem, expected, found).
+
+    The document's top level becomes a map once, and each rule looks its field up in it: the plan is the same for any
+    number of rules.
+    """
+    fields = F.try_variant_get(event, "$", "map<string,variant>")
+    looked_up = F.transform(rules, lambda r: F.struct(r["field"].alias("field"), r["problem"].alias("problem"), r["expected"].alias("expected"),
+                                                      json_type(F.try_element_at(fields, r["field"])).alias("found")))
+    return F.filter(looked_up, lambda r: F.when(r["problem"] == "missing", r["found"].isNull()).otherwise(
+        F.coalesce(r["found"] != r["expected"], F.lit(False))))
 
 
 def checked_lines(parsed: DataFrame, required: list[str] | None = None, types: dict[str, str] | None = None) -> DataFrame:
     """One narrow row per line with all that the file checks need.
 
     The raw text is read and parsed for this frame alone: store it once and
-    every check below is a scan of a few small columns. `errors` holds one
-    entry per rule, NULL for a rule that holds, and is NULL for a line without
-    errors.
+    every check below is a scan of a few small columns. `errors` holds the
+    rules that the line breaks, and is NULL for a line without errors.
     """
     def entity(name: str) -> Column:
         return F.when(is_object(F.try_variant_get("event", f"$.{name}", "variant")), leaf("event", f"$.{name}.id", "bigint"))
 
-    nothing = F.lit(None).cast("string")
-    rules = [F.when(_field(n).isNull(), F.struct(
-        F.lit(n).alias("field"), F.lit("missing").alias("problem"), nothing.alias("expected"), nothing.alias("found")))
-        for n in required or []]
-    for name, expected in (types or {}).items():
-        found = json_type(_field(name))
-        rules.append(F.when(found != expected, F.struct(
-            F.lit(name).alias("field"), F.lit("type").alias("problem"),
-            F.lit(expected).alias("expected"), found.alias("found"))))
     is_broken = F.col("event").isNull()
-    broken_rules = sum((r.isNotNull().cast("int") for r in rules), F.lit(0))
-    kind = "array<struct<field:string,problem:string,expected:string,found:string>>"
-    return parsed.select(
+    rows = parsed.select(
         *[c for c in ("file_path", "line_id") if c in parsed.columns], is_broken.alias("is_broken"),
         leaf("event", "$.type", "string").alias("event_type"), entity("actor").alias("actor_id"), entity("repo").alias("repo_id"),
-        F.when(is_broken, 0).otherwise(broken_rules).alias("error_count"),
-        F.when(~is_broken & (broken_rules > 0), F.array(*rules).cast(kind)).alias("errors"))
+        (F.when(~is_broken, broken_rules("event", field_rules(required, types))) if required or types else F.lit(None).cast(
+            "array<struct<field:string,problem:string,expected:string,found:string>>")).alias("errors"))
+    count = F.coalesce(F.size("errors"), F.lit(0)) if required or types else F.lit(0)
+    return rows.withColumn("error_count", F.greatest(count, F.lit(0))).withColumn("errors", F.when(F.col("error_count") > 0, F.col("errors")))
 
 
 def field_errors(checked: DataFrame) -> DataFrame:
@@ -120,19 +130,27 @@ def file_event_types(checked: DataFrame) -> DataFrame:
     return checked.filter("NOT is_broken").groupBy("file_path", "event_type").agg(F.count("*").alias("event_count"))
 
 
-def file_status(checked: DataFrame, files: DataFrame, min_bytes: int = MIN_FILE_BYTES) -> DataFrame:
-    """Status of every listed file: error for unreadable, broken or rule-breaking content, warning for a small file.
+def file_status(checked: DataFrame, files: DataFrame, min_bytes: int = MIN_FILE_BYTES, health: DataFrame | None = None) -> DataFrame:
+    """Status of every listed file: error for unreadable, damaged, broken or rule-breaking content, warning for a small file.
 
-    `files` lists file_path and size_bytes of everything present; a file in
-    it without a single line read could not be opened.
+    `files` lists file_path and size_bytes of everything present. With `health` (of `damage.file_health`) a file is
+    readable if it is sound or empty, and its damage is shown; an empty file is only small. Without it, a file
+    without a single line read counts as one that could not be opened.
     """
     lines = checked.groupBy("file_path").agg(
         F.count("*").alias("lines"), F.count_if("is_broken").alias("bad_lines"), F.sum("error_count").alias("field_errors"))
     zero = F.lit(0).cast("bigint")
-    report = files.select("file_path", "size_bytes").join(lines, "file_path", "left").select(
+    listed = files.select("file_path", "size_bytes").join(lines, "file_path", "left")
+    readable, shown = F.col("lines").isNotNull(), []
+    if health is not None:
+        listed = listed.join(health.select("file_path", "health", "readable_bytes", "damaged_at"), "file_path", "left")
+        # A scan leaves files without a byte out: what is listed with none needs no look.
+        listed = listed.withColumn("health", F.when(F.col("size_bytes") == 0, "empty").otherwise(F.col("health")))
+        readable, shown = F.coalesce(F.col("health").isin("sound", "empty"), F.lit(False)), ["health", "readable_bytes", "damaged_at"]
+    report = listed.select(
         "file_path", "size_bytes", F.coalesce("lines", zero).alias("lines"),
         F.coalesce("bad_lines", zero).alias("bad_lines"), F.coalesce("field_errors", zero).alias("field_errors"),
-        F.col("lines").isNotNull().alias("readable"), (F.col("size_bytes") < min_bytes).alias("is_small"))
+        readable.alias("readable"), (F.col("size_bytes") < min_bytes).alias("is_small"), *shown)
     return report.withColumn(
         "status",
         F.when(~F.col("readable") | (F.col("bad_lines") > 0) | (F.col("field_errors") > 0), "error")
@@ -160,6 +178,24 @@ def quality_metrics(report: DataFrame) -> DataFrame:
         F.round(F.avg((F.col("status") == "valid").cast("double")) * 100, 4).alias("validation_rate"))
 
 
+def quality_totals(report: DataFrame, event_types: DataFrame, uniques: DataFrame | None = None) -> DataFrame:
+    """One row for the whole archive: sizes and validation rate, error and warning totals, and events per type.
+
+    `event_types` is that of `file_event_types`. The types are a map with as many entries as there are types; their
+    counts are summed before they are gathered.
+    """
+    kinds = event_types.groupBy("event_type").agg(F.sum("event_count").alias("events"))
+    kinds = kinds.agg(F.sum("events").alias("total_events"), F.count(F.lit(1)).alias("distinct_types"),
+                      F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.coalesce("event_type", F.lit("unknown")), "events")))).alias("events_by_type"))
+    return side_by_side(quality_metrics(report), overall_status(report), kinds)
+
+
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """Frames of one row each as one row, without a join."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns])
+
+
 def error_rate_gate(checked: DataFrame, threshold: float = MAX_ERROR_RATE) -> DataFrame:
     """One row: lines, broken lines, their share and whether it stays within the threshold."""
     counted = checked.agg(F.count("*").alias("lines"), F.count_if("is_broken").alias("bad_lines"))

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hourvault.operators.bronze import parse_lines
 from hourvault.operators.quality import (
-    capped_errors, checked_lines, file_event_types, file_status, file_uniques, first_lines, found_hours,
-    missing_hours, overall_status, quality_metrics, temporal_coverage, with_line_numbers)
+    capped_errors, checked_lines, field_errors, file_event_types, file_status, file_uniques, first_lines, found_hours,
+    missing_hours, overall_status, quality_totals, temporal_coverage, with_line_numbers)
 from hourvault.session import shared_dir
 from hourvault.sources.archive import ARCHIVE_GLOB, read_lines
+from hourvault.sources.damage import HEALTH, LARGEST, file_health
 from hourvault.sources.sinks import write_report
-from hourvault.sources.storage import list_files
+from hourvault.sources.storage import list_all_files, read_contents
 
 
 def read_rules(spark: SparkSession, path: str) -> tuple[list[str], dict[str, str]]:
@@ -27,23 +28,28 @@ def validate(spark: SparkSession, source: str, required: list[str] | None = None
              sample: int | None = None) -> dict[str, DataFrame]:
     """Frames of the report. All lines are checked unless `sample` limits each file to its first lines.
 
-    The archive is read and parsed once; the frames come from the stored checks.
+    The archive is parsed once; the frames come from the stored checks. Every file's members are checked besides, so
+    that a damaged file is an error and shows what could be read of it. All field errors are stored, `errors` shows the
+    first of each file.
     """
-    files = list_files(spark, source, ARCHIVE_GLOB)
+    files = list_all_files(spark, source, ARCHIVE_GLOB)
+    damage = shared_dir(spark, "damage")
+    file_health(read_contents(spark, source, ARCHIVE_GLOB, LARGEST)).write.parquet(damage)
     lines = with_line_numbers(read_lines(spark, source, skip_corrupt=True))
     stored = shared_dir(spark, "checked")
     checked_lines(parse_lines(first_lines(lines, sample) if sample else lines), required, types).write.parquet(stored)
     checked = spark.read.parquet(stored)
-    report = file_status(checked, files)
+    report = file_status(checked, files, health=spark.read.schema(HEALTH).parquet(damage))
     frames = {
         "files": report.join(file_uniques(checked), "file_path", "left"),
         "event_types": file_event_types(checked),
         "coverage": temporal_coverage(found_hours(files)),
         "missing_hours": missing_hours(found_hours(files)),
         "summary": overall_status(report),
-        "metrics": quality_metrics(report),
+        "metrics": quality_totals(report, file_event_types(checked)),
     }
     if required or types:
+        frames["all_errors"] = field_errors(checked)
         frames["errors"] = capped_errors(checked)
     return frames
 

@@ -17,12 +17,30 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str | None = No
                                     F.col("modificationTime").alias("modified_at"))
 
 
-def read_contents(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    """As `list_files`, with the bytes of each file."""
+def list_all_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """As `list_files`, with the files without a byte too, which a scan leaves out; their change time is not known."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(plain_path("path").alias("file_path"), F.col("length").alias("size_bytes"), "content")
+    names = spark.createDataFrame([(p,) for p in reader.load(path).inputFiles()], "path string")
+    every = names.select(plain_path(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))).alias("file_path"))
+    found = list_files(spark, path, glob)
+    empty = every.join(found.select("file_path"), "file_path", "left_anti")
+    return found.union(empty.select("file_path", F.lit(0).cast("bigint"), F.lit(None).cast("timestamp")))
+
+
+def read_contents(spark: SparkSession, path: str | list[str], glob: str | None = None, largest: int | None = None) -> DataFrame:
+    """As `list_files`, with the bytes of each file; those beyond `largest` bytes are listed with a null content."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(path)
+    found = files if largest is None else files.filter(F.col("length") <= largest)
+    columns = [plain_path("path").alias("file_path"), F.col("length").alias("size_bytes")]
+    found = found.select(*columns, "content")
+    if largest is None:
+        return found
+    return found.union(files.filter(F.col("length") > largest).select(*columns, F.lit(None).cast("binary")))
 
 
 def storage_stats(files: DataFrame) -> DataFrame:

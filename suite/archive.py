@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourvault.functions.json_fields import canonical_hash
@@ -17,7 +19,7 @@ from hourvault.schemas import BRONZE_EVENTS, GOLD, SILVER, ddl
 from hourvault.session import shared_dir
 from hourvault.sources.archive import ingest_manifest, pending_files, read_lines, run_statistics
 from hourvault.sources.sinks import (
-    append_warehouse_rows, load_gold_tables, pending_dates, write_bronze, write_gold, write_silver)
+    append_warehouse_rows, load_gold_tables, load_once, pending_dates, read_loaded, write_bronze, write_gold, write_silver)
 from hourvault.sources.storage import content_hashes, small_files, storage_stats, sync_plan
 from hourvault.sources.tables import read_bronze, read_layer_table
 from suite.base import archive_lines, bronze, events, flat, query, table, written_archive
@@ -273,3 +275,27 @@ def upper_case(spark, sf_dir):
         F.try_variant_get("event", "$.actor.id", "bigint").alias("actor_id"),
         F.try_variant_get("event", "$.payload", "variant").alias("payload"))
     return upper_case_columns(parsed.withColumn("payload", F.when(F.col("event_type") == "WatchEvent", F.col("payload"))))
+
+
+@query("bulk_load_once", """
+, r AS (SELECT 'first' AS load, count(*) AS n, count(*) FILTER (event_id % 10 = 0) AS bad FROM ev WHERE ts < TIMESTAMP '2024-01-16'
+        UNION ALL SELECT 'second', count(*), count(*) FILTER (event_id % 10 = 0) FROM ev WHERE ts >= TIMESTAMP '2024-01-16')
+SELECT load, n AS rows, bad AS rejected_actors, 'loaded' AS status FROM r UNION ALL SELECT 'third', 0, 0, NULL
+UNION ALL SELECT 'table', count(*), count(*) FILTER (event_id % 10 = 0), NULL FROM ev""")
+def bulk_load_once(spark, sf_dir):
+    """Three loads of a folder: all its files, those that came since, and none; and what the table holds then."""
+    root = shared_dir(spark, "loads")
+    columns = {"event_id": "bigint", "actor_id": "bigint", "event_type": "string", "absent": "int"}
+    parts = []
+    for load, variant in (("first", "early"), ("second", "late"), ("third", None)):
+        if variant:
+            rows = events(spark, sf_dir, variant)
+            bad = F.col("event_id").cast("bigint") % 10 == 0
+            rows.select("event_id", F.when(bad, "no number").otherwise(F.col("actor_id").cast("string")).alias("actor_id"), "event_type").write.parquet(f"{root}/in/{variant}")
+        report = load_once(spark, f"{root}/in", f"{root}/table", columns, f"{root}/ledger")
+        rejected = F.coalesce(F.try_element_at("rejects", F.lit("actor_id")), F.lit(0))
+        parts.append(report.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"), F.coalesce(F.sum(rejected), F.lit(0)).cast("bigint").alias("rejected_actors"),
+                                F.max("status").alias("status")).select(F.lit(load).alias("load"), "*"))
+    table = read_loaded(spark, f"{root}/table", columns).agg(F.count("*").alias("rows"), F.count_if(F.col("actor_id").isNull()).alias("rejected_actors"))
+    parts.append(table.select(F.lit("table").alias("load"), "*", F.lit(None).cast("string").alias("status")))
+    return reduce(DataFrame.unionByName, parts)

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hourvault.functions.times import archive_path
 from hourvault.operators import quality as q
 from hourvault.operators.bronze import parse_lines
 from hourvault.operators.gold import gold_tables
 from hourvault.operators.silver import silver_tables
+from hourvault.sources import damage
 from hourvault.sources.archive import ingest_manifest
-from suite.base import archive_lines, bronze, events, flat, query
+from hourvault.session import shared_dir
+from hourvault.sources.sinks import write_report
+from hourvault.sources.storage import read_contents
+from suite.base import archive_lines, bronze, events, flat, query, written_archive
 
 # Rules that hold for part of the documents only, so that every kind of error occurs.
 REQUIRED = ["id", "actor", "org", "public"]
@@ -93,6 +98,78 @@ def file_status(spark, sf_dir):
     return _report(spark, sf_dir)
 
 
+# A damaged copy of every file of some hours: hour 3 is cut, 9 has a wrong checksum, 15 is no gzip, 21 has no byte.
+DAMAGE_SQL = """
+, files AS (SELECT file_path, hour(hour) AS h, n FROM (SELECT file_path, max(hour) AS hour, count(*) AS n FROM ev GROUP BY 1)),
+state AS (SELECT *, CASE h WHEN 3 THEN 'cut' WHEN 9 THEN 'broken' WHEN 15 THEN 'foreign' WHEN 21 THEN 'empty' ELSE 'sound' END AS health FROM files)
+"""
+
+
+def _damaged(spark, sf_dir):
+    """Contents of the stored archive with damage by hour, under the archive's own file names."""
+    hour = F.to_timestamp(F.regexp_extract("file_path", r"hour=([0-9-]+)", 1), "yyyy-MM-dd-HH").cast("timestamp_ntz")
+    rows = read_contents(spark, written_archive(spark, sf_dir), "*.gz").withColumn("hour", hour)
+    h, n = F.hour("hour"), F.length("content")
+    content = (F.when(h == 3, F.substring("content", F.lit(1), n - 12)).when(h == 9, F.concat(F.substring("content", F.lit(1), n - 8), F.unhex(F.lit("0000000000000000"))))
+               .when(h == 15, F.encode(F.lit("no gzip"), "utf-8")).when(h == 21, F.unhex(F.lit(""))).otherwise(F.col("content")))
+    return rows.select(F.concat(F.lit("archive/"), archive_path("hour")).alias("file_path"), F.lit(5000).cast("bigint").alias("size_bytes"), content.alias("content"))
+
+
+@query("file_health", DAMAGE_SQL + """
+SELECT file_path, health, CASE WHEN health IN ('sound', 'broken') THEN n WHEN health <> 'cut' THEN 0 END AS lines,
+       CASE health WHEN 'sound' THEN 1 ELSE 0 END AS members, CASE WHEN health NOT IN ('sound', 'empty') THEN 0::BIGINT END AS damaged_at FROM state""")
+def file_health(spark, sf_dir):
+    found = damage.file_health(_damaged(spark, sf_dir))
+    return found.select("file_path", "health", F.when(F.col("health") != "cut", F.col("readable_lines")).alias("lines"), "members", "damaged_at")
+
+
+@query("file_status_of_damaged_files", DAMAGE_SQL + """
+SELECT file_path, health, CASE health WHEN 'sound' THEN n END AS lines, health IN ('sound', 'empty') AS readable,
+       CASE WHEN health = 'empty' THEN 'warning' WHEN health = 'sound' THEN 'valid' ELSE 'error' END AS status FROM state""")
+def file_status_of_damaged_files(spark, sf_dir):
+    """Lines are those in front of the damage; how many these are depends on the packing, so only sound files show it here."""
+    contents = _damaged(spark, sf_dir).withColumn("size_bytes", F.when(F.length("content") == 0, 0).otherwise(F.col("size_bytes")))
+    checked = q.checked_lines(parse_lines(damage.salvaged_lines(contents)))
+    # The last line in front of the damage can be cut too; that is the damage's error, not the line's.
+    report = q.file_status(checked.filter("NOT is_broken"), contents, health=damage.file_health(contents))
+    return report.select("file_path", "health", F.when(F.col("health") == "sound", F.col("lines")).alias("lines"), "readable", "status")
+
+
+@query("quality_totals", STATUS_SQL + """
+, kinds AS (SELECT kind, count(*) AS n FROM ev WHERE hour(ts) <> 23 AND event_id % 97 <> 0 GROUP BY 1)
+SELECT min(size_bytes) AS min_bytes, max(size_bytes) AS max_bytes, round(avg(size_bytes), 4) AS avg_bytes,
+       round(avg(CASE WHEN status = 'valid' THEN 1.0::DOUBLE ELSE 0 END) * 100, 4) AS validation_rate,
+       count(*) AS total_files, count(*) FILTER (status = 'valid') AS valid_files, count(*) FILTER (status <> 'valid') AS invalid_files,
+       count(*) FILTER (is_small) AS warnings, CAST(sum(bad_lines) + count(*) FILTER (NOT readable) AS BIGINT) AS errors,
+       CASE WHEN sum(bad_lines) + count(*) FILTER (NOT readable) > 0 THEN 'error' WHEN bool_or(is_small) THEN 'warning' ELSE 'success' END AS status,
+       (SELECT CAST(sum(n) AS BIGINT) FROM kinds) AS total_events, (SELECT count(*) FROM kinds) AS distinct_types,
+       (SELECT string_agg(kind || '=' || n, ',' ORDER BY kind) FROM kinds) AS events_by_type
+FROM report""")
+def quality_totals(spark, sf_dir):
+    lines = archive_lines(spark, sf_dir, "corrupt").filter(~F.col("file_path").endswith("-23.json.gz"))
+    kinds = q.file_event_types(q.checked_lines(parse_lines(lines)))
+    pairs = F.transform(F.array_sort(F.map_entries("events_by_type")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return q.quality_totals(_report(spark, sf_dir), kinds).withColumn("events_by_type", F.array_join(pairs, ","))
+
+
+@query("stored_report", ERRORS_SQL + """
+SELECT 'errors' AS frame, field AS name, count(*) AS n FROM errors GROUP BY field
+UNION ALL SELECT 'shown', 'most in a file', max(n) FROM (SELECT least(count(*), 20) AS n FROM errors GROUP BY file_path)
+UNION ALL SELECT 'event_types', kind, count(*) FROM ev GROUP BY kind UNION ALL SELECT 'files', 'error', count(DISTINCT file_path) FROM errors""")
+def stored_report(spark, sf_dir):
+    """A report with all field errors beside the shown ones, written and read back."""
+    path = shared_dir(spark, "report")
+    _checked(spark, sf_dir, "no_actor", REQUIRED, TYPES).write.parquet(f"{path}/checked")
+    checked = spark.read.parquet(f"{path}/checked")
+    write_report({"files": q.file_status(checked, _files(spark, sf_dir)), "event_types": q.file_event_types(checked), "all_errors": q.field_errors(checked),
+                  "errors": q.capped_errors(checked)}, f"{path}/report")
+    frame = lambda name: spark.read.json(f"{path}/report/{name}")
+    return (frame("all_errors").groupBy(F.lit("errors").alias("frame"), F.col("field").alias("name")).agg(F.count("*").alias("n"))
+            .union(frame("errors").groupBy("file_path").count().agg(F.max("count").alias("n")).select(F.lit("shown"), F.lit("most in a file"), "n"))
+            .union(frame("event_types").groupBy("event_type").agg(F.sum("event_count").alias("n")).select(F.lit("event_types"), "event_type", "n"))
+            .union(frame("files").groupBy("status").agg(F.count("*").alias("n")).select(F.lit("files"), "status", "n")))
+
+
 @query("file_status_with_rules", """
 SELECT file_path, count(*) FILTER (event_id % 10 = 0) AS field_errors, CASE WHEN count(*) FILTER (event_id % 10 = 0) > 0 THEN 'error'
        WHEN count(*) < 10 THEN 'warning' ELSE 'valid' END AS status FROM ev GROUP BY 1""")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DATED_NAME = r"^\d{4}-\d{1,2}-\d{1,2}(-\d{1,2})?\."
+FOLDER_HOUR = r"/hour=(\d{4})-(\d{1,2})-(\d{1,2})-(\d{1,2})/"
 PATH_DATE = r"/(\d{4})/(\d{1,2})/(\d{1,2})(?:/|$)"
 
 
@@ -36,16 +37,18 @@ def _iso_date(year: Column, month: Column, day: Column) -> Column:
 
 
 def file_date(path: str | Column) -> Column:
-    """yyyy-MM-dd from the file name, else from year/month/day folders, else today."""
+    """yyyy-MM-dd from the file name, else from an hour=yyyy-MM-dd-HH folder or year/month/day folders, else today."""
+    hour = [F.regexp_extract(path, FOLDER_HOUR, i) for i in (1, 2, 3)]
     folders = [F.regexp_extract(path, PATH_DATE, i) for i in (1, 2, 3)]
     return F.coalesce(F.when(_has_date(path), _iso_date(*_name_parts(path)[:3])),
-                      F.when(folders[0] != "", _iso_date(*folders)), F.current_date().cast("string"))
+                      F.when(hour[0] != "", _iso_date(*hour)), F.when(folders[0] != "", _iso_date(*folders)), F.current_date().cast("string"))
 
 
 def file_hour(path: str | Column) -> Column:
-    """Two-digit hour from the file name, 00 when it has none."""
-    hour = _name_parts(path)[3]
-    return F.when(_has_date(path) & (hour != ""), F.lpad(hour, 2, "0")).otherwise("00")
+    """Two-digit hour from the file name or an hour=yyyy-MM-dd-HH folder, 00 when there is none."""
+    hour, folder = _name_parts(path)[3], F.regexp_extract(path, FOLDER_HOUR, 4)
+    return (F.when(_has_date(path) & (hour != ""), F.lpad(hour, 2, "0")).when(~_has_date(path) & (folder != ""), F.lpad(folder, 2, "0"))
+            .otherwise("00"))
 
 
 def file_time(path: str | Column) -> Column:

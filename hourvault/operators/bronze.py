@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourvault.functions.json_fields import canonical_hash, leaf, leaf_json, parse_once
@@ -23,24 +23,29 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("event").isNull()).select("file_path", "value")
 
 
+def bronze_columns() -> dict[str, Column]:
+    """The columns of the bronze table as expressions on a parsed line, in the table's order."""
+    return {
+        "event_hash": canonical_hash("event"),
+        "file_name": F.col("file_path"),
+        "file_date": file_date("file_path"),
+        "file_hour": file_hour("file_path"),
+        "processed_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        "raw_data": F.col("value"),
+        "event_id": leaf("event", "$.id", "string"),
+        "event_type": leaf("event", "$.type", "string"),
+        "created_at": leaf("event", "$.created_at", "string"),
+        "actor_id": leaf("event", "$.actor.id", "bigint"),
+        "actor_login": leaf("event", "$.actor.login", "string"),
+        "repo_id": leaf("event", "$.repo.id", "bigint"),
+        "repo_name": leaf("event", "$.repo.name", "string"),
+        "payload": leaf_json("event", "$.payload"),
+    }
+
+
 def bronze_events(parsed: DataFrame) -> DataFrame:
     """One typed row per parsed line, in the column order of the bronze table."""
-    return valid_lines(parsed).select(
-        canonical_hash("event").alias("event_hash"),
-        F.col("file_path").alias("file_name"),
-        file_date("file_path").alias("file_date"),
-        file_hour("file_path").alias("file_hour"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("processed_at"),
-        F.col("value").alias("raw_data"),
-        leaf("event", "$.id", "string").alias("event_id"),
-        leaf("event", "$.type", "string").alias("event_type"),
-        leaf("event", "$.created_at", "string").alias("created_at"),
-        leaf("event", "$.actor.id", "bigint").alias("actor_id"),
-        leaf("event", "$.actor.login", "string").alias("actor_login"),
-        leaf("event", "$.repo.id", "bigint").alias("repo_id"),
-        leaf("event", "$.repo.name", "string").alias("repo_name"),
-        leaf_json("event", "$.payload").alias("payload"),
-    )
+    return valid_lines(parsed).select(*[c.alias(n) for n, c in bronze_columns().items()])
 
 
 def upper_case_columns(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hourvault.operators.registry import dataset_record, get_dataset
 from hourvault.schemas import SILVER, ddl
 from hourvault.sources.tables import has_files
+from hourvault.streaming.ingest import BatchTables
 
 
 @dataclass(frozen=True)
@@ -23,12 +24,24 @@ class Store:
         return "/".join([self.root.rstrip("/"), *parts])
 
     @property
-    def bronze(self) -> str:
-        return self.path("bronze", "events")
+    def batches(self) -> BatchTables:
+        """Lines of every loaded batch, the manifest of their files and the ledger of finished batches."""
+        return BatchTables(self.path("bronze", "lines"), self.path("bronze", "manifest"), self.path("bronze", "ledger"))
 
     @property
     def quarantine(self) -> str:
-        return self.path("bronze", "quarantine")
+        """The broken lines of all batches, as a path pattern."""
+        return self.path("bronze", "lines", "batch_id=*", "is_good=false")
+
+    @property
+    def event_filters(self) -> str:
+        """Bloom filters of the event ids of every silver hour."""
+        return self.path("silver", "event_filters")
+
+    @property
+    def runs(self) -> str:
+        """Statistics of every run."""
+        return self.path("runs")
 
     @property
     def registry(self) -> str:

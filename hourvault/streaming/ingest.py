@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hourvault.functions.names import plain_path
-from hourvault.operators.bronze import bronze_events, parse_lines, quarantine
+from hourvault.operators.bronze import bronze_columns, bronze_events, parse_lines, quarantine
 from hourvault.operators.upsert import merge_facts, one_per_key
+from hourvault.schemas import BRONZE_EVENTS, ddl
 from hourvault.sources.archive import ARCHIVE_GLOB
 
 
@@ -23,6 +26,68 @@ def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = N
         "value")
 
 
+@dataclass(frozen=True)
+class BatchTables:
+    """Where the batches of an archive stream are kept: their lines, a manifest of their files, and the ledger of finished batches."""
+
+    lines: str
+    manifest: str
+    ledger: str
+
+
+def all_lines(parsed: DataFrame) -> DataFrame:
+    """Bronze rows and broken lines in one frame, from one parse: a broken line has its text as `value` and no other content."""
+    good = F.col("event").isNotNull()
+    columns = bronze_columns()
+    always = ("file_name", "file_date", "file_hour", "processed_at")
+    return parsed.select(*[c.alias(n) if n in always else F.when(good, c).alias(n) for n, c in columns.items()],
+                         F.when(~good, F.col("value")).alias("value"), good.alias("is_good"))
+
+
+def store_batch(batch: DataFrame, batch_id: int, tables: BatchTables) -> None:
+    """Store one micro-batch of lines: good and bad rows in one write, then the manifest of its files, then its ledger row.
+
+    All three go to folders of the batch and replace what a run that broke off left there; only batches in the ledger
+    count. So whatever a crash leaves behind, a repeated batch ends in the same state.
+    """
+    spark, counted = batch.sparkSession, Observation()
+    rows = all_lines(parse_lines(batch)).observe(counted, F.count(F.lit(1)).alias("lines"), F.count_if(~F.col("is_good")).alias("bad_lines"))
+    path = f"{tables.lines}/batch_id={batch_id}"
+    rows.write.mode("overwrite").partitionBy("is_good", "file_date", "file_hour").option("compression", "snappy").parquet(path)
+    found = counted.get
+    if found["lines"]:  # the manifest reads names only
+        files = spark.read.schema("file_name string, is_good boolean, file_date string, file_hour string").parquet(path)
+        files.groupBy("file_name", "file_date", "file_hour").agg(
+            F.count(F.lit(1)).alias("lines"), F.count_if("is_good").alias("events"), F.count_if(~F.col("is_good")).alias("bad_lines"),
+        ).withColumn("success", F.col("bad_lines") == 0).withColumn("loaded_at", F.current_timestamp()).write.mode("overwrite").parquet(
+            f"{tables.manifest}/batch_id={batch_id}")
+    spark.createDataFrame([(found["lines"], found["bad_lines"])], "lines bigint, bad_lines bigint").withColumn(
+        "committed_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(f"{tables.ledger}/batch_id={batch_id}")
+
+
+def ingest_archive(lines: DataFrame, tables: BatchTables, checkpoint: str) -> StreamingQuery:
+    """Load every file once, its good and its broken lines, and stop when all present files are done."""
+    return (lines.writeStream.foreachBatch(lambda batch, batch_id: store_batch(batch, batch_id, tables))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+MANIFEST = ("file_name string, file_date string, file_hour string, lines bigint, events bigint, bad_lines bigint, success boolean, "
+            "loaded_at timestamp, batch_id bigint")
+LEDGER = "lines bigint, bad_lines bigint, committed_at timestamp, batch_id bigint"
+
+
+def committed(spark: SparkSession, tables: BatchTables) -> list[int]:
+    """Finished batches; a run adds one or a few."""
+    return sorted(r[0] for r in spark.read.schema(LEDGER).parquet(tables.ledger).select("batch_id").distinct().collect())
+
+
+def batch_rows(spark: SparkSession, tables: BatchTables, batches: list[int], good: bool = True) -> DataFrame:
+    """Good rows (bronze columns) or broken lines of some batches: batch and kind are partition filters."""
+    columns = {**BRONZE_EVENTS, "value": "string", "batch_id": "bigint", "is_good": "boolean"}
+    rows = spark.read.schema(ddl(columns)).parquet(tables.lines).filter(F.col("batch_id").isin(batches) & (F.col("is_good") == good))
+    return rows.select(*(BRONZE_EVENTS if good else [F.col("file_name").alias("file_path"), "value"]))
+
+
 def ingest_bronze(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Load every file once into the bronze table and stop when all present files are done.
 

@@ -17,8 +17,8 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register a query; `sql` may use the views of EVENTS_SQL."""
+def query(name: str, sql: str | None = None, recursive: bool = False):
+    """Register a query; `sql` may use the views of EVENTS_SQL, also in recursive ones."""
     def add(run: Query) -> Query:
         def with_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
             return run(use_utc(spark), sf_dir)
@@ -27,7 +27,8 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} registered twice")
         QUERIES[name] = with_utc
         if sql is not None:
-            ORACLES[name] = EVENTS_SQL + sql if " ev" in sql else sql
+            whole = EVENTS_SQL + sql if " ev" in sql else sql
+            ORACLES[name] = whole.replace("WITH base", "WITH RECURSIVE base", 1) if recursive else whole
         return run
 
     return add
@@ -116,7 +117,9 @@ def archive_lines(spark: SparkSession, sf_dir: str, variant: str = "plain") -> D
     Variants: `corrupt` cuts every 97th line, `no_actor` leaves the actor out
     of every 50th event, `repeated` holds every 20th event twice, `gaps` lacks
     every 6th hour, `reordered` writes keys in another order, `early` and
-    `late` are the two halves of an incremental load.
+    `late` are the two halves of an incremental load, `first_half` and
+    `second_half` split every hour; the second also repeats every 50th event
+    of the first and cuts every 97th line.
     """
     events = archive_events(spark, sf_dir)
     eid = F.col("event_id")
@@ -129,8 +132,12 @@ def archive_lines(spark: SparkSession, sf_dir: str, variant: str = "plain") -> D
         events = events.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
     elif variant == "late":
         events = events.filter(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
+    elif variant == "first_half":
+        events = events.filter(eid % 2 == 0)
+    elif variant == "second_half":
+        events = events.filter((eid % 2 == 1) | (eid % 50 == 0))
     text = document(no_actor=eid % 50 == 0 if variant == "no_actor" else None, reverse=variant == "reordered")
-    if variant == "corrupt":
+    if variant in ("corrupt", "second_half"):
         text = F.when(eid % 97 == 0, F.substring(text, 1, 10)).otherwise(text)
     return events.select(F.concat(F.lit("archive/"), archive_path("ts")).alias("file_path"), text.alias("value"),
                          eid.alias("line_id"))

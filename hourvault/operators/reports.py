@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,7 +10,11 @@ from hourvault.functions.names import is_bot, owner_of, short_name_of
 from hourvault.functions.times import hour_of
 from hourvault.operators.gold import actor_metrics, entity_metrics
 
-BROADCAST_KEYS = 100_000
+
+#: Hours of a season, weights of the newest hour in level, trend and season, and deviations to each side of a band.
+SEASON = 24
+ALPHA, BETA, GAMMA = 0.3, 0.05, 0.2
+BAND = 3.0
 
 
 def daily_activity(events: DataFrame) -> DataFrame:
@@ -19,17 +23,21 @@ def daily_activity(events: DataFrame) -> DataFrame:
         F.count("*").alias("event_count"), F.countDistinct("actor_id").alias("user_count"))
 
 
-def rows_of(dimension: DataFrame, winners: DataFrame, key: str, n: int) -> DataFrame:
-    """Dimension rows of at most n winners. A short list of keys is sent to the scan, so the dimension is not shuffled."""
-    keys = winners.select(key)
-    return dimension.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, key, "left_semi")
+def winners(ranked: DataFrame) -> DataFrame:
+    """The n rows of a top-n report as rows of their own: what they were counted from is not read again."""
+    return ranked.sparkSession.createDataFrame(ranked.toArrow(), ranked.schema)
+
+
+def rows_of(dimension: DataFrame, top: DataFrame, key: str) -> DataFrame:
+    """Dimension rows of the winners. A short list of keys is sent to the scan, so the dimension is not shuffled."""
+    return dimension.join(top.select(key), key, "left_semi")
 
 
 def top_repositories(events: DataFrame, repositories: DataFrame, n: int = 10) -> DataFrame:
     """The n busiest repositories; equal counts are ranked by id. Names are looked up for the winners only."""
-    top = (entity_metrics(events, "repo_id", "actor_id", "unique_contributors")
-           .orderBy(F.col("total_events").desc(), F.col("repo_id")).limit(n))
-    return top.join(rows_of(repositories, top, "repo_id", n), "repo_id", "left").select(
+    top = winners(entity_metrics(events, "repo_id", "actor_id", "unique_contributors")
+                  .orderBy(F.col("total_events").desc(), F.col("repo_id")).limit(n))
+    return top.join(rows_of(repositories, top, "repo_id"), "repo_id", "left").select(
         "repo_id", "repo_name", owner_of("repo_name").alias("owner"),
         short_name_of("repo_name").alias("repo_short_name"),
         F.col("total_events").alias("event_count"), "unique_contributors",
@@ -74,8 +82,8 @@ def busy_hours(events: DataFrame) -> DataFrame:
 def influential_users(events: DataFrame, actors: DataFrame, n: int = 10) -> DataFrame:
     """The n most active accounts that are no bots; bots are dropped before counting."""
     people = events.filter(~is_bot("actor_login"))
-    top = actor_metrics(people).orderBy(F.col("total_events").desc(), F.col("actor_id")).limit(n)
-    return top.join(rows_of(actors.select("actor_id", "actor_login"), top, "actor_id", n), "actor_id", "left").select(
+    top = winners(actor_metrics(people).orderBy(F.col("total_events").desc(), F.col("actor_id")).limit(n))
+    return top.join(rows_of(actors.select("actor_id", "actor_login"), top, "actor_id"), "actor_id", "left").select(
         "actor_id", "actor_login", "total_events", "unique_repos").orderBy(F.col("total_events").desc(), "actor_id")
 
 
@@ -132,3 +140,71 @@ def activity_forecast(events: DataFrame, days: int = 7) -> DataFrame:
         "event_type", F.date_add("last_day", F.col("step")).alias("day"), "slope", "intercept")
     return ahead.select("event_type", "day", F.round("slope", 6).alias("slope"),
                         F.round(F.col("intercept") + F.col("slope") * F.unix_date("day"), 4).alias("forecast"))
+
+
+def hourly_series(events: DataFrame, keys: list[str]) -> DataFrame:
+    """Events of each series and hour, from the series' first to its last hour; hours without an event count 0."""
+    counts = events.filter(F.col("created_at").isNotNull()).groupBy(*keys, hour_of("created_at").alias("hour")).agg(F.count("*").alias("n"))
+    span = counts.groupBy(*keys).agg(F.min("hour").alias("_first"), F.max("hour").alias("_last"))
+    hours = span.select(*keys, F.explode(F.sequence("_first", "_last", F.expr("interval 1 hour"))).alias("hour"))
+    same = [hours[k].eqNullSafe(counts[k]) for k in keys] + [hours["hour"] == counts["hour"]]
+    return hours.join(counts, same, "left").select(*[hours[k] for k in keys], hours["hour"], F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
+def seasonal_fold(series: DataFrame, keys: list[str], season: int = SEASON, alpha: float = ALPHA, beta: float = BETA, gamma: float = GAMMA,
+                  width: float = BAND) -> DataFrame:
+    """Additive Holt-Winters smoothing of each series: keys, first hour, number of hours, level, trend, seasonal, deviation and alarms.
+
+    The first `season` hours set the level (their mean) and the seasonal differences; every later hour is forecast from
+    those before it, then smoothed in. An hour is an alarm if it lies further from its forecast than `width` deviations
+    of the forecasts so far, once a whole season has been forecast. One ordered fold for each series, over its hours:
+    their number is the length of the history, not of the events. Shorter series have a level and no forecast.
+    """
+    ordered = series.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("hour", F.col("n").cast("double").alias("n")))).alias("_hours"))
+    first = F.slice("_hours", 1, season)
+    level = F.aggregate(first, F.lit(0.0), lambda s, h: s + h["n"]) / F.size(first)
+    m = F.lit(season)
+    alarm = "array<struct<hour:timestamp_ntz,n:double,forecast:double>>"
+    start = F.struct(F.lit(0).alias("t"), F.col("_level").alias("level"), F.lit(0.0).alias("trend"), F.col("_seasonal").alias("seasonal"),
+                     F.lit(0.0).alias("squares"), F.array().cast(alarm).alias("alarms"))
+
+    def step(state: Column, hour: Column) -> Column:
+        # The parts of a step are named in turn, so that each is worked out once.
+        old = F.element_at(state["seasonal"], (state["t"] % m + 1).cast("int"))
+        named = F.struct(state.alias("s"), hour.alias("h"), old.alias("old"), (state["level"] + state["trend"]).alias("base"))
+        return F.transform(F.array(named), lambda x: F.struct(
+            x["s"].alias("s"), x["h"].alias("h"), x["old"].alias("old"), (x["base"] + x["old"]).alias("forecast"),
+            (F.lit(alpha) * (x["h"]["n"] - x["old"]) + F.lit(1 - alpha) * x["base"]).alias("level")))[0]
+
+    def merged(state: Column, hour: Column) -> Column:
+        return F.transform(F.array(step(state, hour)), lambda x: F.struct(
+            (x["s"]["t"] + 1).alias("t"), x["level"].alias("level"),
+            (F.lit(beta) * (x["level"] - x["s"]["level"]) + F.lit(1 - beta) * x["s"]["trend"]).alias("trend"),
+            F.transform(x["s"]["seasonal"], lambda v, k: F.when(
+                k == x["s"]["t"] % m, F.lit(gamma) * (x["h"]["n"] - x["level"]) + F.lit(1 - gamma) * x["old"]).otherwise(v)).alias("seasonal"),
+            (x["s"]["squares"] + (x["h"]["n"] - x["forecast"]) * (x["h"]["n"] - x["forecast"])).alias("squares"),
+            F.when((x["s"]["t"] >= m) & (F.abs(x["h"]["n"] - x["forecast"]) > F.lit(width) * F.sqrt(x["s"]["squares"] / x["s"]["t"])),
+                   F.concat(x["s"]["alarms"], F.array(F.struct(x["h"]["hour"].alias("hour"), x["h"]["n"].alias("n"), x["forecast"].alias("forecast")))))
+            .otherwise(x["s"]["alarms"]).alias("alarms")))[0]
+
+    folded = ordered.withColumn("_level", level).withColumn("_seasonal", F.transform(first, lambda h: h["n"] - F.col("_level"))).withColumn(
+        "_state", F.aggregate(F.slice("_hours", season + 1, F.greatest(F.size("_hours") - season, F.lit(0))), start, merged))
+    return folded.select(
+        *keys, F.element_at("_hours", -1)["hour"].alias("last_hour"), F.size("_hours").alias("hours"), F.col("_state.level").alias("level"),
+        F.col("_state.trend").alias("trend"), F.col("_state.seasonal").alias("seasonal"),
+        F.when(F.col("_state.t") > 0, F.sqrt(F.col("_state.squares") / F.col("_state.t"))).alias("deviation"), F.col("_state.alarms").alias("alarms"))
+
+
+def seasonal_forecast(folded: DataFrame, keys: list[str], ahead: int = SEASON, season: int = SEASON, width: float = BAND) -> DataFrame:
+    """The next hours of each series with a whole season behind it, and the band that holds them."""
+    steps = folded.filter(F.col("hours") > season).select("*", F.explode(F.sequence(F.lit(1), F.lit(ahead))).alias("step"))
+    place = ((F.col("hours") - season + F.col("step") - 1) % season + 1).cast("int")
+    forecast = F.col("level") + F.col("step") * F.col("trend") + F.element_at("seasonal", place)
+    return steps.select(*keys, (F.col("last_hour") + F.make_dt_interval(hours="step")).alias("hour"), F.round(forecast, 4).alias("forecast"),
+                        F.round(forecast - width * F.col("deviation"), 4).alias("low"), F.round(forecast + width * F.col("deviation"), 4).alias("high"))
+
+
+def seasonal_alarms(folded: DataFrame, keys: list[str]) -> DataFrame:
+    """Hours outside the band that the hours before them promised."""
+    return folded.select(*keys, F.explode("alarms").alias("a")).select(
+        *keys, "a.hour", F.col("a.n").cast("bigint").alias("event_count"), F.round("a.forecast", 4).alias("forecast"))

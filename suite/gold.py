@@ -212,6 +212,43 @@ def unusual_hours(spark, sf_dir):
     return reports.unusual_hours(events(spark, sf_dir))
 
 
+# Holt-Winters one hour at a time for each event type, with the forecast made before the hour.
+SEASONAL_SQL = """
+, c AS (SELECT kind AS event_type, hour, count(*) AS n FROM ev GROUP BY 1, 2),
+span AS (SELECT event_type, min(hour) AS f, max(hour) AS l FROM c GROUP BY 1),
+h AS (SELECT event_type, unnest(generate_series(f, l, INTERVAL 1 HOUR)) AS hour FROM span),
+y AS (SELECT event_type, hour, coalesce(n, 0)::DOUBLE AS y, row_number() OVER o - 1 AS i, count(*) OVER (PARTITION BY event_type) AS hours, max(hour) OVER (PARTITION BY event_type) AS last_hour
+      FROM h LEFT JOIN c USING (event_type, hour) WINDOW o AS (PARTITION BY event_type ORDER BY hour)),
+init AS (SELECT event_type, list(y ORDER BY i) AS ys FROM y WHERE i < 24 GROUP BY 1),
+f AS (SELECT event_type, 0 AS t, list_sum(ys) / len(ys) AS level, 0::DOUBLE AS trend, list_transform(ys, lambda v: v - list_sum(ys) / len(ys)) AS s, 0::DOUBLE AS q,
+        NULL::TIMESTAMP AS hour, 0::DOUBLE AS y, 0::DOUBLE AS forecast, false AS alarm FROM init
+  UNION ALL
+  SELECT event_type, t + 1, new_level, 0.05::DOUBLE * (new_level - level) + 0.95::DOUBLE * trend,
+    list_transform(s, lambda v, k: CASE WHEN k = t % 24 + 1 THEN 0.2::DOUBLE * (seen - new_level) + 0.8::DOUBLE * old ELSE v END), q + (seen - guess) * (seen - guess), seen_at, seen, guess,
+    t >= 24 AND abs(seen - guess) > 3 * sqrt(q / greatest(t, 1))
+  FROM (SELECT f.*, y.y AS seen, y.hour AS seen_at, f.s[t % 24 + 1] AS old, level + trend + f.s[t % 24 + 1] AS guess, 0.3::DOUBLE * (y.y - f.s[t % 24 + 1]) + 0.7::DOUBLE * (level + trend) AS new_level
+        FROM f JOIN y ON y.event_type = f.event_type AND y.i = 24 + t))
+"""
+
+
+def _folded(spark, sf_dir):
+    return reports.seasonal_fold(reports.hourly_series(events(spark, sf_dir), ["event_type"]), ["event_type"])
+
+
+@query("seasonal_alarms", SEASONAL_SQL + """
+SELECT event_type, hour, CAST(y AS BIGINT) AS event_count, round(forecast, 4) AS forecast FROM f WHERE alarm""", recursive=True)
+def seasonal_alarms(spark, sf_dir):
+    return reports.seasonal_alarms(_folded(spark, sf_dir), ["event_type"])
+
+
+@query("seasonal_forecast", SEASONAL_SQL + """
+SELECT f.event_type, last_hour + to_hours(step) AS hour, round(level + step * trend + s[(t + step - 1) % 24 + 1], 4) AS forecast,
+       round(level + step * trend + s[(t + step - 1) % 24 + 1] - 3 * sqrt(q / t), 4) AS low, round(level + step * trend + s[(t + step - 1) % 24 + 1] + 3 * sqrt(q / t), 4) AS high
+FROM f JOIN (SELECT DISTINCT event_type, hours, last_hour FROM y) d ON d.event_type = f.event_type AND t = hours - 24 AND t > 0, range(1, 25) r(step)""", recursive=True)
+def seasonal_forecast(spark, sf_dir):
+    return reports.seasonal_forecast(_folded(spark, sf_dir), ["event_type"])
+
+
 @query("activity_forecast", """
 SELECT event_type, last_day + CAST(step AS INTEGER) AS day, round(slope, 6) AS slope,
        round(intercept + slope * ((last_day + CAST(step AS INTEGER)) - DATE '1970-01-01'), 4) AS forecast

@@ -17,7 +17,7 @@ from hourvault.llm.registry import query, table
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 #: Words with a vector of their own; all others share one output, split by their counts.
-SHORTLIST = 511
+SHORTLIST = 1023
 DIMENSIONS = 16
 #: Words whose counts are sent to every task; counts of rarer ones are joined.
 HEAD = 1 << 16
@@ -25,6 +25,8 @@ NOISE = 24
 BATCH = 4096
 STEP = 0.1
 ROUNDS = 2
+#: Training tokens of a shard, which one trainer works through: the number of shards follows the tokens, not the cluster.
+SHARD_TOKENS = 1_000_000
 #: Tokens that a task counts before it passes the counts on, and that it works on at a time.
 COUNTED = 2_000_000
 AT_ONCE = 300_000
@@ -198,10 +200,12 @@ class Trainer:
 
 
 def trained(rows: DataFrame, vocabulary, classes: int) -> LogBilinear:
-    """Training over all training documents: each task trains on its own, and parameters are averaged between rounds.
+    """Training over all training documents: each shard trains on its own, and parameters are averaged between rounds.
 
-    A round takes its share of the documents, chosen by row number. Averages are grouped sums over the parameters'
-    rows, so what reaches the driver doesn't grow with tasks or documents.
+    A round takes its share of the documents; these are dealt over shards of about SHARD_TOKENS tokens, and go through
+    a shard in order, by hashes of id and tokens. Chance is drawn from the shard's number, so scores don't depend on
+    how rows are spread over tasks. Averages are grouped sums over the parameters' rows, so what reaches the driver
+    doesn't grow with shards or documents.
     """
     counts = vocabulary.value.class_counts
     model = LogBilinear(classes)
@@ -209,23 +213,40 @@ def trained(rows: DataFrame, vocabulary, classes: int) -> LogBilinear:
     model.bias = np.log(noise).astype(np.float32)
     names = [f"x{k}" for k in range(DIMENSIONS)]
     fields = "row int, weight double, " + ", ".join(f"{n} double" for n in names)
+    learning = rows.filter(F.col("ids").isNotNull() & ~F.col("held_out")).withColumn("deal", F.xxhash64("doc_id", "ids"))
+    shards = max(1, -(-vocabulary.value.tokens // (ROUNDS * SHARD_TOKENS)))
     for turn in range(ROUNDS):
         sent = rows.sparkSession.sparkContext.broadcast(model.rows())
 
         def over(batches, turn=turn, sent=sent):
-            trainer = Trainer(LogBilinear(classes).load(sent.value.copy()), noise, 1000 * turn + TaskContext.get().partitionId())
-            for batch in batches:
-                sequences = [np.frombuffer(x, np.uint16) for x in batch.column("ids").cast(pa.large_binary()).to_pylist()]
-                for low, high in slices(np.array([len(s) for s in sequences]), AT_ONCE):
-                    trainer.learn(sequences[low:high])
-            if trainer.seen:
+            def averaged(trainer: Trainer) -> pa.RecordBatch:
                 values = trainer.model.rows().astype(np.float64)
                 weight = np.full(len(values), float(trainer.seen))
-                yield pa.RecordBatch.from_arrays(
+                return pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(weight), *[pa.array(c * weight) for c in values.T]],
                     names=["row", "weight", *names])
 
-        own = rows.filter(F.col("ids").isNotNull() & ~F.col("held_out") & (F.pmod(F.xxhash64("rid"), F.lit(ROUNDS)) == turn)).select("ids")
+            shard, trainer, waiting, size = None, None, [], 0
+            for batch in batches:
+                for number, x in zip(batch.column("shard").to_pylist(), batch.column("ids").cast(pa.large_binary()).to_pylist(), strict=True):
+                    if number != shard or size >= AT_ONCE:
+                        if waiting:
+                            trainer.learn(waiting)
+                        if number != shard:
+                            if trainer is not None:
+                                yield averaged(trainer)
+                            shard, trainer = number, Trainer(LogBilinear(classes).load(sent.value.copy()), noise, (1 << 20) * turn + number)
+                        waiting, size = [], 0
+                    waiting.append(np.frombuffer(x, np.uint16))
+                    size += len(waiting[-1])
+            if waiting:
+                trainer.learn(waiting)
+            if trainer is not None:
+                yield averaged(trainer)
+
+        own = learning.filter(F.pmod("deal", F.lit(ROUNDS)) == turn).select(
+            F.pmod(F.floor(F.col("deal") / ROUNDS), F.lit(shards)).cast("int").alias("shard"), "deal", "ids")
+        own = own.repartition(shards, "shard").sortWithinPartitions("shard", "deal", "ids").select("shard", "ids")
         sums = own.mapInArrow(over, fields).groupBy("row").agg(*[F.sum(n).alias(n) for n in ["weight", *names]]).toArrow().sort_by("row")
         if sums.num_rows:
             weight = sums["weight"].to_numpy()

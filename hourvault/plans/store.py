@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourvault.operators.registry import dataset_record, get_dataset
+from hourvault.operators.registry import dataset_record, get_dataset, null_shares
 from hourvault.schemas import SILVER, ddl
+from hourvault.sources.storage import list_files
 from hourvault.sources.tables import has_files
 from hourvault.streaming.ingest import BatchTables
 
@@ -75,14 +76,18 @@ class Store:
         return spark.read.parquet(row[0]) if row else None
 
     def publish(self, df: DataFrame, name: str, layer: str, time_column: str | None = None) -> None:
-        """Write a new version beside the old one, then make it current by a registry row."""
+        """Write a new version beside the old one, then make it current by a registry row, with its size and NULL shares."""
         spark = df.sparkSession
         path = self.path(layer, name, uuid.uuid4().hex)
         df.write.parquet(path)
         known = None
         if has_files(spark, self.registry):
             known = spark.read.parquet(self.registry).filter(F.col("dataset_name") == name).agg(F.min("created_at")).first()[0]
-        record = dataset_record(spark.read.parquet(path), name, path, tags={"layer": layer}, time_column=time_column, first_created=known)
+        written = spark.read.parquet(path)
+        size = list_files(spark, path).agg(F.sum("size_bytes")).first()[0]
+        shares = {f"null_share.{r.column_name}": str(r.null_share) for r in null_shares(written, name).collect()}
+        record = dataset_record(written, name, path, tags={"layer": layer}, time_column=time_column, size_bytes=size or 0, first_created=known,
+                                extra=shares)
         record.write.mode("append").parquet(self.registry)
 
 

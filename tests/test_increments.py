@@ -98,6 +98,8 @@ def test_repeat_with_another_time_in_another_hour(spark, tmp_path):
     assert "file_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert {(r.file_date, r.hour_bucket) for r in searched.select("file_date", "hour_bucket").distinct().collect()} == {("2024-01-01", "02")}
     assert medallion.load_silver(spark, store, "2024-02-02")
+    record = spark.read.parquet(store.registry).filter("dataset_name = 'actors'").orderBy("updated_at").collect()[-1]
+    assert record.size_bytes > 0 and record.rows == 7 and record.additional_metadata["null_share.actor_id"] == "0.0"
     events = store.read_fact(spark, "events")
     assert events.count() == 121 and events.filter("event_id = '205'").first().hour_bucket == "02"
     assert events.filter("file_date = '2024-01-02'").count() == 1

@@ -186,6 +186,12 @@ def test_language_model_is_normalised_and_learns():
     assert math.isclose(sum(rest), 1)
 
 
+def test_language_scores_do_not_depend_on_partitions(spark):
+    table = spark.createDataFrame([(k, prose(80, 700 + k)) for k in range(60)], "doc_id long, text string")
+    found = [{r.doc_id: r.score for r in language_model.language_scores(table.repartition(n)).collect()} for n in (1, 5)]
+    assert found[0].keys() == found[1].keys() and all(math.isclose(found[0][k], found[1][k], rel_tol=1e-6) for k in found[0])
+
+
 def test_nearest_examples_are_exact():
     r = np.random.default_rng(1)
     vectors = []
@@ -379,6 +385,20 @@ def test_warc_frames_are_independent_and_checked():
         list(warc.frames(io.BytesIO(data[:-5])))
 
 
+def test_every_language_is_told_apart(spark):
+    """More languages than any limit, one of them with a single document, and a hot one."""
+    alphabet = lambda k: "".join(chr(0x4E00 + 40 * k + j) for j in range(12))
+    r = random.Random(1)
+    text = lambda k: " ".join("".join(r.choices(alphabet(k), k=4)) for _ in range(60))
+    docs = spark.createDataFrame([(100 * k + j, f"l{k}", text(k)) for k in range(90) for j in range(1 if k else 40)], "doc_id long, lang string, text string")
+    pages = spark.createDataFrame([(k, f"http://h{k}.example.org/", f"<html><body><p>{text(k)}</p></body></html>") for k in range(90)] + [(90, None, None)],
+                                  "page_id long, url string, html string")
+    got = {x.page_id: x for x in language_id.page_languages(pages, docs).collect()}
+    assert [got[k].lang for k in range(90)] == [f"l{k}" for k in range(90)]
+    assert got[90].text_lang is None and 0 < got[90].probability < 1
+    assert language_id.page_languages(pages.limit(0), docs).count() == 0
+
+
 def test_page_languages(spark, docs):
     en, fr = "the house and the garden with that thing ", "le jardin et la maison avec cette chose "
     train = spark.createDataFrame([(k, (en if k % 2 else fr) * 5, "en" if k % 2 else "fr") for k in range(20)] + [(99, None, "de"), (98, "x", None)], "doc_id long, text string, lang string")

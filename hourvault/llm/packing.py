@@ -43,7 +43,9 @@ class Encoder:
     the ids of a text are those of its strings in a row.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, share: int = 1):
+        """`share`: how many times REMEMBERED words are kept."""
+        self.share = share
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -104,7 +106,7 @@ class Encoder:
 
     def shrink(self) -> None:
         """Keep the words that came first: frequent ones come early."""
-        kept = dict(islice(self.number.items(), REMEMBERED // 2))
+        kept = dict(islice(self.number.items(), self.share * REMEMBERED // 2))
         if sum(map(len, kept)) > REMEMBERED_BYTES // 2:
             kept = {}
         self.number, self.used = kept, int(self.begin[len(kept) - 1] + self.size[len(kept) - 1]) if kept else 0
@@ -112,7 +114,7 @@ class Encoder:
 
     def ids(self, all_words: list[list[bytes]]) -> list[np.ndarray]:
         """Ids of several texts, given as their strings."""
-        if len(self.number) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
+        if len(self.number) > self.share * REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self.shrink()
         flat = list(chain.from_iterable(all_words))
         which = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
@@ -133,10 +135,11 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(kept: dict[str, Encoder], path: str) -> Encoder:
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+def encoder(path: str) -> Encoder:
+    """One for each worker process and file. Tasks find this function by its name, so they share what it keeps."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path, 2)
+    return _ENCODERS[path]
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, with_ids: bool = True,
@@ -150,7 +153,9 @@ def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH,
     own: dict[str, Encoder] = {}  # each task unpacks a dict of its own, so that words are forgotten with the task
 
     def run(batch: pa.RecordBatch) -> dict:
-        made = encoder(_ENCODERS if lasting else own, path)
+        if not lasting and path not in own:
+            own[path] = Encoder(path)
+        made = encoder(path) if lasting else own[path]
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
         ids = batch.column("doc_id").to_pylist()
         words, begin, waiting = [], 0, 0

@@ -17,7 +17,7 @@ from hourvault.llm.registry import query, table
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 #: Words with a vector of their own; all others share one output, split by their counts.
-SHORTLIST = 1023
+SHORTLIST = 511
 DIMENSIONS = 16
 #: Words whose counts are sent to every task; counts of rarer ones are joined.
 HEAD = 1 << 16

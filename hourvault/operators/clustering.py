@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hourvault.operators.density import density_clusters
 from hourvault.operators.features import as_points
 from hourvault.operators.hierarchy import LEAVES, ward
-from hourvault.operators.scores import evaluate
+from hourvault.operators.scores import evaluate, evaluate_cuts
 
 # Parameters of the standard sweeps.
 KMEANS_K = 5
@@ -38,21 +38,34 @@ def _scored(labelled: DataFrame, model: str, params: dict, noise: str) -> DataFr
     return evaluate(labelled, noise).select(F.lit(model).alias("model"), F.lit(json.dumps(params)).alias("params"), "*")
 
 
+def _scored_cuts(labelled: DataFrame, model: str, names: dict[str, int], noise: str) -> DataFrame:
+    """One row of scores per k of the labels of all points, scored together; these methods leave no noise."""
+    if noise not in ("score", "reject"):
+        raise ValueError("noise must be 'score' or 'reject'")
+    labelled = labelled.persist()
+    rows = [(model, json.dumps({"k": names[name]}), *map(float, values[1:]), int(values[0])) for name, values in evaluate_cuts(labelled, names).items()]
+    labelled.unpersist()
+    return labelled.sparkSession.createDataFrame(
+        rows, "model string, params string, silhouette double, calinski double, davies double, n_clusters bigint").select(
+        "model", "params", "n_clusters", "silhouette", "calinski", "davies")
+
+
 def kmeans_sweep(points: DataFrame, ks=SWEEP_K, seed: int = SEED, noise: str = "score") -> DataFrame:
     """One row of scores per k."""
     points = points.persist()
-    rows = [_scored(kmeans(points, k, seed)[0], "KMeans", {"k": k}, noise) for k in ks]
+    names = {f"_cluster_{k}": k for k in ks}
+    labelled = points.select("features")
+    for name, k in names.items():
+        labelled = kmeans(points, k, seed)[1].setPredictionCol(name).transform(labelled)
+    rows = _scored_cuts(labelled, "KMeans", names, noise)
     points.unpersist()
-    return reduce(DataFrame.unionByName, rows)
+    return rows
 
 
 def hierarchical_sweep(points: DataFrame, ks=SWEEP_K, leaves: int = LEAVES, noise: str = "score") -> DataFrame:
     """One row of scores per k, all cut from one hierarchy."""
     names = {f"_cluster_{k}": k for k in ks}
-    labelled = ward(points, leaves).transform(points, names).persist()
-    rows = [_scored(labelled.select("features", F.col(name).alias("cluster")), "Hierarchical", {"k": k}, noise) for name, k in names.items()]
-    labelled.unpersist()
-    return reduce(DataFrame.unionByName, rows)
+    return _scored_cuts(ward(points, leaves).transform(points, names).select("features", *names), "Hierarchical", names, noise)
 
 
 def density_sweep(features: DataFrame, key: str, eps_values=SWEEP_EPS, min_samples=SWEEP_MIN_SAMPLES,

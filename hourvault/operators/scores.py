@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -133,6 +134,95 @@ def evaluate(points: DataFrame, noise: str = "score") -> DataFrame:
     return _scores(spark, labels["n"], *values)
 
 
+def evaluate_cuts(points: DataFrame, cuts: dict[str, int], features: str = "features") -> dict[str, tuple[int, float, float, float]]:
+    """Scores as of `evaluate` of many clusterings of the same points: (n_clusters, silhouette, calinski, davies) by name.
+
+    `cuts` names columns with labels from 0 and how many clusters each has at most; rows without a label are left out.
+    All are scored in three passes over the points, whatever their number: sums, distances to the centres, silhouettes.
+    A task returns a row per cluster (and dimension), and the rows of all clusters are what reaches the driver.
+    """
+    names, first = list(cuts), np.cumsum([0, *cuts.values()])
+    rows = points.select(vector_to_array(features).alias("_x"), *[F.col(n).cast("int").alias(n) for n in names])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Number of a clustering, its labelled points and their slots, batch by batch."""
+        for batch in batches:
+            lists = batch.column("_x")
+            if len(lists):
+                x = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+                for j, name in enumerate(names):
+                    known = batch.column(name).is_valid().to_numpy(zero_copy_only=False)
+                    yield j, x[known], batch.column(name).drop_null().to_numpy(zero_copy_only=False) + first[j]
+
+    def summed(over, keys: list[str], values: list[str]) -> list:
+        schema = ", ".join([*[f"{k} int" for k in keys], *[f"{v} double" for v in values]])
+        return rows.mapInArrow(over, schema).groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values]).collect()
+
+    def batch_of(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = np.zeros(first[-1]), None
+        for _, x, slot in each(batches):
+            total = np.zeros((first[-1], x.shape[1])) if total is None else total
+            n += np.bincount(slot, minlength=first[-1])
+            for d in range(x.shape[1]):
+                total[:, d] += np.bincount(slot, x[:, d], first[-1])
+        if total is not None:
+            slot, dim = np.indices(total.shape, np.int32)
+            yield batch_of(["slot", "dim", "n", "total"], slot.ravel(), dim.ravel(), np.repeat(n, total.shape[1]), total.ravel())
+
+    found = summed(sums, ["slot", "dim"], ["n", "total"])
+    n, centres = np.zeros(first[-1]), np.zeros((first[-1], 1 + max((r.dim for r in found), default=0)))
+    for r in found:
+        n[r.slot], centres[r.slot, r.dim] = r.n, r.total / r.n if r.n else 0.0
+
+    def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sse, spread = np.zeros(first[-1]), np.zeros(first[-1])
+        for _, x, slot in each(batches):
+            square = ((x - centres[slot]) ** 2).sum(axis=1)
+            sse += np.bincount(slot, square, first[-1])
+            spread += np.bincount(slot, np.sqrt(square), first[-1])
+        yield batch_of(["slot", "sse", "spread"], np.arange(first[-1], dtype=np.int32), sse, spread)
+
+    sse, spread = np.zeros(first[-1]), np.zeros(first[-1])
+    for r in summed(gaps, ["slot"], ["sse", "spread"]):
+        sse[r.slot], spread[r.slot] = r.sse, r.spread / n[r.slot] if n[r.slot] else 0.0
+
+    def silhouettes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(len(names))
+        for j, x, slot in each(batches):
+            used = np.flatnonzero(n[first[j]:first[j + 1]]) + first[j]
+            if len(used) < 2:
+                continue
+            # Mean squared distance to the points of a cluster: that to its centre, and its own spread.
+            square = np.stack([((x - centres[c]) ** 2).sum(axis=1) + sse[c] / n[c] for c in used], axis=1)
+            at = np.searchsorted(used, slot), np.arange(len(slot))
+            own = square[at[1], at[0]] * n[slot] / np.maximum(n[slot] - 1, 1)
+            square[at[1], at[0]] = np.inf
+            near = square.min(axis=1)
+            most = np.maximum(own, near)
+            out[j] += np.where((n[slot] > 1) & (most > 0), (near - own) / np.where(most > 0, most, 1), 0.0).sum()
+        yield batch_of(["cut", "total"], np.arange(len(names), dtype=np.int32), out)
+
+    totals = {r.cut: r.total for r in summed(silhouettes, ["cut"], ["total"])}
+    scores = {}
+    for j, name in enumerate(names):
+        used = np.flatnonzero(n[first[j]:first[j + 1]]) + first[j]
+        if len(used) < 2:
+            scores[name] = len(used), -1.0, -1.0, float("inf")
+            continue
+        m, c, size = n[used], centres[used], float(n[used].sum())
+        between = float((m * ((c - (m @ c) / size) ** 2).sum(axis=1)).sum())
+        within = float(sse[used].sum())
+        calinski = 1.0 if within == 0 else (between / (len(used) - 1)) / (within / (size - len(used)))
+        distance = np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(axis=2))
+        both = spread[used][:, None] + spread[used][None, :]
+        worst = np.divide(both, distance, out=np.zeros_like(both), where=distance > 0)
+        scores[name] = len(used), totals[j] / size, calinski, float(worst.max(axis=1).mean())
+    return scores
+
+
 def _scores(spark: SparkSession, n: int, s: float, c: float, d: float) -> DataFrame:
     return spark.createDataFrame([(n, float(s), float(c), float(d))],
                                  "n_clusters bigint, silhouette double, calinski double, davies double")

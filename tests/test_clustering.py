@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 
 from hourvault.operators import density, scores
-from hourvault.operators.clustering import best_models
+from hourvault.operators.clustering import best_models, hierarchical_sweep
 from hourvault.operators.density import connected_components, density_clusters
 
 
@@ -97,3 +97,28 @@ def test_guards(spark):
         scores.evaluate(noisy, "drop")
     ranked = best_models(spark.createDataFrame([("a", "{}", 0.1), ("b", "{}", 0.9)], "model string, params string, silhouette double"))
     assert [r.model for r in ranked.collect()] == ["b", "a"]
+
+
+def test_cuts_are_scored_as_one_by_one(spark):
+    """Clusterings scored together: with an unused label, single points, equal points and rows without a label."""
+    rng = np.random.default_rng(9)
+    points = np.concatenate([rng.normal(size=(60, 2)) + 1000, rng.normal(size=(40, 2)), np.zeros((5, 2))])
+    cuts = {"three": rng.integers(0, 3, 105), "gap": rng.integers(0, 2, 105) * 2, "one": np.zeros(105, int), "lone": (np.arange(105) == 7).astype(int)}
+    rows = [(Vectors.dense(p), *(int(v[i]) for v in cuts.values())) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, ["features", *cuts]).repartition(3)
+    found = scores.evaluate_cuts(df.unionByName(df.limit(1).select("features", *[(df[c] * None).alias(c) for c in cuts])), {"three": 3, "gap": 3, "one": 1, "lone": 2})
+    for name in cuts:
+        alone = scores.evaluate(df.select("features", df[name].alias("cluster"))).first()
+        assert np.allclose(found[name], (alone.n_clusters, alone.silhouette, alone.calinski, alone.davies), rtol=1e-9)
+
+
+def test_a_sweep_passes_over_the_points_a_few_times(spark):
+    """Jobs of a sweep must not grow with the number of clusterings that are scored."""
+    points = spark.createDataFrame([(i, Vectors.dense([float(i % 7), float(i % 3)])) for i in range(200)], ["id", "features"])
+    context, counts = spark.sparkContext, []
+    for ks in ((2, 3), range(2, 8)):
+        context.setJobGroup(f"sweep-{len(ks)}", "")
+        assert hierarchical_sweep(points, ks=ks).count() == len(ks)
+        counts.append(len(context.statusTracker().getJobIdsForGroup(f"sweep-{len(ks)}")))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[0] == counts[1]

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourvault.session import shared_dir
+
 HOUR = ["file_date", "hour_bucket"]
 #: Ids in a block of 32,768 bits, on average, and bits set for each. 32 bits an id: of 10^7 other ids, one or two pass.
 BLOCK_IDS = 1024
@@ -46,9 +48,46 @@ def id_filters(events: DataFrame, key: str = "event_id", hour: list[str] = HOUR)
         F.count(F.lit(1)).alias("n"), F.when(F.count(number) == F.count(F.lit(1)), F.min(number)).alias("low"),
         F.when(F.count(number) == F.count(F.lit(1)), F.max(number)).alias("high")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_IDS).cast("bigint"))
     placed = _hashed(rows.join(sizes, ["file_date", "hour_bucket"]), "_key").withColumn("block", _block("blocks"))
-    bits = F.explode(F.transform(F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda k: F.pmod(F.col("p") + k * F.col("q"), F.lit(BLOCK_BITS)).cast("bigint")))
-    return (placed.select("file_date", "hour_bucket", "n", "low", "high", "blocks", "block", bits.alias("bit"))
-            .groupBy("file_date", "hour_bucket", "n", "low", "high", "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    # Copies of an id go before rows are gathered by block; 16 bits an id are set where the rows of a block arrive.
+    columns = ["file_date", "hour_bucket", "n", "low", "high", "blocks", "block"]
+    placed = placed.select(*columns, "p", "q").distinct()
+    return placed.repartition(*columns).sortWithinPartitions(*columns).mapInArrow(_set_bits, FILTER)
+
+
+def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a block from rows sorted by block; a block that goes on in the next batch is held back."""
+    held, columns = None, ["file_date", "hour_bucket", "n", "low", "high", "blocks", "block"]
+
+    def rows_of(done: list[tuple[tuple, np.ndarray]]) -> pa.RecordBatch:
+        kinds = [pa.string(), pa.string(), *[pa.int64()] * 5]
+        parts = [pa.array([key[i] for key, _ in done], kind) for i, kind in enumerate(kinds)]
+        bits = pa.array([np.packbits(b, bitorder="little").tobytes() for _, b in done], pa.binary())
+        return pa.RecordBatch.from_arrays([*parts, bits], names=[*columns, "bits"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        p, q = (batch.column(c).to_numpy()[:, None] for c in ("p", "q"))
+        bits, done = (p + np.arange(PROBES) * q) % BLOCK_BITS, []
+        date, hour, block = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("file_date", "hour_bucket", "block"))
+        starts = np.flatnonzero(np.r_[True, (date[1:] != date[:-1]) | (hour[1:] != hour[:-1]) | (block[1:] != block[:-1])])
+        for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
+            key = tuple(batch.column(c)[begin].as_py() for c in columns)
+            if held is None or held[0] != key:
+                if held is not None:
+                    done.append(held)
+                held = key, np.zeros(BLOCK_BITS, bool)
+            held[1][bits[begin:end].ravel()] = True
+        if done:
+            yield rows_of(done)
+    if held is not None:
+        yield rows_of([held])
+
+
+def _stored(rows: DataFrame, *by: str) -> DataFrame:
+    path = shared_dir(rows.sparkSession, "ids")
+    rows.write.partitionBy(*by).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def hits(filters: DataFrame, ids: DataFrame, key: str = "event_id") -> DataFrame:
@@ -60,10 +99,12 @@ def hits(filters: DataFrame, ids: DataFrame, key: str = "event_id") -> DataFrame
     spark = filters.sparkSession
     new = _hashed(ids.select(F.col(key).cast("string").alias("_key")).filter("_key IS NOT NULL").distinct(), "_key").withColumn(
         "number", F.col("_key").try_cast("bigint")).select("_key", "h", "p", "q", "number")
+    # Stored once, then by part: a part is fetched without a look at the others or at the ids' source.
+    new = _stored(new)
     parts = -(-new.count() // IDS_AT_A_TIME)
     schema = "file_date string, hour_bucket string, event_id string"
     out = spark.createDataFrame([], schema)
-    new = new.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(max(1, parts)))) if parts > 1 else new.withColumn("part", F.lit(0))
+    new = _stored(new.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts))), "part") if parts > 1 else new.withColumn("part", F.lit(0))
     for k in range(parts):
         got = new.filter(F.col("part") == k).toArrow().sort_by("h")
         sent = spark.sparkContext.broadcast((

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from hourvault.session import enable_checkpoints
+
 
 def numeric_columns(df: DataFrame, drop: tuple[str, ...] = ()) -> list[str]:
     """Names of the numeric columns without the dropped ones."""
@@ -70,12 +72,15 @@ def merged_features(frames: list[DataFrame | None], key: str = "repo_id", percen
                     keep_id: bool = False) -> DataFrame:
     """Feature table of several metric tables: those with the key and numeric columns, averaged per key and joined.
 
-    Averaging and joining use the same key, so each table is shuffled once.
+    Averaging and joining use the same key, so each table is shuffled once. The joined rows, one per key, are
+    checkpointed: scaling, models and scores read them again and again, the tables are read once.
     """
     usable = [f for f in frames if f is not None and key in f.columns and numeric_columns(f, drop=(key,))]
     if not usable:
         raise ValueError("no table with the key and numeric columns")
-    return feature_table(join_datasets([mean_per_key(f, key) for f in usable], key), key, percent, keep_id)
+    joined = join_datasets([mean_per_key(f, key) for f in usable], key)
+    enable_checkpoints(joined.sparkSession)
+    return feature_table(joined.checkpoint(), key, percent, keep_id)
 
 
 def as_points(features: DataFrame, key: str = "repo_id") -> DataFrame:

@@ -248,7 +248,9 @@ def null_counts(spark, sf_dir):
 @query("column_tests_pass", """
 SELECT count(*) * 0 + 29 AS tests, CAST(0 AS BIGINT) AS failures FROM ev""")
 def column_tests_pass(spark, sf_dir):
-    silver = silver_tables(flat(spark, sf_dir))
+    path = shared_dir(spark, "flat")
+    flat(spark, sf_dir).write.parquet(path)
+    silver = silver_tables(spark.read.parquet(path))
     gold = gold_tables(silver["events"], silver["actors"], silver["repositories"], silver["organizations"])
     results = q.column_test_results({**silver, **gold})
     return results.agg(F.count("*").alias("tests"), F.sum("failures").alias("failures"))

@@ -31,13 +31,12 @@ def within_span(target: DataFrame, source: DataFrame, column: str) -> DataFrame:
 def one_per_key(source: DataFrame, key: str) -> DataFrame:
     """Drop repeated copies of a row; copies of one key are equal, so any of them serves.
 
-    Repeated keys are found on the key column alone, so only their rows are
-    shuffled whole, with all but one copy per task dropped before the shuffle.
-    Rows with a key of their own pass through. NULL keys are kept.
+    The rows are read once: copies go within each task before the shuffle, so
+    that a key with very many of them stays small. Rows without a key are all
+    kept; each gets a number of its own for that.
     """
-    repeated = source.groupBy(key).agg(F.count("*").alias("_copies")).filter("_copies > 1").select(key)
-    once = source.join(repeated, key, "left_anti")
-    return once.unionByName(source.join(repeated, key, "left_semi").dropDuplicates([key]))
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return source.withColumn("_own", own).dropDuplicates([key, "_own"]).drop("_own")
 
 
 def one_version(rows: DataFrame, key: str) -> DataFrame:

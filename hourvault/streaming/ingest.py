@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hourvault.functions.names import plain_path
 from hourvault.operators.bronze import bronze_columns, bronze_events, parse_lines, quarantine
-from hourvault.operators.upsert import merge_facts, one_per_key
+from hourvault.operators.upsert import new_rows, one_per_key
 from hourvault.schemas import BRONZE_EVENTS, ddl
 from hourvault.sources.archive import ARCHIVE_GLOB
 
@@ -118,6 +118,7 @@ def merge_batches(events: DataFrame, read_target, write_target, key: str, checkp
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows, target = one_per_key(batch, key), read_target()
-        write_target(rows if target is None else merge_facts(target, rows, key), batch_id)
+        # Keys for the target are taken as they come, so that the batch's copies are told apart once only.
+        write_target(rows if target is None else new_rows(target, batch, key).unionByName(rows), batch_id)
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -42,17 +42,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ROWS_PER_TASK = 50_000
 
 
-def spread(df: DataFrame, name: str) -> DataFrame:
+def spread(df: DataFrame, key: str, name: str) -> DataFrame:
     """Deal rows out over all cores, or over more tasks where these would hold more than ROWS_PER_TASK rows each.
 
     Few rows of Parquet become many bytes of documents, and a row group is one task's, however large it is. Rows are
-    dealt by all their columns, so that a repeated or missing key stays spread. They are counted once per application.
+    dealt by the key, those without one by their other columns. They are counted once per application.
     """
     context = df.sparkSession.sparkContext
     place = (context.applicationId, name)
     if place not in _TASKS:
         _TASKS[place] = max(context.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
-    return df.repartition(_TASKS[place], *df.columns)
+    others = [F.when(F.col(key).isNull(), F.col(c)) for c in df.columns if c != key]
+    return df.repartition(_TASKS[place], key, *others)
 
 
 _TASKS: dict[tuple[str, str], int] = {}
@@ -64,7 +65,7 @@ def _text(value) -> Column:
 
 def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table with the number in `props` as `k` and the archive event type as `kind`."""
-    events = spread(table(spark, sf_dir, "events"), sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    events = spread(table(spark, sf_dir, "events"), "event_id", sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     odd = F.col("k") % 2 == 1
     kind = (F.when(F.col("event_type") == "click", "PushEvent").when(F.col("event_type") == "view", "WatchEvent")
             .when(F.col("event_type") == "purchase", "PullRequestEvent")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,13 @@ SMOOTH = 0.25
 NEAR = 0.5
 #: Words of all examples (distinct in each): with more, fewer examples are taken. Bounds index, driver and broadcast in bytes.
 EXAMPLE_WORDS = 4_000_000
+#: With a floor, words of the longest lists are left out of the search as long as their part of the vector is no longer than
+#: this share of the floor: by themselves they cannot reach it, and the other words must bring the rest.
+COMMON_SHARE = 0.75
 BLOCK = 64
 FIRST_BLOCKS = 4
+#: With so few postings in all lists of a text, all are scored: choosing blocks would cost more.
+FEW_POSTINGS = 1 << 15
 #: Share by which weights in 32 bits may fall short.
 SLACK = 1e-5
 THRESHOLD = 0.3
@@ -56,11 +61,17 @@ def terms_of(word: bytes) -> list[bytes]:
 
 
 class TermNumbers(dict):
-    """Numbers of the index terms of a word, kept for at most `limit` words at a time."""
+    """Numbers of the index terms of a word, kept for at most `limit` words at a time.
+
+    Words that no term begins like are known by their first bytes and never kept: every term of a word shares them.
+    """
+
+    HEAD = min(BEGINNINGS)
 
     def __init__(self, terms: dict[bytes, int], limit: int = 200_000):
         super().__init__()
         self.terms, self.limit = terms, limit
+        self.heads = {t[:self.HEAD] for t in terms}
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= self.limit:
@@ -68,9 +79,16 @@ class TermNumbers(dict):
         value = self[word] = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
         return value
 
-    def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, words: list[bytes] | Counter[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the index terms of a text, in order, and their counts."""
-        return np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64), return_counts=True)
+        heads, head, counts = self.heads, self.HEAD, counter(words)
+        found: dict[int, int] = {}
+        for word in [w for w in counts if w[:head] in heads]:
+            n = counts[word]
+            for term in self[word]:
+                found[term] = found.get(term, 0) + n
+        terms = sorted(found)
+        return np.array(terms, np.int64), np.array([found[t] for t in terms], np.int64)
 
 
 @dataclass
@@ -79,16 +97,34 @@ class WordNumbers:
 
     hashes: np.ndarray
 
-    def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found, counts = word_counts(words)
-        at = np.searchsorted(self.hashes, found)
-        known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == found if len(self.hashes) else np.zeros(len(found), bool)
-        return at[known], counts[known]
+    @cached_property
+    def buckets(self) -> tuple[int, np.ndarray, np.ndarray]:
+        """Bits to drop from a hash for its bucket, the first number of each bucket, and the steps from it in the fullest."""
+        bits = max(1, len(self.hashes).bit_length())
+        sizes = np.bincount((self.hashes >> (64 - bits)) + (1 << bits - 1), minlength=1 << bits)
+        return 64 - bits, (np.cumsum(sizes) - sizes).astype(np.int32), np.arange(sizes.max())
+
+    def vector(self, words: list[bytes] | Counter[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.hashes):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        counts = counter(words)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, counts), np.uint64, len(counts)).view(np.int64)
+        shift, first, steps = self.buckets
+        begin = first[(hashes >> shift) + (len(first) >> 1)]
+        same = self.hashes.take(begin[:, None] + steps, mode="clip") == hashes[:, None]
+        known = same.any(axis=1)
+        at = (begin + same.argmax(axis=1))[known]
+        order = np.argsort(at)
+        return at[order], np.fromiter(counts.values(), np.int64, len(counts))[known][order]
+
 
+def counter(words: list[bytes] | Counter[bytes]) -> Counter[bytes]:
+    return words if isinstance(words, Counter) else Counter(words)
 
-def word_counts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+
+def word_counts(words: list[bytes] | Counter[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct words, in order, and their counts."""
-    counts = Counter(words)
+    counts = counter(words)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, counts), np.uint64, len(counts)).view(np.int64)
     order = np.argsort(hashes)
     return hashes[order], np.fromiter(counts.values(), np.int64, len(counts))[order]
@@ -101,45 +137,48 @@ def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Block-max inverted index: for each term, its entries (one per block of examples) with their largest weight."""
+    """Postings (example, weight) by term, and the same by example (term, weight)."""
 
-    numbers: TermNumbers
+    numbers: TermNumbers | WordNumbers
     idf: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
-    entry_of_term: np.ndarray  # first entry of each term
-    block: np.ndarray  # of each entry
-    largest: np.ndarray
-    posting_of_entry: np.ndarray
+    posting_of_term: np.ndarray  # first posting of each term
     example: np.ndarray  # of each posting
     weight: np.ndarray
+    term_of_example: np.ndarray  # first term of each example
+    term: np.ndarray
+    term_weight: np.ndarray
 
     @staticmethod
     def of(terms: list[bytes], df: np.ndarray, ids: np.ndarray, toxic: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Index:
-        """vectors: for each example its term numbers and counts."""
+        """vectors: for each example its term numbers, in order, and counts."""
         return Index.built(TermNumbers(dict(zip(terms, range(len(terms)), strict=True))), df, ids, toxic, vectors)
 
     @staticmethod
     def built(numbers: TermNumbers | WordNumbers, df: np.ndarray, ids: np.ndarray, toxic: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Index:
         idf = np.log(max(1, len(ids)) / np.maximum(df, 1)) if len(df) else np.zeros(0)
         index = Index(numbers, idf, ids, toxic, *[np.zeros(1, np.int64)] * 6)
-        weights = [index.weights(t, c) for t, c in vectors]
-        term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
-        example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
-        weight = np.concatenate(weights or [np.zeros(0)])
-        order = np.lexsort((example, term))
-        term, index.example, index.weight = term[order], example[order], weight[order]
-        key = term * (len(vectors) // BLOCK + 1) + index.example // BLOCK
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        index.block, index.largest = index.example[first] // BLOCK, np.maximum.reduceat(index.weight, first) if len(first) else weight
-        index.posting_of_entry = np.append(first, len(term))
-        index.entry_of_term = np.searchsorted(term[first], np.arange(len(df) + 1))
-        for name in ("example", "block", "posting_of_entry", "entry_of_term"):
-            setattr(index, name, getattr(index, name).astype(np.int32))
-        index.weight, index.largest = index.weight.astype(np.float32), index.largest.astype(np.float32)
+        index.term_weight = np.concatenate([index.weights(t, c) for t, c in vectors] or [np.zeros(0)]).astype(np.float32)
+        index.term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int32)
+        sizes = [len(t) for t, _ in vectors]
+        index.term_of_example = np.cumsum([0, *sizes]).astype(np.int32)
+        example = np.repeat(np.arange(len(vectors), dtype=np.int32), sizes)
+        order = np.argsort(index.term, kind="stable")
+        index.example, index.weight = example[order], index.term_weight[order]
+        index.posting_of_term = np.searchsorted(index.term[order], np.arange(len(df) + 1)).astype(np.int32)
         return index
 
-    def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    @cached_property
+    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Entries (one per term and block of examples): the first of each term, and of each its block, largest weight and first posting."""
+        term = np.repeat(np.arange(len(self.posting_of_term) - 1), np.diff(self.posting_of_term))
+        first = np.flatnonzero(np.diff(term * (len(self.ids) // BLOCK + 1) + self.example // BLOCK, prepend=-1))
+        largest = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        return (np.searchsorted(term[first], np.arange(len(self.posting_of_term))).astype(np.int32), self.example[first] // BLOCK, largest,
+                np.append(first, len(term)).astype(np.int32))
+
+    def vector(self, words: list[bytes] | Counter[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return self.numbers.vector(words)
 
     def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -147,43 +186,81 @@ class Index:
         w = (1 + np.log(counts)) * self.idf[terms]
         return w / max(np.linalg.norm(w), 1e-12)
 
-    def scores(self, entries: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        begin = self.posting_of_entry[entries]
-        size = self.posting_of_entry[entries + 1] - begin
+    def scores(self, begin: np.ndarray, size: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Sums by example over runs of postings, each with its weight in the text."""
         at = ragged(begin, size)
         return np.bincount(self.example[at], np.repeat(weight, size) * self.weight[at], len(self.ids))
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, leave_out: int = -1, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine over 0, and of `floor` at least, exactly; ties go to the first.
-
-        The most that a block's examples can score is the sum of its entries' largest weights. The blocks that
-        promise most are scored first; of the others, only those that promise as much as the k-th so far. Blocks that
-        do not promise the floor are never scored.
-        """
+        """The k examples of largest cosine over 0, and of `floor` at least, exactly; ties go to the first."""
         if not len(terms):
             return np.zeros(0, np.int64), np.zeros(0)
         weight = self.weights(terms, counts)
-        size = self.entry_of_term[terms + 1] - self.entry_of_term[terms]
-        entries, weight = ragged(self.entry_of_term[terms], size), np.repeat(weight, size)
-        promise = np.bincount(self.block[entries], weight * self.largest[entries], len(self.ids) // BLOCK + 1)
+        begin = self.posting_of_term[terms]
+        size = self.posting_of_term[terms + 1] - begin
+        if floor:
+            found, score = self.reaching(terms, begin, size, weight, floor)
+        else:
+            score = self.scores(begin, size, weight) if size.sum() <= FEW_POSTINGS else self.promising(terms, weight, k, leave_out)
+            found = np.flatnonzero(score > 0)
+            score = score[found]
+        if leave_out >= 0:
+            score, found = score[found != leave_out], found[found != leave_out]
+        if len(found) > k:
+            near = score >= np.partition(score, -k)[-k]
+            found, score = found[near], score[near]
+        order = np.argsort(-score, kind="stable")[:k]
+        return found[order], np.minimum(score[order], 1.0)
+
+    def reaching(self, terms: np.ndarray, begin: np.ndarray, size: np.ndarray, weight: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of a cosine of `floor` at least, in order, and their cosines.
+
+        What an example gains by some of the terms is at most the length of their part of the text's vector. So the
+        terms of the longest lists, up to a length of COMMON_SHARE of the floor, bring no example to it alone: only those
+        that the other terms bring near enough are scored in full.
+        """
+        long = np.argsort(-size, kind="stable")
+        length = np.sqrt(np.cumsum(weight[long] ** 2))
+        common = int(np.searchsorted(length, COMMON_SHARE * floor, side="right"))
+        rest = np.ones(len(terms), bool)
+        rest[long[:common]] = False
+        score = self.scores(begin[rest], size[rest], weight[rest])
+        least = floor * (1 - SLACK)
+        near = np.flatnonzero(score >= least - SLACK - (length[common - 1] if common else 0.0))
+        first = self.term_of_example[near]
+        sizes = self.term_of_example[near + 1] - first
+        if sizes.sum() > size.sum():  # many copies: their terms are more than the text's postings
+            score = self.scores(begin, size, weight)[near]
+        elif len(near):
+            at = ragged(first, sizes)
+            place = np.minimum(np.searchsorted(terms, self.term[at]), len(terms) - 1)
+            value = np.where(terms[place] == self.term[at], weight[place] * self.term_weight[at], 0.0)
+            score = np.bincount(np.repeat(np.arange(len(near)), sizes), value, len(near))
+        else:
+            score = np.zeros(0)
+        return near[score >= least], score[score >= least]
+
+    def promising(self, terms: np.ndarray, weight: np.ndarray, k: int, leave_out: int) -> np.ndarray:
+        """Cosines of all examples that can be among the k nearest, 0 for others.
+
+        The most that a block's examples can score is the sum of its entries' largest weights. The blocks that
+        promise most are scored first; of the others, only those that promise as much as the k-th so far.
+        """
+        entry_of_term, block, largest, posting_of_entry = self.blocks
+        size = entry_of_term[terms + 1] - entry_of_term[terms]
+        entries, weight = ragged(entry_of_term[terms], size), np.repeat(weight, size)
+        begin = posting_of_entry[entries]
+        size, block = posting_of_entry[entries + 1] - begin, block[entries]
+        promise = np.bincount(block, weight * largest[entries], len(self.ids) // BLOCK + 1)
         early = np.zeros(len(promise), bool)
         early[np.argsort(-promise, kind="stable")[:FIRST_BLOCKS]] = True
-        early &= promise >= floor * (1 - SLACK)
-        if floor and not early.any():
-            return np.zeros(0, np.int64), np.zeros(0)
-        chosen = early[self.block[entries]]
-        score = self.scores(entries[chosen], weight[chosen])
+        chosen = early[block]
+        score = self.scores(begin[chosen], size[chosen], weight[chosen])
         if leave_out >= 0:
             score[leave_out] = 0
-        least = max(floor, np.partition(score, -k)[-k] if len(score) >= k else 0.0)
-        chosen = (~early & (promise >= least * (1 - SLACK)) & (promise > 0))[self.block[entries]]
-        if chosen.any():
-            score += self.scores(entries[chosen], weight[chosen])
-            if leave_out >= 0:
-                score[leave_out] = 0
-        best = np.argsort(-score, kind="stable")[:k] if len(score) < 4 * k else _top(score, k)
-        best = best[(score[best] > 0) & (score[best] >= floor * (1 - SLACK))]
-        return best, np.minimum(score[best], 1.0)
+        least = np.partition(score, -k)[-k] if len(score) >= k else 0.0
+        chosen = (~early & (promise >= least * (1 - SLACK)) & (promise > 0))[block]
+        return score + self.scores(begin[chosen], size[chosen], weight[chosen]) if chosen.any() else score
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         """Share of label 1 in the distance-weighted votes; that of all examples where nothing is near."""
@@ -193,12 +270,6 @@ class Index:
         return float((w * self.toxic[best]).sum() / w.sum())
 
 
-def _top(score: np.ndarray, k: int) -> np.ndarray:
-    least = np.partition(score, -k)[-k]
-    near = np.flatnonzero(score >= least)
-    return near[np.argsort(-score[near], kind="stable")[:k]]
-
-
 EXAMPLE = "doc_id bigint, toxic int, terms array<binary>, counts array<int>, words array<bigint>, word_counts array<int>"
 
 
@@ -238,14 +309,15 @@ def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples))
 
     def counted(batch: pa.RecordBatch) -> dict:
-        found = []
+        found, hashed = [], []
         for text in texts(batch, "text"):
             counts: Counter[bytes] = Counter()
-            for word, n in Counter(words_of(text)).items():
+            words = Counter(words_of(text))
+            hashed.append(word_counts(words))
+            for word, n in words.items():
                 for term in terms_of(word):
                     counts[term] += n
             found.append(counts)
-        hashed = [word_counts(words_of(text)) for text in texts(batch, "text")]
         return {"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"),
                 "terms": [list(c) for c in found], "counts": [list(c.values()) for c in found],
                 "words": [h for h, _ in hashed], "word_counts": [c for _, c in hashed]}
@@ -326,7 +398,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_co
         model, other = shared.value, shared_all.value
         found: list = []
         for text in texts(batch, "text"):
-            words = words_of(text)
+            words = Counter(words_of(text))
             terms, counts = model.vector(words)
             told = bool(len(terms)) or not len(model.ids)
             best, cosine = model.nearest(terms, counts, NEIGHBOURS) if told else other.nearest(*other.vector(words), NEIGHBOURS, floor=NEAR)

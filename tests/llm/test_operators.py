@@ -280,6 +280,52 @@ def test_examples_above_a_floor_are_exact(floor):
     assert found >= 60
 
 
+def test_copies_are_found_without_the_lists_of_common_words(monkeypatch):
+    # Forty words stand in nine of ten examples: their lists are most of the index, and no example is near by them alone.
+    r = np.random.default_rng(3)
+    texts = [[f"common{x}".encode() for x in range(40) if r.random() < 0.9] + [f"own{k // 2}x{x}".encode() for x in range(6)] for k in range(1000)]
+    pairs = [toxicity.word_counts(t) for t in texts]
+    hashes, number, df = np.unique(np.concatenate([h for h, _ in pairs]), return_inverse=True, return_counts=True)
+    vectors = list(zip(np.split(number, np.cumsum([len(h) for h, _ in pairs])[:-1]), [c for _, c in pairs], strict=True))
+    index = toxicity.Index.built(toxicity.WordNumbers(hashes), df.astype(float), np.arange(len(texts)), np.zeros(len(texts)), vectors)
+    read, ragged = [], toxicity.ragged
+    monkeypatch.setattr(toxicity, "ragged", lambda begin, size: read.append(int(np.sum(size))) or ragged(begin, size))
+    for k in range(0, 1000, 50):
+        best, _ = index.nearest(*index.vector(texts[k]), 31, floor=0.5)
+        assert best.tolist() == [k, k + 1]
+    assert sum(read) < 20 * 200  # of some 30,000 postings a text, in 600 entries
+
+
+@pytest.mark.parametrize("number", [1, 7, 2000])
+def test_numbers_of_words_by_hash(number):
+    words = [f"w{k}".encode() for k in range(number)]
+    hashes, _ = toxicity.word_counts(words)
+    text = [b"none", *words[::-3], b"other", words[0], words[0]]
+    at, counts = toxicity.WordNumbers(hashes).vector(text)
+    want, n = toxicity.word_counts([w for w in text if w in words])
+    assert (np.diff(at) > 0).all() and (hashes[at] == want).all() and (counts == n).all()
+
+
+def test_words_that_no_term_begins_like_are_not_kept():
+    numbers = toxicity.TermNumbers({b"scum": 0, b"moro*": 1, b"moron*": 2, b"at": 3})
+    terms, counts = numbers.vector([b"morons", b"scum", b"scum", b"at", b"atlas", b"scumbag", *[f"other{k}".encode() for k in range(100)]])
+    assert terms.tolist() == [0, 1, 2, 3] and counts.tolist() == [2, 1, 1, 1]
+    assert set(numbers) <= {b"morons", b"scum", b"at", b"scumbag"}
+
+
+def test_blocks_lose_no_nearest_example(monkeypatch):
+    r = np.random.default_rng(6)
+    vectors = [(t := np.unique(r.zipf(1.3, 40) % 400), r.integers(1, 5, len(t))) for _ in range(700)]
+    df = np.bincount(np.concatenate([t for t, _ in vectors]), minlength=400).astype(float)
+    index = toxicity.Index.of([str(k).encode() for k in range(400)], df, np.arange(700), r.integers(0, 2, 700), vectors)
+    for k in range(0, 700, 13):
+        whole = index.nearest(*vectors[k], 10, leave_out=k)
+        with monkeypatch.context() as few:
+            few.setattr(toxicity, "FEW_POSTINGS", 0)
+            blocks = index.nearest(*vectors[k], 10, leave_out=k)
+        assert np.array_equal(whole[0], blocks[0]) and np.array_equal(whole[1], blocks[1])
+
+
 def test_likelihood_ratio(spark):
     row = spark.range(1).select(F.lit(10.0).alias("df"), F.lit(8.0).alias("toxic"))
     got = row.select(toxicity.likelihood_ratio(F.col("df"), F.col("toxic"), 100, 20)).first()[0]
